@@ -185,22 +185,34 @@ def _serving_ratio(n: Column) -> Column:
                         amount_or_zero(n.getItem("calories")))
 
 
-def enrich_servings(servings, force: bool = False) -> Column:
+def enrich_servings(servings, force: bool = False, element_type: T.StructType | None = None) -> Column:
     """F-10: tag and score each element of a nested serving array.
 
     Elements are ``struct<size_label, nutrition map<string,string>, ...>``.
     Adds ``macronutrient_profile``, ``golden_ratio`` and ``golden_ratio_category``
-    to each element; a serving that already has a ratio keeps it unless ``force``.
-    Elements without nutrition are left without tags and ratio.
+    to each element. A serving that already has a ratio keeps it, and keeps its
+    class as it is, unless ``force``. Elements without nutrition get neither.
+    Pass ``element_type`` (the array's element struct) so fields the input lacks
+    are treated as absent.
     """
+    fields = set(element_type.fieldNames()) if element_type is not None else {
+        "golden_ratio", "golden_ratio_category"}
+
     def one(s: Column) -> Column:
         n = s["nutrition"]
         has = n.isNotNull()
-        ratio = F.when(has, _serving_ratio(n))
-        if not force:
-            ratio = F.coalesce(s["golden_ratio"], ratio)
+        new_ratio = F.when(has, _serving_ratio(n))
+        new_class = F.when(has, ratio_class(_serving_ratio(n)))
+        if force or "golden_ratio" not in fields:
+            ratio, cls = new_ratio, new_class
+        else:
+            kept = s["golden_ratio"].isNotNull()
+            old_class = (s["golden_ratio_category"] if "golden_ratio_category" in fields
+                         else F.lit(None).cast("string"))
+            ratio = F.when(kept, s["golden_ratio"]).otherwise(new_ratio)
+            cls = F.when(kept, old_class).otherwise(new_class)
         tags = F.when(has, _serving_tags(n))
         return (s.withField("macronutrient_profile", tags)
                  .withField("golden_ratio", ratio)
-                 .withField("golden_ratio_category", F.when(ratio.isNotNull(), ratio_class(ratio))))
+                 .withField("golden_ratio_category", cls))
     return F.transform(col_of(servings), one)
