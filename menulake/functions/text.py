@@ -55,21 +55,26 @@ def parse_unit(c) -> Column:
     return F.nullif(F.lower(F.regexp_extract(col_of(c), UNIT_PATTERN, 1)), F.lit(""))
 
 
-def resolve_url(href, base: str) -> Column:
-    """H-11: absolute link for ``href`` seen on a page of site ``base``.
+def resolve_url(href, base) -> Column:
+    """H-11: absolute link for ``href`` seen on a page whose base is ``base``.
 
-    Absolute links pass, ``//host`` takes the base scheme, ``/path`` takes the
-    base origin, anything else is relative to the base directory.
+    ``base`` is a site or page url (text or Column). Absolute links pass,
+    ``//host`` takes the base scheme, ``/path`` takes the base origin, an empty
+    link is the base itself, anything else replaces the last path segment.
     """
     h = col_of(href)
-    base = base.rstrip("/")
-    scheme = base.split("://", 1)[0] if "://" in base else "https"
+    b = F.lit(base) if isinstance(base, str) else base
+    scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*):", 1)
+    origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
+    path = F.regexp_replace(F.substring(b, F.length(origin) + 1, 1 << 30), r"[?#].*$", "")
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
     return (
         F.when(h.isNull(), F.lit(None).cast("string"))
+        .when(h == "", b)
         .when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), h)
-        .when(h.startswith("//"), F.concat(F.lit(scheme + ":"), h))
-        .when(h.startswith("/"), F.concat(F.lit(base), h))
-        .otherwise(F.concat(F.lit(base + "/"), h))
+        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+        .when(h.startswith("/"), F.concat(origin, h))
+        .otherwise(F.concat(origin, folder, h))
     )
 
 

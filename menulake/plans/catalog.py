@@ -270,7 +270,10 @@ def q_dedup_first(spark, sf):
 
 def q_skip_done(spark, sf):
     c = B.read(spark, sf, "customer").select("c_custkey", "c_name")
-    o = B.read(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    # "done" = customers already ingested by a run from 1998 on
+    o = (B.read(spark, sf, "orders")
+         .filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+         .select(F.col("o_custkey").alias("c_custkey")))
     return skip_done(c, o, "c_custkey")
 
 
@@ -415,6 +418,19 @@ def q_upsert_counts(spark, sf):
     return upsert(base, fresh, "_id").counts
 
 
+# -- stored pages through the extraction pass (H-08, H-11) ---------------------
+
+def q_page_titles(spark, sf):
+    from menulake.operators.extract import page_titles, parse_pages
+    return page_titles(parse_pages(B.read(spark, sf, "pages")))
+
+
+def q_page_links(spark, sf):
+    from menulake.operators.extract import page_links, parse_pages
+    links = page_links(parse_pages(B.read(spark, sf, "pages")))
+    return links.select("url", F.col("pos").cast("long").alias("pos"), "href", "text", "link")
+
+
 QUERIES: dict[str, Query] = {
     "brand_protein_report": brand_protein_report,
     "to_brands": q_to_brands,
@@ -458,4 +474,6 @@ QUERIES: dict[str, Query] = {
     "reject_counts": q_reject_counts,
     "upsert_orders": q_upsert_orders,
     "upsert_counts": q_upsert_counts,
+    "page_titles": q_page_titles,
+    "page_links": q_page_links,
 }

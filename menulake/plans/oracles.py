@@ -388,7 +388,8 @@ FROM {_ORD} GROUP BY o_custkey"""
 
 ORACLES["skip_done"] = """
 SELECT c_custkey, c_name FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"""
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders
+                        WHERE o_custkey IS NOT NULL AND o_orderdate >= TIMESTAMP '1998-01-01')"""
 
 ORACLES["merge_resume"] = """
 SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey >= 10 THEN c_acctbal + 1 ELSE c_acctbal END
@@ -450,7 +451,7 @@ SELECT CASE WHEN l_orderkey % 101 = 0 THEN ''
   CASE WHEN l_orderkey % 101 = 0 THEN '_id: cannot be empty' ELSE '' END AS errors,
   CASE WHEN round(l_discount * 600) - 30 < 0 THEN NULL ELSE round(l_discount * 600) - 30 END AS protein_g,
   CASE WHEN l_tax * 100 - 4 < 0 THEN NULL ELSE l_tax * 100 - 4 END AS carbs_g,
-  CASE WHEN l_linenumber = 1 THEN -1.0 ELSE 0.5 END AS trans_fat_g,
+  CAST(CASE WHEN l_linenumber = 1 THEN -1.0 ELSE 0.5 END AS DOUBLE) AS trans_fat_g,
   CASE WHEN l_extendedprice / 1000 < 0 OR l_extendedprice / 1000 > 100 THEN NULL
        ELSE l_extendedprice / 1000 END AS golden_ratio,
   CASE l_linenumber % 4 WHEN 0 THEN 'Excellent' WHEN 1 THEN 'Good' WHEN 2 THEN 'Poor' END
@@ -491,3 +492,24 @@ SELECT CAST(count_if(in_f AND NOT in_b) AS BIGINT) AS inserted,
                                    OR f_pr IS DISTINCT FROM b_pr)) AS BIGINT) AS modified,
   CAST(0 AS BIGINT) AS errors
 FROM j""")
+
+_DECODE = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+_STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+ORACLES["page_titles"] = f"""
+SELECT url, {_STRIP.format(x=_DECODE.format(x="regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1)"))} AS title
+FROM pages"""
+
+ORACLES["page_links"] = rf"""
+WITH l AS (
+  SELECT url, regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1) AS hrefs,
+    regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS texts,
+    regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)', 1) AS origin
+  FROM pages),
+u AS (
+  SELECT url, origin, unnest(generate_series(0, len(hrefs) - 1)) AS pos, unnest(hrefs) AS href,
+    unnest(texts) AS text
+  FROM l)
+SELECT url, CAST(pos AS BIGINT) AS pos, {_DECODE.format(x='href')} AS href,
+  {_STRIP.format(x=_DECODE.format(x='text'))} AS text, origin || {_DECODE.format(x='href')} AS link
+FROM u"""
