@@ -13,7 +13,10 @@ def stable_id(*parts) -> Column:
 
     Null and empty parts are skipped, as in the source data model.
     """
-    kept = [F.nullif(col_of(p).cast("string"), F.lit("")) for p in parts]
+    kept = []
+    for p in parts:
+        t = col_of(p).cast("string")
+        kept.append(F.when(t != "", t))
     return F.substring(F.sha2(F.concat_ws("|", *kept), 256), 1, 32)
 
 

@@ -112,13 +112,15 @@ def macro_shares(cal, p, c, f) -> Column:
     )
 
 
-def profile_tags(cal, p, c, f, sodium, sugar) -> Column:
+def profile_tags(cal, p, c, f, sodium, sugar, shares: Column | None = None) -> Column:
     """F-09: ordered profile tags; empty when kcal and all three macros are 0.
 
     Inputs are numbers (already read with F-03, so null counts as 0).
+    ``shares`` may carry a precomputed ``macro_shares`` struct (used inside
+    array lambdas, which Spark evaluates without common-subexpression reuse).
     """
     cal, p, c, f, na, su = (col_of(x) for x in (cal, p, c, f, sodium, sugar))
-    s = macro_shares(cal, p, c, f)
+    s = shares if shares is not None else macro_shares(cal, p, c, f)
     pp, cp, fp, t = s["protein_pct"], s["carbs_pct"], s["fat_pct"], s["total_kcal"]
     na_pct = (na / SODIUM_DAILY_MG) * 100
     tags = F.array_compact(F.array(
@@ -167,24 +169,19 @@ def default_size_label(c) -> Column:
     return F.coalesce(col_of(c), F.lit(DEFAULT_SIZE_LABEL))
 
 
-def _serving_tags(n: Column) -> Column:
-    """Tags for a raw text nutrition map (nested layout reads text keys)."""
+def _serving_numbers(n: Column) -> Column:
+    """The six numbers the tag and ratio rules read from a text nutrition map."""
     sugar = F.coalesce(n.getItem("sugars"), n.getItem("sugar"))
-    return profile_tags(
-        amount_or_zero(n.getItem("calories")),
-        amount_or_zero(n.getItem("protein")),
-        amount_or_zero(n.getItem("total_carbohydrates")),
-        amount_or_zero(n.getItem("total_fat")),
-        amount_or_zero(n.getItem("sodium")),
-        amount_or_zero(sugar),
+    return F.struct(
+        amount_or_zero(n.getItem("calories")).alias("cal"),
+        amount_or_zero(n.getItem("protein")).alias("p"),
+        amount_or_zero(n.getItem("total_carbohydrates")).alias("c"),
+        amount_or_zero(n.getItem("total_fat")).alias("f"),
+        amount_or_zero(n.getItem("sodium")).alias("na"),
+        amount_or_zero(sugar).alias("su"),
     )
 
 
-def _serving_ratio(n: Column) -> Column:
-    return golden_ratio(amount_or_zero(n.getItem("protein")),
-                        amount_or_zero(n.getItem("calories")))
-
-
 def enrich_servings(servings, force: bool = False, element_type: T.StructType | None = None) -> Column:
     """F-10: tag and score each element of a nested serving array.
 
@@ -194,15 +191,25 @@ def enrich_servings(servings, force: bool = False, element_type: T.StructType |
     class as it is, unless ``force``. Elements without nutrition get neither.
     Pass ``element_type`` (the array's element struct) so fields the input lacks
     are treated as absent.
+
+    Array lambdas run without common-subexpression reuse, so the work is staged:
+    parse the six numbers once, then the shares, then tags and ratio.
     """
     fields = set(element_type.fieldNames()) if element_type is not None else {
         "golden_ratio", "golden_ratio_category"}
 
-    def one(s: Column) -> Column:
-        n = s["nutrition"]
-        has = n.isNotNull()
-        new_ratio = F.when(has, _serving_ratio(n))
-        new_class = F.when(has, ratio_class(_serving_ratio(n)))
+    def parse(s: Column) -> Column:
+        return s.withField("_num", F.when(s["nutrition"].isNotNull(), _serving_numbers(s["nutrition"])))
+
+    def share(s: Column) -> Column:
+        x = s["_num"]
+        return s.withField("_shares", F.when(x.isNotNull(), macro_shares(x["cal"], x["p"], x["c"], x["f"])))
+
+    def finish(s: Column) -> Column:
+        x = s["_num"]
+        has = x.isNotNull()
+        new_ratio = F.when(has, golden_ratio(x["p"], x["cal"]))
+        new_class = F.when(has, ratio_class(new_ratio))
         if force or "golden_ratio" not in fields:
             ratio, cls = new_ratio, new_class
         else:
@@ -211,8 +218,10 @@ def enrich_servings(servings, force: bool = False, element_type: T.StructType |
                          else F.lit(None).cast("string"))
             ratio = F.when(kept, s["golden_ratio"]).otherwise(new_ratio)
             cls = F.when(kept, old_class).otherwise(new_class)
-        tags = F.when(has, _serving_tags(n))
+        tags = F.when(has, profile_tags(x["cal"], x["p"], x["c"], x["f"], x["na"], x["su"], s["_shares"]))
         return (s.withField("macronutrient_profile", tags)
                  .withField("golden_ratio", ratio)
-                 .withField("golden_ratio_category", cls))
-    return F.transform(col_of(servings), one)
+                 .withField("golden_ratio_category", cls)
+                 .dropFields("_num", "_shares"))
+
+    return F.transform(F.transform(F.transform(col_of(servings), parse), share), finish)

@@ -13,7 +13,7 @@ from menulake.functions._util import col_of
 # Patterns that must equal the reference's parsing rules.
 NUMBER_PATTERN = r"([0-9]+\.?[0-9]*)"   # first run of digits with an optional fraction
 UNIT_PATTERN = r"([a-zA-Z]+)"           # first run of ASCII letters
-AMOUNT_STRIP = r"[,<>]"                 # characters dropped before reading an amount
+AMOUNT_STRIP_CHARS = ",<>"              # characters dropped before reading an amount
 NON_WORD_RUN = r"[^\p{L}\p{N}]+"        # one underscore per run of non letters/digits
 UNICODE_SPACE = r"(?U)^\s+|\s+$"        # Python str.strip() also strips tabs and newlines
 
@@ -30,7 +30,8 @@ def snake_case(c) -> Column:
 
 
 def _first_number(text: Column) -> Column:
-    return F.nullif(F.regexp_extract(text, NUMBER_PATTERN, 1), F.lit(""))
+    # no match gives '', which try_cast turns into null
+    return F.regexp_extract(text, NUMBER_PATTERN, 1)
 
 
 def parse_amount(c) -> Column:
@@ -38,7 +39,7 @@ def parse_amount(c) -> Column:
 
     ``1,200 mg`` -> 1200.0, ``<1g`` -> 1.0, ``.5g`` -> 5.0, ``-5g`` -> 5.0.
     """
-    cleaned = F.regexp_replace(col_of(c), AMOUNT_STRIP, "")
+    cleaned = F.translate(col_of(c), AMOUNT_STRIP_CHARS, "")
     return _first_number(cleaned).try_cast("double")
 
 

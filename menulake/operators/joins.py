@@ -64,27 +64,30 @@ def lookup_brand(brands: DataFrame, lookup: DataFrame, run_ts: str,
              .drop("lookup_key", "lk_category", "lk_cuisine"))
 
 
-def attach_nutrition(items: DataFrame, variations: DataFrame) -> DataFrame:
+def attach_nutrition(items: DataFrame, variations: DataFrame | None, first: DataFrame | None = None) -> DataFrame:
     """J-02: each item gets the nutrition of its first variation (D-04).
 
-    Items that already carry a ``nutrition`` column keep it when unmatched;
+    ``first`` may hold a precomputed (menu_item_id, nutrition) frame. Items
+    that already carry a ``nutrition`` column keep it when unmatched;
     otherwise an unmatched item has no data.
     """
-    fv = first_variation(variations).withColumnRenamed("nutrition", "_fv_nutrition")
+    fv = first if first is not None else first_variation(variations)
+    fv = fv.select("menu_item_id", F.col("nutrition").alias("_fv_nutrition"))
     j = items.join(fv, items["_id"] == fv["menu_item_id"], "left").drop("menu_item_id")
     if "nutrition" in items.columns:
         return j.withColumn("nutrition", F.coalesce("_fv_nutrition", "nutrition")).drop("_fv_nutrition")
     return j.withColumnRenamed("_fv_nutrition", "nutrition")
 
 
-def profile_items(items: DataFrame, variations: DataFrame, force: bool = False) -> DataFrame:
+def profile_items(items: DataFrame, variations: DataFrame | None, force: bool = False,
+                  first: DataFrame | None = None) -> DataFrame:
     """Step 3: item tags from the first variation's nutrition (J-02 + F-09).
 
     Adds ``profile_status`` in (processed, skipped, no_data); drops the
     working nutrition copy (P-06).
     """
     from menulake.functions.nutrition import profile_tags
-    j = attach_nutrition(items, variations)
+    j = attach_nutrition(items, variations, first)
     n = F.col("nutrition")
 
     def num(field):

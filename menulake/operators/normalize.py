@@ -17,12 +17,14 @@ from menulake.functions.nutrition import (
 )
 from menulake.schemas import ALLERGENS_TYPE
 
-EMPTY_ALLERGENS = F.struct(
-    F.array().cast("array<string>").alias("contains"),
-    F.array().cast("array<string>").alias("does_not_contain"),
-    F.array().cast("array<string>").alias("unknown"),
-    F.lit(None).cast("string").alias("allergy_information"),
-)
+def empty_allergens():
+    """Allergens of an item that states none."""
+    return F.struct(
+        F.array().cast("array<string>").alias("contains"),
+        F.array().cast("array<string>").alias("does_not_contain"),
+        F.array().cast("array<string>").alias("unknown"),
+        F.lit(None).cast("string").alias("allergy_information"),
+    )
 
 
 def _stamp(run_ts: str):
@@ -80,7 +82,7 @@ def to_variations(raw_servings: DataFrame, run_ts: str) -> DataFrame:
     iid = stable_id(bid, F.coalesce(F.col("item_name"), F.lit(DEFAULT_ITEM_NAME)), F.col("item_url"))
     label = default_size_label(F.col("size_label"))
     nutrition = F.coalesce(F.col("nutrition"), F.create_map().cast("map<string,string>"))
-    allergens = F.coalesce(F.col("allergens").cast(ALLERGENS_TYPE), EMPTY_ALLERGENS)
+    allergens = F.coalesce(F.col("allergens").cast(ALLERGENS_TYPE), empty_allergens())
     return raw_servings.select(
         stable_id(iid, label).alias("_id"),
         iid.alias("menu_item_id"),

@@ -16,6 +16,7 @@ from menulake.functions.nutrition import (
 )
 from menulake.operators.joins import profile_items
 from menulake.operators.score import score_variations
+from menulake.operators.select import variation_order
 from menulake.plans import domain
 
 
@@ -28,16 +29,25 @@ def brand_protein_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     variations = domain.variations(spark, sf_dir)
     items = domain.menu_items(spark, sf_dir)
 
+    # One pass over the variations: per item, the ratio classes and the first
+    # variation's nutrition (D-04). Partial aggregation runs map-side, so a hot
+    # item or brand ships one row per task.
     scored = score_variations(variations)
     cat = F.col("golden_ratio_category")
-    v = scored.groupBy("restaurant_brand_id").agg(
+    has = F.col("nutrition").isNotNull()
+    per_item = scored.groupBy("menu_item_id", "restaurant_brand_id").agg(
         F.count(F.lit(1)).cast("long").alias("variations"),
         _cnt(cat == RATIO_EXCELLENT).alias("excellent"),
         _cnt(cat == RATIO_GOOD).alias("good"),
         _cnt(cat == RATIO_POOR).alias("poor"),
-        F.sum(F.round(F.col("golden_ratio") * 1000).cast("long")).alias("_milli"))
+        F.sum(F.round(F.col("golden_ratio") * 1000).cast("long")).alias("_milli"),
+        F.min_by(F.when(has, F.col("nutrition")), F.when(has, variation_order())).alias("nutrition"))
 
-    prof = profile_items(items, variations)
+    v = per_item.groupBy("restaurant_brand_id").agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("variations", "excellent", "good", "poor", "_milli")])
+
+    first = per_item.filter(F.col("nutrition").isNotNull()).select("menu_item_id", "nutrition")
+    prof = profile_items(items, None, first=first)
     tags = F.coalesce(F.col("macronutrient_profile"), F.array().cast("array<string>"))
     i = prof.groupBy("restaurant_brand_id").agg(
         F.count(F.lit(1)).cast("long").alias("items"),
