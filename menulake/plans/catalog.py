@@ -388,24 +388,29 @@ def q_reject_counts(spark, sf):
     return a.unionByName(b)
 
 
-def _order_rows(spark, sf):
-    return B.read(spark, sf, "orders").select(
-        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("_id"),
-        "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
+def order_rows(o: DataFrame) -> DataFrame:
+    return o.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("_id"),
+                    "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
 
 
-def upsert_inputs(spark, sf):
-    o = _order_rows(spark, sf)
-    base = o.filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).drop("o_orderdate")
+def fresh_orders(o: DataFrame) -> DataFrame:
+    """The fresh side of the upsert: orders from 1995 on, some changed, some nulled."""
+    o = order_rows(o)
     k = F.regexp_extract("_id", "([0-9]+)", 1).cast("long")
-    fresh = (o.filter(F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
-             .select("_id",
-                     F.when(k % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-                      .alias("o_totalprice"),
-                     "o_orderstatus",
-                     F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority"))
-                      .alias("o_orderpriority")))
-    return base, fresh
+    return (o.filter(F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
+            .select("_id",
+                    F.when(k % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+                     .alias("o_totalprice"),
+                    "o_orderstatus",
+                    F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority"))
+                     .alias("o_orderpriority")))
+
+
+def upsert_inputs(spark, sf):
+    o = B.read(spark, sf, "orders")
+    base = (order_rows(o).filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+            .drop("o_orderdate"))
+    return base, fresh_orders(o)
 
 
 def q_upsert_orders(spark, sf):
@@ -431,6 +436,36 @@ def q_page_links(spark, sf):
     return links.select("url", F.col("pos").cast("long").alias("pos"), "href", "text", "link")
 
 
+# -- streams (T-01, T-02) -------------------------------------------------------
+
+def _stream_root(spark) -> str:
+    import uuid
+    from menulake.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+
+
+def q_stream_page_titles(spark, sf):
+    """T-01: stored pages streamed once through the extraction pass."""
+    from menulake.operators.extract import page_titles, parse_pages
+    from menulake.streaming.ingest import stream_ingest
+    root = _stream_root(spark)
+    stream_ingest(spark, sf, f"{root}/out", f"{root}/ckpt",
+                  transform=lambda b: page_titles(parse_pages(b)), glob="pages.parquet")
+    return spark.read.parquet(f"{root}/out").select("url", "title")
+
+
+def q_stream_upsert_orders(spark, sf):
+    """T-02: orders streamed as fresh rows onto the pre-1996 snapshot."""
+    from menulake.streaming.ingest import latest_stream_snapshot, stream_upsert
+    root = _stream_root(spark)
+    base, _ = upsert_inputs(spark, sf)
+    schema = B.read(spark, sf, "orders").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf))
+    stream_upsert(spark, stream, f"{root}/out", f"{root}/ckpt", "_id", base=base, prepare=fresh_orders)
+    return latest_stream_snapshot(spark, f"{root}/out").select(
+        "_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
 QUERIES: dict[str, Query] = {
     "brand_protein_report": brand_protein_report,
     "to_brands": q_to_brands,
@@ -476,4 +511,6 @@ QUERIES: dict[str, Query] = {
     "upsert_counts": q_upsert_counts,
     "page_titles": q_page_titles,
     "page_links": q_page_links,
+    "stream_page_titles": q_stream_page_titles,
+    "stream_upsert_orders": q_stream_upsert_orders,
 }

@@ -513,3 +513,6 @@ u AS (
 SELECT url, CAST(pos AS BIGINT) AS pos, {_DECODE.format(x='href')} AS href,
   {_STRIP.format(x=_DECODE.format(x='text'))} AS text, origin || {_DECODE.format(x='href')} AS link
 FROM u"""
+
+ORACLES["stream_page_titles"] = ORACLES["page_titles"]
+ORACLES["stream_upsert_orders"] = ORACLES["upsert_orders"]
