@@ -424,16 +424,16 @@ def assemble_servings(items: DataFrame, parsed: DataFrame, base: str):
     last non-empty ones over its servings, copied to every serving; images stay
     per serving. Items whose page is not stored produce no servings.
     """
-    facts = item_facts(parsed, base)
-    opts = size_options(parsed, base)
+    facts = item_facts(parsed, base).withColumnRenamed("title", "page_title")
+    opts = size_options(parsed, base).withColumnRenamed("title", "opt_title")
     it = items.select("brand_name", "item_pos", F.col("name").alias("item_name"),
                       F.col("url").alias("item_url"), "category")
     with_opts = it.join(opts, it["item_url"] == opts["page_url"], "inner").drop("page_url")
     sized = (with_opts.join(facts, with_opts["url"] == facts["page_url"], "inner")
              .select("brand_name", "item_pos", "item_name", "item_url",
                      F.col("pos").alias("serving_pos"),
-                     F.coalesce(F.nullif(F.col("title"), F.lit("")),
-                                F.nullif(facts["title"], F.lit("")), F.col("item_name")).alias("size_label"),
+                     F.coalesce(F.nullif(F.col("opt_title"), F.lit("")),
+                                F.nullif(F.col("page_title"), F.lit("")), F.col("item_name")).alias("size_label"),
                      "nutrition", "image_url", "allergens", "ingredients"))
     has_opts = opts.select(F.col("page_url").alias("item_url")).distinct()
     single = (it.join(has_opts, "item_url", "left_anti")
