@@ -71,6 +71,8 @@ def attach_nutrition(items: DataFrame, variations: DataFrame | None, first: Data
     that already carry a ``nutrition`` column keep it when unmatched;
     otherwise an unmatched item has no data.
     """
+    if variations is None and first is None:
+        return items  # nutrition already attached by the caller
     fv = first if first is not None else first_variation(variations)
     fv = fv.select("menu_item_id", F.col("nutrition").alias("_fv_nutrition"))
     j = items.join(fv, items["_id"] == fv["menu_item_id"], "left").drop("menu_item_id")

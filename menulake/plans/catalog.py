@@ -252,6 +252,34 @@ def q_drop_incomplete(spark, sf):
     return select.drop_incomplete(customer_entries(spark, sf))
 
 
+def work_state(spark, sf) -> DataFrame:
+    """Items in mixed enrichment states: null, empty and filled fields from ``part``."""
+    p = B.read(spark, sf, "part")
+    k = F.col("p_size")
+    return p.select(
+        "p_partkey",
+        F.when(k % 3 == 0, F.lit(None).cast("string")).when(k % 3 == 1, F.lit("")).otherwise(F.col("p_name"))
+         .alias("description"),
+        F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(B.price_text(F.col("p_retailprice")))
+         .alias("estimated_price"),
+        F.when(k % 5 == 0, F.lit(None).cast("array<string>"))
+         .when(k % 5 == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("American")))
+         .alias("cuisine_types"),
+        F.when(k % 2 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("Low Fat")))
+         .alias("macronutrient_profile"),
+        F.when(k % 7 == 0, F.lit("")).when(k % 7 == 1, F.lit(None).cast("string"))
+         .otherwise(B.item_url(F.col("p_partkey"))).alias("menu_item_image_url"),
+        F.when(k % 3 == 0, F.lit(0.0)).when(k % 3 == 1, F.lit(None).cast("double")).otherwise(F.lit(0.5))
+         .alias("golden_ratio"))
+
+
+def q_needs_work(spark, sf):
+    w = work_state(spark, sf)
+    return w.select("p_partkey", select.needs_item_text().alias("needs_text"),
+                    select.needs_profile().alias("needs_profile"), select.needs_ratio().alias("needs_ratio"),
+                    select.needs_image().alias("needs_image"))
+
+
 # -- dedup, resume, merge (D-02, D-03, J-04, J-05, J-06, S-03) ------------------
 
 def _orders(spark, sf):
@@ -495,6 +523,7 @@ QUERIES: dict[str, Query] = {
     "limit_brands": q_limit_brands,
     "limit_items_per_brand": q_limit_items_per_brand,
     "drop_incomplete": q_drop_incomplete,
+    "needs_work": q_needs_work,
     "dedup_last": q_dedup_last,
     "dedup_first": q_dedup_first,
     "skip_done": q_skip_done,

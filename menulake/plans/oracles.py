@@ -516,3 +516,8 @@ FROM u"""
 
 ORACLES["stream_page_titles"] = ORACLES["page_titles"]
 ORACLES["stream_upsert_orders"] = ORACLES["upsert_orders"]
+
+ORACLES["needs_work"] = """
+SELECT p_partkey, (p_size % 3 IN (0, 1)) OR (p_size % 4 = 0) OR (p_size % 5 IN (0, 1)) AS needs_text,
+  p_size % 2 = 0 AS needs_profile, p_size % 3 = 1 AS needs_ratio, p_size % 7 IN (0, 1) AS needs_image
+FROM part"""

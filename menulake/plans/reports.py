@@ -43,14 +43,14 @@ def brand_protein_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.round(F.col("golden_ratio") * 1000).cast("long")).alias("_milli"),
         F.min_by(F.when(has, F.col("nutrition")), F.when(has, variation_order())).alias("nutrition"))
 
-    v = per_item.groupBy("restaurant_brand_id").agg(
-        *[F.sum(c).cast("long").alias(c) for c in ("variations", "excellent", "good", "poor", "_milli")])
-
-    first = per_item.filter(F.col("nutrition").isNotNull()).select("menu_item_id", "nutrition")
-    prof = profile_items(items, None, first=first)
+    # Items meet their per-item summary once; one aggregation per brand then
+    # gives both the variation counts and the item tag counts.
+    j = items.join(per_item.drop("restaurant_brand_id"), items["_id"] == per_item["menu_item_id"], "left")
+    prof = profile_items(j.drop("menu_item_id"), None)
     tags = F.coalesce(F.col("macronutrient_profile"), F.array().cast("array<string>"))
     i = prof.groupBy("restaurant_brand_id").agg(
         F.count(F.lit(1)).cast("long").alias("items"),
+        *[F.sum(c).cast("long").alias(c) for c in ("variations", "excellent", "good", "poor", "_milli")],
         _cnt(F.array_contains(tags, TAG_HIGH_PROTEIN)).alias("high_protein_items"),
         _cnt(F.array_contains(tags, TAG_LOW_CARB)).alias("low_carb_items"),
         _cnt(F.array_contains(tags, TAG_KETO)).alias("keto_items"),
@@ -58,7 +58,7 @@ def brand_protein_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     b = brands.select(F.col("_id").alias("restaurant_brand_id"), "brand_name", "restaurant_category",
                       "restaurant_cultural_cuisine", "category_source")
-    out = b.join(i, "restaurant_brand_id", "left").join(v, "restaurant_brand_id", "left")
+    out = b.join(i, "restaurant_brand_id", "left")
     zero = F.lit(0).cast("long")
     return out.select(
         "brand_name", "restaurant_category", "restaurant_cultural_cuisine", "category_source",
