@@ -44,16 +44,15 @@ def classify_missed(brands: DataFrame, answers: DataFrame, run_ts: str) -> DataF
                         & a["restaurant_cultural_cuisine"].isNotNull())
     j = brands.join(best, brands["_id"] == best["key"], "left").drop("key")
     need = F.col("needs_answer")
-    return (j.withColumn("restaurant_category",
-                         F.when(need, F.coalesce(F.col("a.restaurant_category"), F.lit(FALLBACK_CATEGORY)))
-                          .otherwise(F.col("restaurant_category")))
-             .withColumn("restaurant_cultural_cuisine",
-                         F.when(need, F.coalesce(F.col("a.restaurant_cultural_cuisine"),
-                                                 F.lit(FALLBACK_CUISINE)))
-                          .otherwise(F.col("restaurant_cultural_cuisine")))
-             .withColumn("category_source", F.when(need, F.lit(SOURCE_AI)).otherwise(F.col("category_source")))
-             .withColumn("last_updated", F.when(need, F.lit(run_ts)).otherwise(F.col("last_updated")))
-             .drop("a"))
+    return (j.withColumns({
+        "restaurant_category": F.when(need, F.coalesce(F.col("a.restaurant_category"), F.lit(FALLBACK_CATEGORY)))
+                                .otherwise(F.col("restaurant_category")),
+        "restaurant_cultural_cuisine": F.when(need, F.coalesce(F.col("a.restaurant_cultural_cuisine"),
+                                                               F.lit(FALLBACK_CUISINE)))
+                                        .otherwise(F.col("restaurant_cultural_cuisine")),
+        "category_source": F.when(need, F.lit(SOURCE_AI)).otherwise(F.col("category_source")),
+        "last_updated": F.when(need, F.lit(run_ts)).otherwise(F.col("last_updated")),
+    }).drop("a"))
 
 
 def enrich_brands(brands: DataFrame, lookup: DataFrame, answers: DataFrame, run_ts: str,
@@ -101,14 +100,12 @@ def enrich_items(items: DataFrame, brands: DataFrame, answers: DataFrame,
     cat = F.lower(F.coalesce(F.col("category"), F.lit("Food")))
     fallback_desc = F.format_string(FALLBACK_DESCRIPTION, cat, rn)
     fallback_cuisines = F.array(*[F.lit(c) for c in FALLBACK_CUISINES])
-    return (j.withColumn("text_status", F.when(need, F.lit("processed")).otherwise(F.lit("skipped")))
-             .withColumn("description",
-                         F.when(need, F.when(has, F.col("a.description")).otherwise(fallback_desc))
-                          .otherwise(F.col("description")))
-             .withColumn("estimated_price",
-                         F.when(need, F.when(has, F.col("a.estimated_price")).otherwise(F.lit(FALLBACK_PRICE)))
-                          .otherwise(F.col("estimated_price")))
-             .withColumn("cuisine_types",
-                         F.when(need, F.when(has, F.col("a.cuisine_types")).otherwise(fallback_cuisines))
-                          .otherwise(F.col("cuisine_types")))
-             .drop("a", "restaurant_name"))
+    return (j.withColumns({
+        "text_status": F.when(need, F.lit("processed")).otherwise(F.lit("skipped")),
+        "description": F.when(need, F.when(has, F.col("a.description")).otherwise(fallback_desc))
+                        .otherwise(F.col("description")),
+        "estimated_price": F.when(need, F.when(has, F.col("a.estimated_price")).otherwise(F.lit(FALLBACK_PRICE)))
+                            .otherwise(F.col("estimated_price")),
+        "cuisine_types": F.when(need, F.when(has, F.col("a.cuisine_types")).otherwise(fallback_cuisines))
+                          .otherwise(F.col("cuisine_types")),
+    }).drop("a", "restaurant_name"))

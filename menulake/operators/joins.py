@@ -53,15 +53,15 @@ def lookup_brand(brands: DataFrame, lookup: DataFrame, run_ts: str,
     j = (brands.withColumn("lookup_key", F.lower(strip_ws(F.col("brand_name"))))
          .join(lk, "lookup_key", "left"))
     hit = named & F.col("lk_category").isNotNull()
-    return (j.withColumn("lookup_hit", hit)
-             .withColumn("needs_answer", named & ~hit)
-             .withColumn("restaurant_category",
-                         F.when(hit, F.col("lk_category")).otherwise(F.col("restaurant_category")))
-             .withColumn("restaurant_cultural_cuisine",
-                         F.when(hit, F.col("lk_cuisine")).otherwise(F.col("restaurant_cultural_cuisine")))
-             .withColumn("category_source", F.when(hit, F.lit("lookup")).otherwise(F.col("category_source")))
-             .withColumn("last_updated", F.when(hit, F.lit(run_ts)).otherwise(F.col("last_updated")))
-             .drop("lookup_key", "lk_category", "lk_cuisine"))
+    return (j.withColumns({
+        "lookup_hit": hit,
+        "needs_answer": named & ~hit,
+        "restaurant_category": F.when(hit, F.col("lk_category")).otherwise(F.col("restaurant_category")),
+        "restaurant_cultural_cuisine": F.when(hit, F.col("lk_cuisine"))
+                                        .otherwise(F.col("restaurant_cultural_cuisine")),
+        "category_source": F.when(hit, F.lit("lookup")).otherwise(F.col("category_source")),
+        "last_updated": F.when(hit, F.lit(run_ts)).otherwise(F.col("last_updated")),
+    }).drop("lookup_key", "lk_category", "lk_cuisine"))
 
 
 def attach_nutrition(items: DataFrame, variations: DataFrame | None, first: DataFrame | None = None) -> DataFrame:
@@ -99,14 +99,14 @@ def profile_items(items: DataFrame, variations: DataFrame | None, force: bool =
 
     tags = profile_tags(num("calories"), num("protein_g"), num("carbs_g"), num("fat_g"),
                         num("sodium_mg"), num("sugars_g"))
+    processed = n.isNotNull() & needs_profile(force)
     status = (F.when(n.isNull(), F.lit("no_data"))
-               .when(needs_profile(force), F.lit("processed"))
+               .when(processed, F.lit("processed"))
                .otherwise(F.lit("skipped")))
-    return (j.withColumn("profile_status", status)
-             .withColumn("macronutrient_profile",
-                         F.when(F.col("profile_status") == "processed", tags)
-                          .otherwise(F.col("macronutrient_profile")))
-             .drop("nutrition"))
+    return (j.withColumns({
+        "profile_status": status,
+        "macronutrient_profile": F.when(processed, tags).otherwise(F.col("macronutrient_profile")),
+    }).drop("nutrition"))
 
 
 def attach_images(items: DataFrame, variations: DataFrame, force: bool = False) -> DataFrame:
@@ -119,15 +119,15 @@ def attach_images(items: DataFrame, variations: DataFrame, force: bool = False)
     if "menu_item_image_url" not in items.columns:
         j = j.withColumn("menu_item_image_url", F.lit(None).cast("string"))
     no_id = F.col("_id").isNull() | (F.col("_id") == "")
+    mapped = ~no_id & needs_image(force) & F.col("_img").isNotNull()
     status = (F.when(no_id, F.lit("no_id"))
                .when(~needs_image(force), F.lit("had_image"))
                .when(F.col("_img").isNotNull(), F.lit("mapped"))
                .otherwise(F.lit("no_image")))
-    return (j.withColumn("image_status", status)
-             .withColumn("menu_item_image_url",
-                         F.when(F.col("image_status") == "mapped", F.col("_img"))
-                          .otherwise(F.col("menu_item_image_url")))
-             .drop("_img"))
+    return (j.withColumns({
+        "image_status": status,
+        "menu_item_image_url": F.when(mapped, F.col("_img")).otherwise(F.col("menu_item_image_url")),
+    }).drop("_img"))
 
 
 def skip_done(work: DataFrame, done: DataFrame, key: str | Sequence[str]) -> DataFrame:
