@@ -217,3 +217,14 @@ def test_snapshot_round_trip_and_latest(spark, scratch):
         raise AssertionError("a non-array file must fail")
     except ValueError:
         pass
+
+
+def test_normalize_layout_branches_on_schema(spark):
+    from menulake.sources.io import normalize_layout
+    keyed = spark.createDataFrame([({"X": {"url": "u", "restaurant_logo": "", "items": [{"name": "a"}]}},)],
+                                  "doc " + RAW_KEYED_TYPE.simpleString())
+    layout, frames = normalize_layout(keyed)
+    assert layout == "keyed" and frames[1].count() == 1
+    v = spark.createDataFrame([("v", 1.0)], "_id string, nutrition double")
+    assert normalize_layout(v)[0] == "variations"
+    assert normalize_layout(spark.createDataFrame([("i",)], "_id string"))[0] == "items"
