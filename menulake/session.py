@@ -53,13 +53,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     as is. Only when it is unset (local tests) do we pick a scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    if not configured:
+        try:
+            configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - Connect session
+            configured = None
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="menulake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    try:
         spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="menulake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        pass
+    return configured
 
 
 def spread(df):
@@ -71,7 +77,9 @@ def spread(df):
     round-robin (one cheap shuffle). On a cluster, large tables already arrive
     in many splits and pass through unchanged.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view on a Connect session: leave as is
+        return df
+    return df.repartition(want) if have < want else df
