@@ -21,6 +21,7 @@ from menulake.functions.text import resolve_url, snake_case
 from menulake.operators.select import dedup_first, dedup_last
 
 PARSED_SCHEMA = T.StructType([
+    T.StructField("page_id", T.LongType()),
     T.StructField("url", T.StringType()),
     T.StructField("title", T.StringType()),
     T.StructField("links", T.ArrayType(T.StructType([
@@ -281,12 +282,12 @@ def _ingredients(root):
     return (el.text(" ") or "") if el is not None else ""
 
 
-def parse_page(url: str, html: str) -> dict:
+def parse_page(url: str, html: str, page_id: int | None = None) -> dict:
     """All raw fields of one page."""
     root = _dom(html)
     cols, paras = _allergens(root)
     return {
-        "url": url, "title": _title(root),
+        "page_id": page_id, "url": url, "title": _title(root),
         "links": [{"href": a.attrs["href"], "text": a.text(" ")} for a in root.find_all(_is("a", attr="href"))],
         "cards": _cards(root), "logo": _logo(root), "menu": _menu(root), "image_src": _image(root),
         "description": _description(root), "nutrition": _nutrition(root), "allergen_cols": cols,
@@ -294,19 +295,45 @@ def parse_page(url: str, html: str) -> dict:
     }
 
 
+# Parsed rows per output batch: pages can be large, so output is emitted in
+# slices instead of one batch per input batch.
+OUT_ROWS = 256
+
+
 def _parse_batches(batches):
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     schema = to_arrow_schema(PARSED_SCHEMA)
     for b in batches:
         d = b.to_pydict()
-        rows = [parse_page(u, h) for u, h in zip(d["url"], d["html"])]
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        ids = d.get("page_id") or [None] * len(d["url"])
+        rows = []
+        for pid, u, h in zip(ids, d["url"], d["html"]):
+            rows.append(parse_page(u, h, pid))
+            if len(rows) >= OUT_ROWS:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """The one Python pass: (url, html) -> raw extraction arrays, no html kept."""
-    return pages.select("url", "html").mapInArrow(_parse_batches, PARSED_SCHEMA)
+    """The one Python pass: (page_id, url, html) -> raw extraction arrays, no html kept.
+
+    Runs where the pages are read (no shuffle of html). Pages without a
+    ``page_id`` column get a null id.
+    """
+    pid = F.col("page_id").cast("long") if "page_id" in pages.columns else F.lit(None).cast("long")
+    return pages.select(pid.alias("page_id"), "url", "html").mapInArrow(_parse_batches, PARSED_SCHEMA)
+
+
+def first_page_per_url(parsed: DataFrame) -> DataFrame:
+    """S-08 dedup after the parse: the first stored page of each url by ``page_id``.
+
+    Deduplicating the compact parsed rows instead of the raw pages keeps the
+    html out of every shuffle.
+    """
+    return dedup_first(parsed, "url", "page_id")
 
 
 # -- DataFrame rules over the parsed table ---------------------------------

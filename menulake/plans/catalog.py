@@ -24,7 +24,7 @@ from menulake.operators.upsert import upsert
 from menulake.plans import bindings as B
 from menulake.plans import domain
 from menulake.plans.reports import brand_protein_report
-from menulake.sources.io import latest_per_key, read_pages
+from menulake.sources.io import first_page_keys, latest_per_key, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -336,8 +336,7 @@ def q_latest_per_key(spark, sf):
 # -- pages (S-08, V-08) and long text (V-02) ----------------------------------
 
 def q_read_pages(spark, sf):
-    p = read_pages(spark, f"{sf}/pages.parquet")
-    return p.select("url", "page_id", F.length("html").alias("html_len"))
+    return first_page_keys(read_pages(spark, f"{sf}/pages.parquet")).select("url", "page_id", "html_len")
 
 
 def q_check_url(spark, sf):
