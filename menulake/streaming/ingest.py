@@ -17,6 +17,12 @@ from pyspark.sql import types as T
 
 from menulake.operators.extract import parse_pages
 from menulake.operators.upsert import upsert
+from menulake.sources.io import snapshot_before
+
+
+def _snapshot_before_stamp(spark: SparkSession, target: str, stamp: str) -> DataFrame | None:
+    root, coll = target.rstrip("/").rsplit("/", 1)
+    return snapshot_before(spark, root, coll, stamp)
 
 PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -61,18 +67,6 @@ def stream_ingest(spark: SparkSession, src: str, target: str, checkpoint: str,
     return len(seen)
 
 
-def _latest_before(spark: SparkSession, root: str, stamp: str) -> DataFrame | None:
-    try:
-        snaps = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - nothing published yet
-        return None
-    older = snaps.filter(F.col("run_ts") < stamp)
-    newest = older.select(F.max("run_ts")).first()[0]
-    if newest is None:
-        return None
-    return older.filter(F.col("run_ts") == F.lit(newest)).drop("run_ts")
-
-
 def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str,
                   key: str = "_id", base: DataFrame | None = None,
                   prepare: Callable[[DataFrame], DataFrame] | None = None) -> int:
@@ -88,7 +82,7 @@ def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoin
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = batch_stamp(batch_id)
         fresh = prepare(batch) if prepare else batch
-        prev = _latest_before(spark, target, stamp)
+        prev = _snapshot_before_stamp(spark, target, stamp)
         if prev is None:
             prev = base if base is not None else fresh.limit(0)
         table = upsert(prev, fresh, key).table

@@ -87,3 +87,15 @@ def test_entry_and_contract(spark):
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert all(callable(f) for f in qs.values())
+
+
+def test_publish_replay_same_run_is_idempotent(spark, scratch):
+    from menulake.plans.jobs import publish
+    from menulake.sources.io import write_snapshot
+    root = os.path.join(scratch, "lake")
+    b = spark.createDataFrame([("b1", "Brand One")], "_id string, brand_name string")
+    write_snapshot({"brands": b}, f"{root}/enriched", "r1")
+    first = publish(spark, root, "r1")
+    again = publish(spark, root, "r1")      # replay of the same run
+    assert first["brands"]["inserted"] == 1 and again["brands"]["inserted"] == 1
+    assert spark.read.parquet(f"{root}/published/brands").count() == 1
