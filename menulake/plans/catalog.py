@@ -493,6 +493,29 @@ def q_stream_upsert_orders(spark, sf):
         "_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
 
+# -- jobs end to end (L-02, U-02) -----------------------------------------------
+
+def q_published_menu_items(spark, sf):
+    """Raw snapshot from the bindings -> enrich job -> publish job -> published items."""
+    from menulake.plans.jobs import EnrichInputs, enrich, publish
+    from menulake.sources.io import latest_snapshot, write_snapshot
+    root = _stream_root(spark).replace("/streams/", "/jobs/")
+    part = B.read(spark, sf, "part")
+    write_snapshot({"brands": domain.brands(spark, sf).drop("brand_pos"),
+                    "menu_items": domain.menu_items(spark, sf).drop("brand_name", "item_pos"),
+                    "variations": domain.variations(spark, sf)}, f"{root}/raw", B.RUN_TS)
+    inputs = EnrichInputs(B.category_lookup(part), B.brand_answers(part), B.item_answers(part), "lookup_pos")
+    steps = enrich(spark, root, B.RUN_TS, inputs)
+    failed = [s.name for s in steps if not s.ok]
+    if failed:
+        raise RuntimeError(f"enrichment steps failed: {failed}")
+    publish(spark, root, B.RUN_TS)
+    items = latest_snapshot(spark, f"{root}/published", "menu_items")
+    return items.select("_id", "name", "description", "estimated_price",
+                        F.array_join("cuisine_types", ",").alias("cuisine_types"),
+                        _tags_text("macronutrient_profile").alias("tags"), "menu_item_image_url")
+
+
 QUERIES: dict[str, Query] = {
     "brand_protein_report": brand_protein_report,
     "to_brands": q_to_brands,
@@ -541,4 +564,5 @@ QUERIES: dict[str, Query] = {
     "page_links": q_page_links,
     "stream_page_titles": q_stream_page_titles,
     "stream_upsert_orders": q_stream_upsert_orders,
+    "published_menu_items": q_published_menu_items,
 }

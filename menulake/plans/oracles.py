@@ -521,3 +521,16 @@ ORACLES["needs_work"] = """
 SELECT p_partkey, (p_size % 3 IN (0, 1)) OR (p_size % 4 = 0) OR (p_size % 5 IN (0, 1)) AS needs_text,
   p_size % 2 = 0 AS needs_profile, p_size % 3 = 1 AS needs_ratio, p_size % 7 IN (0, 1) AS needs_image
 FROM part"""
+
+ORACLES["published_menu_items"] = with_ctes(CTE_ITEMS, CTE_VARIATIONS + CTE_PROFILES, body=f"""
+, a AS (
+  SELECT _id, p_size % 7 <> 0 AND p_partkey % 5 >= 2 AS ok, p_name, p_type, p_brand, {PRICE_TXT} AS price
+  FROM it)
+SELECT a._id, a.p_name AS name,
+  CASE WHEN ok THEN 'House ' || p_name || ', made to order.'
+       ELSE 'A delicious ' || lower(p_type) || ' item from ' || p_brand || '.' END AS description,
+  CASE WHEN ok THEN price ELSE '9.99' END AS estimated_price,
+  CASE WHEN ok THEN 'American,' || p_type || ',International'
+       ELSE 'American,International,Casual' END AS cuisine_types,
+  prof.tags AS tags, fi.image_url AS menu_item_image_url
+FROM a JOIN prof ON a._id = prof._id LEFT JOIN fi ON a._id = fi.menu_item_id""")
