@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from menulake.functions.nutrition import RATIO_EXCELLENT, RATIO_GOOD, RATIO_POOR
+from menulake.functions.nutrition import RATIO_EXCELLENT, RATIO_GOOD
 
 
 def _count_if(cond: Column) -> Column:

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from tests.test_extract import BASE, ITEM_TD, ITEM_TH, KIDS, LARGE, LISTING, MENU, SIZES, SMALL
 
