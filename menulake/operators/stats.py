@@ -53,10 +53,28 @@ def ratio_distribution(scored: DataFrame) -> DataFrame:
 
 
 def ratio_report(scored: DataFrame) -> DataFrame:
-    """A-01 + A-02 as the one-row run report (nested like the stats file)."""
-    c = ratio_counts(scored)
-    d = ratio_distribution(scored)
-    return c.crossJoin(d).select(
+    """A-01 + A-02 as the one-row run report (nested like the stats file), in one aggregate."""
+    st = F.col("ratio_status")
+    done = st == "processed"
+    cat = F.col("golden_ratio_category")
+    r = F.when(done, F.col("golden_ratio"))
+    agg = scored.agg(
+        F.count(F.lit(1)).cast("long").alias("total_items"),
+        _count_if(done).alias("processed"),
+        _count_if(st == "skipped").alias("skipped"),
+        _count_if(st == "no_data").alias("no_nutrition_data"),
+        F.lit(0).cast("long").alias("errors"),
+        _count_if(done & (cat == RATIO_EXCELLENT)).alias("excellent"),
+        _count_if(done & (cat == RATIO_GOOD)).alias("good"),
+        _count_if(done & (cat != RATIO_EXCELLENT) & (cat != RATIO_GOOD)).alias("poor"),
+        F.bround(F.min(r), 3).alias("min"),
+        F.bround(F.max(r), 3).alias("max"),
+        F.bround(F.sum(_milli(r)) / F.count(r) / 1000, 3).alias("average"),
+        # percentile_disc skips nulls, so only the newly scored rows count
+        F.bround(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY CASE WHEN ratio_status = "
+                        "'processed' THEN golden_ratio END DESC)"), 3).alias("median"),
+    )
+    return agg.select(
         "total_items", "processed", "skipped", "no_nutrition_data", "errors",
         F.struct("excellent", "good", "poor").alias("ratio_stats"),
         F.when(F.col("processed") > 0, F.struct("min", "max", "average", "median"))
@@ -81,11 +99,13 @@ def step_counts(df: DataFrame, step: str, status_col: str) -> DataFrame:
 
 
 def nested_totals(raw_brands: DataFrame, raw_items: DataFrame, raw_servings: DataFrame) -> DataFrame:
-    """A-05: brands, items and servings over the raw input."""
-    b = raw_brands.agg(F.count(F.lit(1)).cast("long").alias("brands"))
-    i = raw_items.agg(F.count(F.lit(1)).cast("long").alias("items"))
-    s = raw_servings.agg(F.count(F.lit(1)).cast("long").alias("servings"))
-    return b.crossJoin(i).crossJoin(s)
+    """A-05: brands, items and servings over the raw input, as one row."""
+    parts = [raw_brands.agg(F.lit("brands").alias("k"), F.count(F.lit(1)).alias("n")),
+             raw_items.agg(F.lit("items").alias("k"), F.count(F.lit(1)).alias("n")),
+             raw_servings.agg(F.lit("servings").alias("k"), F.count(F.lit(1)).alias("n"))]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return u.agg(*[F.sum(F.when(F.col("k") == k, F.col("n"))).cast("long").alias(k)
+                   for k in ("brands", "items", "servings")])
 
 
 def brand_summary(brands: DataFrame, items: DataFrame, variations: DataFrame) -> DataFrame:
