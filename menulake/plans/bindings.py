@@ -78,19 +78,19 @@ def _int_text(c: Column) -> Column:
 def nutrition_text() -> Column:
     """Scraped-style nutrition map for one lineitem row."""
     carbs = F.round(F.col("l_tax") * 1000)
-    m = F.create_map(
+    return F.create_map(
         F.lit("serving_size"), F.concat(_int_text(F.col("l_quantity") * 10), F.lit(" g")),
         F.lit("calories"), _int_text(F.col("l_quantity") * 18),
         F.lit("protein"), F.concat(_int_text(F.round(F.col("l_discount") * 600)), F.lit("g")),
         F.lit("total_carbohydrates"),
         F.when(carbs == 0, F.lit("<1g")).otherwise(F.concat(_int_text(carbs), F.lit("g"))),
         F.lit("total_fat"), F.concat(_int_text(F.col("l_partkey") % 45), F.lit("g")),
+        # open orders also state fat under the alternate key (null elsewhere)
+        F.lit("fat"), F.when(F.col("l_linestatus") == "O",
+                             F.concat(_int_text(F.col("l_partkey") % 45 + 2), F.lit(" g"))),
         F.lit("sodium"), F.concat(F.format_number((F.col("l_orderkey") * 7) % 1500, 0), F.lit(" mg")),
         F.lit("sugars"), F.concat(_int_text((F.col("l_suppkey") * 3) % 40), F.lit("g")),
     )
-    # open orders also state fat under the alternate key
-    alt = F.create_map(F.lit("fat"), F.concat(_int_text(F.col("l_partkey") % 45 + 2), F.lit(" g")))
-    return F.when(F.col("l_linestatus") == "O", F.map_concat(m, alt)).otherwise(m)
 
 
 def serving_order() -> Column:

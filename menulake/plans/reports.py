@@ -20,6 +20,9 @@ from menulake.operators.select import variation_order
 from menulake.plans import domain
 
 
+PROFILE_FIELDS = ("calories", "protein_g", "carbs_g", "fat_g", "sodium_mg", "sugars_g")
+
+
 def _cnt(cond) -> F.Column:
     return F.count_if(cond).cast("long")
 
@@ -35,13 +38,17 @@ def brand_protein_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_variations(variations)
     cat = F.col("golden_ratio_category")
     has = F.col("nutrition").isNotNull()
+    # only the nutrients the tag rules read travel with the first variation,
+    # so the other nine are never parsed
+    n = F.col("nutrition")
+    tag_inputs = F.struct(*[n[f].alias(f) for f in PROFILE_FIELDS])
     per_item = scored.groupBy("menu_item_id", "restaurant_brand_id").agg(
         F.count(F.lit(1)).cast("long").alias("variations"),
         _cnt(cat == RATIO_EXCELLENT).alias("excellent"),
         _cnt(cat == RATIO_GOOD).alias("good"),
         _cnt(cat == RATIO_POOR).alias("poor"),
         F.sum(F.round(F.col("golden_ratio") * 1000).cast("long")).alias("_milli"),
-        F.min_by(F.when(has, F.col("nutrition")), F.when(has, variation_order())).alias("nutrition"))
+        F.min_by(F.when(has, tag_inputs), F.when(has, variation_order())).alias("nutrition"))
 
     # Items meet their per-item summary once; one aggregation per brand then
     # gives both the variation counts and the item tag counts.
