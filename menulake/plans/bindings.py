@@ -31,9 +31,18 @@ LOOKUP_REPEAT_MAX = 3      # these appear twice; the later entry must win
 ROW_HEAVY = {"lineitem", "pages", "documents"}
 
 
+_READS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return spread(df) if table in ROW_HEAVY else df
+    """A driver table; the DataFrame is reused within a session (the tables are read-only)."""
+    key = (id(spark), sf_dir, table)
+    df = _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        df = spread(df) if table in ROW_HEAVY else df
+        _READS[key] = df
+    return df
 
 
 def brand_number(c="p_brand") -> Column:
@@ -125,12 +134,12 @@ def raw_servings(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def category_lookup(part: DataFrame) -> DataFrame:
+def category_lookup(part: DataFrame, brands: DataFrame | None = None) -> DataFrame:
     """Derived lookup: brands numbered <= 20, names upper-cased and padded.
 
     Brands numbered <= 3 appear a second time, later, with another category.
     """
-    b = raw_brands(part).select("name", brand_number("name").alias("n"))
+    b = (brands if brands is not None else raw_brands(part)).select("name", brand_number("name").alias("n"))
     cats = F.array(*[F.lit(c) for c in LOOKUP_CATEGORIES])
     cuis = F.array(*[F.lit(c) for c in LOOKUP_CUISINES])
 
@@ -145,9 +154,9 @@ def category_lookup(part: DataFrame) -> DataFrame:
     return entry(0, 0).unionByName(entry(1, 1000))
 
 
-def brand_answers(part: DataFrame) -> DataFrame:
+def brand_answers(part: DataFrame, brands: DataFrame | None = None) -> DataFrame:
     """Derived answers for brands that miss the lookup; some malformed, one retried."""
-    b = raw_brands(part).select(stable_id("name").alias("key"), brand_number("name").alias("n")) \
+    b = (brands if brands is not None else raw_brands(part)).select(stable_id("name").alias("key"), brand_number("name").alias("n")) \
         .filter(F.col("n") > LOOKUP_HIT_MAX)
     cats = F.array(*[F.lit(c) for c in LOOKUP_CATEGORIES])
     cuis = F.array(*[F.lit(c) for c in LOOKUP_CUISINES])

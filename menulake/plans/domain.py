@@ -45,8 +45,9 @@ def variations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = B.read(spark, sf_dir, "part")
-    return enrich_brands(to_brands(B.raw_brands(part), B.RUN_TS), B.category_lookup(part),
-                         B.brand_answers(part), B.RUN_TS, lookup_pos="lookup_pos")
+    rb = B.raw_brands(part)
+    return enrich_brands(to_brands(rb, B.RUN_TS), B.category_lookup(part, rb),
+                         B.brand_answers(part, rb), B.RUN_TS, lookup_pos="lookup_pos")
 
 
 def scored_variations(spark: SparkSession, sf_dir: str, force: bool = False) -> DataFrame:
