@@ -22,11 +22,18 @@ LOOKUP_BROADCAST_ROWS = 1_000_000
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
 
-    The check counts at most ``max_rows + 1`` rows, so it stays cheap even
-    when the side turns out to be large.
+    The side is persisted before the check, so the rows the count computes
+    are the rows the join then uses (a derived lookup is not recomputed from
+    its source). The check counts at most ``max_rows + 1`` rows; a side that
+    turns out large is released and joined by shuffle instead.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    from pyspark import StorageLevel
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def lookup_keys(lookup: DataFrame, pos: str | None = None) -> DataFrame:
