@@ -129,13 +129,13 @@ def fetch_log_stats(log: DataFrame, by: str | None = None) -> DataFrame:
 
     ``log`` has one row per fetch: ``ok`` boolean, ``attempts`` int, ``ts``.
     """
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
     aggs = [
         F.count(F.lit(1)).cast("long").alias("total_requests"),
         _count_if(F.col("ok")).alias("successful"),
         _count_if(~F.col("ok")).alias("failed"),
         F.sum(F.col("attempts") - 1).cast("long").alias("retries"),
         F.coalesce(_count_if(F.col("ok")) / F.count(F.lit(1)) * 100, F.lit(0.0)).alias("success_pct"),
-        ((F.max(us) - F.min(us)) / 1_000_000).alias("duration_s"),
+        # difference of the wall-clock stamps, no time zone involved
+        (F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")) / 1_000_000).alias("duration_s"),
     ]
     return log.groupBy(by).agg(*aggs) if by else log.agg(*aggs)
