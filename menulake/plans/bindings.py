@@ -46,7 +46,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def brand_number(c="p_brand") -> Column:
-    return F.regexp_extract(F.col(c) if isinstance(c, str) else c, r"([0-9]+)", 1).cast("int")
+    return F.regexp_extract(F.col(c) if isinstance(c, str) else c, r"([0-9]+)", 1).try_cast("int")
 
 
 def brand_url(c: Column) -> Column:

@@ -423,7 +423,7 @@ def order_rows(o: DataFrame) -> DataFrame:
 def fresh_orders(o: DataFrame) -> DataFrame:
     """The fresh side of the upsert: orders from 1995 on, some changed, some nulled."""
     o = order_rows(o)
-    k = F.regexp_extract("_id", "([0-9]+)", 1).cast("long")
+    k = F.regexp_extract("_id", "([0-9]+)", 1).try_cast("long")
     return (o.filter(F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
             .select("_id",
                     F.when(k % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))

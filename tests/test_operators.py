@@ -228,3 +228,12 @@ def test_normalize_layout_branches_on_schema(spark):
     v = spark.createDataFrame([("v", 1.0)], "_id string, nutrition double")
     assert normalize_layout(v)[0] == "variations"
     assert normalize_layout(spark.createDataFrame([("i",)], "_id string"))[0] == "items"
+
+
+def test_non_numeric_nutrient_text_becomes_null(spark):
+    v = spark.createDataFrame([("v", "m", "abc", "-2", "7")],
+                              "_id string, menu_item_id string, p string, c string, f string")
+    v = v.select("_id", "menu_item_id", F.struct(F.col("p").alias("protein_g"), F.col("c").alias("carbs_g"),
+                                                 F.col("f").alias("fat_g")).alias("nutrition"))
+    n = quality.with_errors(v, "variations").first()["nutrition"]
+    assert (n["protein_g"], n["carbs_g"], n["fat_g"]) == (None, None, 7.0)
