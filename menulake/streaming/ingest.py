@@ -20,6 +20,37 @@ from menulake.operators.upsert import upsert
 from menulake.sources.io import snapshot_before
 
 
+def stream_keyed_documents(spark: SparkSession, src: str, root: str, checkpoint: str,
+                           run_ts_prefix: str = "stream") -> int:
+    """T-01 over saved keyed brand documents (the resume files of an ingest).
+
+    Each new JSON file under ``src`` is read once; every micro-batch is
+    normalized (N-01..N-04) and written as a raw snapshot named by its batch,
+    ``root/raw/<collection>/run_ts=<prefix>-<stamp>``. A restarted stream
+    skips files it has committed; a replayed batch rewrites its own snapshot.
+    """
+    from menulake.operators.normalize import normalize
+    from menulake.sources.io import keyed_texts_to_flat, write_snapshot
+    stream = (spark.readStream.option("wholetext", True).text(src)
+              .select("value", F.col("_metadata.file_path").alias("_file")))
+    runs = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run_ts = f"{run_ts_prefix}-{batch_stamp(batch_id)}"
+        rb, ri, rs = keyed_texts_to_flat(batch)
+        n = normalize(rb, ri, rs, run_ts)
+        write_snapshot({"brands": n.brands.drop("brand_pos"),
+                        "menu_items": n.menu_items.drop("brand_name", "item_pos"),
+                        "variations": n.variations}, f"{root}/raw", run_ts)
+        runs.append(batch_id)
+
+    q = (stream.writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return len(runs)
+
+
 def _snapshot_before_stamp(spark: SparkSession, target: str, stamp: str) -> DataFrame | None:
     root, coll = target.rstrip("/").rsplit("/", 1)
     return snapshot_before(spark, root, coll, stamp)

@@ -98,3 +98,25 @@ def test_publish_replay_same_run_is_idempotent(spark, scratch):
     again = publish(spark, root, "r1")      # replay of the same run
     assert first["brands"]["inserted"] == 1 and again["brands"]["inserted"] == 1
     assert spark.read.parquet(f"{root}/published/brands").count() == 1
+
+
+def test_stream_keyed_documents_resume(spark, scratch):
+    import json
+    from menulake.streaming.ingest import stream_keyed_documents
+    src = os.path.join(scratch, "docs")
+    os.makedirs(src)
+    doc = {"Brand A": {"url": "https://s.org/a", "restaurant_logo": "", "items": [
+        {"name": "One", "url": "https://s.org/a/1", "category": "C",
+         "nutritional_values": {"serving_sizes": [{"size_label": "S", "nutrition": {"calories": "100"}}]}}]}}
+    with open(os.path.join(src, "checkpoint_a.json"), "w") as fh:
+        json.dump(doc, fh)
+    root, ckpt = os.path.join(scratch, "lake"), os.path.join(scratch, "ckpt")
+    assert stream_keyed_documents(spark, src, root, ckpt) == 1
+    assert stream_keyed_documents(spark, src, root, ckpt) == 0      # nothing new
+    doc2 = {"Brand B": {"url": "https://s.org/b", "restaurant_logo": "", "items": []}}
+    with open(os.path.join(src, "checkpoint_b.json"), "w") as fh:
+        json.dump(doc2, fh)
+    assert stream_keyed_documents(spark, src, root, ckpt) == 1      # only the new file
+    brands = sorted(r["brand_name"] for r in spark.read.parquet(f"{root}/raw/brands").collect())
+    assert brands == ["Brand A", "Brand B"]
+    assert spark.read.parquet(f"{root}/raw/variations").count() == 1
