@@ -493,6 +493,36 @@ def q_stream_upsert_orders(spark, sf):
         "_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
 
+def q_page_facts(spark, sf):
+    """H-01..H-10 over every stored page: the sizes of what each rule found."""
+    from menulake.operators.extract import allergens_struct, nutrition_map, parse_pages
+    p = parse_pages(B.read(spark, sf, "pages"))
+    a = allergens_struct("allergen_cols", "allergen_paras")
+    return p.select(
+        "url", "title",
+        F.size("cards").cast("long").alias("cards"),
+        F.size("menu").cast("long").alias("menu_items"),
+        "logo", "image_src", "description",
+        F.size(nutrition_map("nutrition")).cast("long").alias("nutrients"),
+        F.size(a["contains"]).cast("long").alias("allergens"),
+        a["allergy_information"].alias("allergy_information"),
+        F.size("options").cast("long").alias("options"),
+        "ingredients",
+        F.size("links").cast("long").alias("links"))
+
+
+def q_snapshot_roundtrip(spark, sf):
+    """S-04 then S-03: orders written as two runs; the newest run is read back."""
+    from menulake.sources.io import latest_snapshot, write_snapshot
+    root = _stream_root(spark).replace("/streams/", "/snapshots/")
+    o = B.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    cut = F.lit("1996-01-01").cast("timestamp_ntz")
+    write_snapshot({"orders": o.filter(F.col("o_orderdate") < cut)}, root, "2024-01-01")
+    write_snapshot({"orders": o.filter(F.col("o_orderdate") >= cut)}, root, "2024-02-01")
+    return latest_snapshot(spark, root, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", _date_text("o_orderdate").alias("o_orderdate"), "run_ts")
+
+
 # -- jobs end to end (L-02, U-02) -----------------------------------------------
 
 def q_published_menu_items(spark, sf):
@@ -565,4 +595,6 @@ QUERIES: dict[str, Query] = {
     "stream_page_titles": q_stream_page_titles,
     "stream_upsert_orders": q_stream_upsert_orders,
     "published_menu_items": q_published_menu_items,
+    "page_facts": q_page_facts,
+    "snapshot_roundtrip": q_snapshot_roundtrip,
 }

@@ -534,3 +534,20 @@ SELECT a._id, a.p_name AS name,
        ELSE 'American,International,Casual' END AS cuisine_types,
   prof.tags AS tags, fi.image_url AS menu_item_image_url
 FROM a JOIN prof ON a._id = prof._id LEFT JOIN fi ON a._id = fi.menu_item_id""")
+
+# The stored pages hold no listing cards, menu blocks, logos, item images,
+# description elements, nutrition tables, allergen sections, size menus or
+# ingredient blocks, so each rule must find nothing on every page.
+ORACLES["page_facts"] = f"""
+SELECT url, {_STRIP.format(x=_DECODE.format(x="regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1)"))} AS title,
+  CAST(0 AS BIGINT) AS cards, CAST(0 AS BIGINT) AS menu_items, CAST(NULL AS VARCHAR) AS logo,
+  CAST(NULL AS VARCHAR) AS image_src, CAST(NULL AS VARCHAR) AS description,
+  CAST(0 AS BIGINT) AS nutrients, CAST(0 AS BIGINT) AS allergens, '' AS allergy_information,
+  CAST(0 AS BIGINT) AS options, '' AS ingredients,
+  CAST(len(regexp_extract_all(html, '<a href="[^"]*"')) AS BIGINT) AS links
+FROM pages"""
+
+ORACLES["snapshot_roundtrip"] = """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
+  '2024-02-01' AS run_ts
+FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'"""

@@ -128,6 +128,7 @@ def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoin
 
 
 def latest_stream_snapshot(spark: SparkSession, target: str) -> DataFrame:
-    snaps = spark.read.parquet(target)
+    from menulake.sources.io import read_snapshots
+    snaps = read_snapshots(spark, target)
     newest = snaps.select(F.max("run_ts")).first()[0]
     return snaps.filter(F.col("run_ts") == F.lit(newest)).drop("run_ts")
