@@ -237,3 +237,17 @@ def test_non_numeric_nutrient_text_becomes_null(spark):
                                                  F.col("f").alias("fat_g")).alias("nutrition"))
     n = quality.with_errors(v, "variations").first()["nutrition"]
     assert (n["protein_g"], n["carbs_g"], n["fat_g"]) == (None, None, 7.0)
+
+
+def test_upsert_both_plans_agree(spark):
+    base = spark.createDataFrame([(f"k{i}", i, "b") for i in range(50)] + [(None, -1, "nullkey")],
+                                 "_id string, v int, only_base string")
+    fresh = spark.createDataFrame([(f"k{i}", i * (i % 3), "x") for i in range(40, 60)] + [(None, 7, "y")],
+                                  "_id string, v int, extra string")
+    small = upsert(base, fresh)                       # broadcast plan
+    big = upsert(base, fresh, broadcast_rows=None)    # full outer plan
+    rows = lambda r: sorted((tuple(x) for x in r.table.collect()), key=repr)
+    assert rows(small) == rows(big)
+    assert tuple(small.counts.first()) == tuple(big.counts.first())
+    c = small.counts.first()
+    assert (c["inserted"], c["matched"]) == (11, 10)
