@@ -134,7 +134,9 @@ def fetch_log_stats(log: DataFrame, by: str | None = None) -> DataFrame:
         _count_if(F.col("ok")).alias("successful"),
         _count_if(~F.col("ok")).alias("failed"),
         F.sum(F.col("attempts") - 1).cast("long").alias("retries"),
-        F.coalesce(_count_if(F.col("ok")) / F.count(F.lit(1)) * 100, F.lit(0.0)).alias("success_pct"),
+        # 0 when there were no requests (no division by zero under ANSI mode)
+        F.when(F.count(F.lit(1)) > 0, _count_if(F.col("ok")) / F.count(F.lit(1)) * 100)
+         .otherwise(F.lit(0.0)).alias("success_pct"),
         # difference of the wall-clock stamps, no time zone involved
         (F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")) / 1_000_000).alias("duration_s"),
     ]

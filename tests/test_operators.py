@@ -251,3 +251,17 @@ def test_upsert_both_plans_agree(spark):
     assert tuple(small.counts.first()) == tuple(big.counts.first())
     c = small.counts.first()
     assert (c["inserted"], c["matched"]) == (11, 10)
+
+
+def test_fetch_stats_empty_log_and_stats_written_only_with_ratios(spark, scratch):
+    log = spark.createDataFrame([], "source long, url string, ok boolean, attempts int, ts timestamp_ntz")
+    r = stats.fetch_log_stats(log).first()
+    assert (r["total_requests"], r["successful"], r["success_pct"]) == (0, 0, 0.0)
+    from menulake.sources.io import write_stats
+    none_scored = spark.createDataFrame([("no_data", None, None)],
+                                        "ratio_status string, golden_ratio double, golden_ratio_category string")
+    assert write_stats(stats.ratio_report(none_scored), scratch, "r1") is False
+    scored = spark.createDataFrame([("processed", 0.5, "Good")],
+                                   "ratio_status string, golden_ratio double, golden_ratio_category string")
+    assert write_stats(stats.ratio_report(scored), scratch, "r2") is True
+    assert spark.read.json(os.path.join(scratch, "stats")).first()["ratio_stats"]["good"] == 1
