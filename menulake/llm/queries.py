@@ -21,3 +21,12 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.common import Tables
+    from menulake.llm.token_files import read_tokens, write_tokens
+    path = Tables(spark, "tokens").root
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return read_tokens(spark, path, digest=True)
