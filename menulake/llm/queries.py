@@ -30,3 +30,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Tables(spark, "tokens").root
     write_tokens(table(spark, sf_dir, "documents"), path)
     return read_tokens(spark, path, digest=True)
+
+
+@query
+def op10_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.extract_text import extract_text
+    return extract_text(table(spark, sf_dir, "pages"))
