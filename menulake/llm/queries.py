@@ -36,3 +36,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.extract_text import extract_text
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.mix import mix
+    return mix(table(spark, sf_dir, "documents"))
