@@ -42,3 +42,9 @@ def op10_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.mix import mix
     return mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.line_quality import line_quality
+    return line_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
