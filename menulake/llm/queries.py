@@ -48,3 +48,9 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.line_quality import line_quality
     return line_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.near_copies import near_copies
+    return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
