@@ -54,3 +54,9 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.near_copies import near_copies
     return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -3,16 +3,15 @@
 A token folder holds two tables. ``codes`` has the code length of every id that
 occurs; code words follow from the lengths (canonical order: by length, then
 id) and are at most ``max(16, bits of the vocabulary + 1)`` bits long.
-``blocks`` has one Parquet file for each range of doc_id, and in it one row a
-block: whole documents in ascending doc_id order, at least ``block_tokens``
+``blocks`` has a number for each range of doc_id, the file, and one row a block of it: whole documents in ascending doc_id order, at least ``block_tokens``
 tokens unless the file ends. A row holds the documents (id, tokens), the coded
 bits (first bit highest) and the bit offset of every 128th token, so blocks
 decode on their own, and a block's checkpoints decode side by side through one
 lookup table.
 
-The tokens are made twice, once to count and once to code, so that no uncoded
-ids are stored between the passes. Both passes are Spark jobs; the driver sees
-the counts of the vocabulary only.
+Texts are tokenized once: the ids, two bytes each, stand in a table between
+counting and coding, which is dropped afterwards. The driver sees the counts of
+the vocabulary only.
 """
 
 from __future__ import annotations
@@ -25,17 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from menulake.llm.common import columns, text_of
+from menulake.llm.common import Tables, columns, text_of
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 STEP = 128
 #: Words kept a Python worker; the store starts anew beyond it, which changes no result.
-MAX_WORDS = 600_000
+MAX_WORDS = 1_000_000
 _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("tokens", "<i8")])
 
 # ---------------------------------------------------------------- tokens
@@ -90,59 +90,104 @@ class _Words(dict):
 _words: dict[str | None, _Words] = {}
 
 
-def _tokens(texts: list[str], path: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts, each with the end id, and the number of each."""
+def _looked_up(texts: pa.Array, path: str | None) -> tuple[_Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The word store; the numbers of the distinct words; for each word its place among those; words of each text."""
     words = _words.get(path) or _words.setdefault(path, _Words(path))
     if len(words) > MAX_WORDS:
         words.reset()
-    get, end, picked, n = words.__getitem__, [words.end], [], []
-    for t in texts:
-        w = t.replace("\n", " ").split(" ")
-        w = np.fromiter(map(get, w), np.int32, len(w))
-        picked += [w, end]
-        n.append(len(w) + 1)
-    if not texts:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64)
-    flat, sizes = np.array(words.flat, np.int32), np.array(words.sizes, np.int64)
-    begins = np.cumsum(sizes) - sizes
-    picked = np.concatenate(picked).astype(np.int64)
-    many = sizes[picked]
-    before = np.cumsum(many) - many
-    at = np.repeat(begins[picked] - before, many)
-    at += np.arange(len(at))
-    docs = np.cumsum(n) - n
-    return flat[at], np.add.reduceat(many, docs)
-
-
-def _some(batches: Iterator[pa.RecordBatch], chars: int = 8_000_000) -> Iterator[tuple[list, list[str]]]:
+    split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+    coded = split.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    numbers = np.fromiter(map(words.__getitem__, distinct), np.int32, len(distinct))
+    return words, numbers, coded.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+
+
+def _tokens(texts: pa.Array, path: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, each with the end id, and the number of each."""
+    words, numbers, places, n = _looked_up(texts, path)
+    flat, sizes = np.array(words.flat, np.int32), np.array(words.sizes, np.int32)
+    begins = np.cumsum(sizes, dtype=np.int32) - sizes
+    numbers = np.append(numbers, words.end).astype(np.int32)
+    # the end id is one more word of each text
+    last = np.cumsum(n + 1) - 1
+    picked = np.empty(len(places) + len(n), np.int32)
+    is_end = np.zeros(len(picked), bool)
+    is_end[last] = True
+    picked[is_end], picked[~is_end] = len(numbers) - 1, places
+    begins, sizes = begins[numbers], sizes[numbers]
+    out = []
+    for k in range(0, len(picked), 100_000):  # arrays of a size that caches hold
+        some = picked[k:k + 100_000]
+        many = sizes[some]
+        before = np.cumsum(many, dtype=np.int32) - many
+        at = np.repeat(begins[some] - before, many)
+        at += np.arange(len(at), dtype=np.int32)
+        out.append(flat[at])
+    many = np.add.reduceat(sizes[picked], last - n, dtype=np.int64) if len(n) else np.zeros(0, np.int64)
+    return np.concatenate(out) if out else np.zeros(0, np.int32), many
+
+
+def _some(batches: Iterator[pa.RecordBatch], most: int = 8_000_000) -> Iterator[tuple[list, pa.Array]]:
     """Ids and texts of a few MB at a time."""
-    ids, texts, held = [], [], 0
     for b in batches:
-        for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            t = t.as_py()
-            ids.append(i)
-            texts.append(t)
-            held += len(t)
-            if held >= chars:
-                yield ids, texts
-                ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
-
-
-def _counts(path: str | None):
+        ids, texts = b.column(0), b.column(1)
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        a = 0
+        while a < len(ends):
+            done = ends[a - 1] if a else 0
+            z = max(a + 1, int(np.searchsorted(ends, done + most, "right")))
+            yield ids[a:z].to_pylist(), texts[a:z]
+            a = z
+
+
+def _narrow(ids: np.ndarray) -> bytes:
+    """Two bytes an id, or four if one needs them; the number of ids tells which."""
+    return ids.astype("<u2" if ids.max(initial=0) < 65_536 else "<u4").tobytes()
+
+
+def _wide(ids: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype(np.int32)
+
+
+RAW = "file int, block int, first long, n_tokens long, docs binary, ids binary"
+
+
+def _blocks(path: str | None, block_tokens: int):
+    """Blocks of uncoded ids, in the order of the documents that the task reads."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for _, texts in _some(batches):
-            n = np.bincount(_tokens(texts, path)[0])
-            if len(n) > len(total):
-                n, total = total, n
-            total[:len(n)] += n
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["id", "n"])
+        file, block, first = TaskContext.get().partitionId(), 0, 0
+        held, docs, n = [], [], 0
+
+        def row():
+            listed = np.array(docs, dtype=_DOC).tobytes()
+            return pa.RecordBatch.from_pydict({"file": pa.array([file], pa.int32()), "block": pa.array([block], pa.int32()), "first": pa.array([first], pa.int64()), "n_tokens": pa.array([n], pa.int64()), "docs": pa.array([listed], pa.binary()), "ids": pa.array([_narrow(np.concatenate(held))], pa.binary())})
+
+        for names, texts in _some(batches):
+            ids, many = _tokens(texts, path)
+            for name, own in zip(names, np.split(ids, np.cumsum(many)[:-1]), strict=True):
+                held.append(own)
+                docs.append((0 if name is None else name, name is None, len(own)))
+                n += len(own)
+                if n >= block_tokens:
+                    yield row()
+                    block, first, held, docs, n = block + 1, first + n, [], [], 0
+        if held:
+            yield row()
     return run
 
 
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1, np.int64)
+    for b in batches:
+        for ids, n in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+            own = np.bincount(_wide(ids.as_py(), n)).astype(np.int64)
+            if len(own) > len(total):
+                own, total = total, own
+            total[:len(own)] += own
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["id", "n"])
+
+
 # ---------------------------------------------------------------- code
 
 def code_lengths(counts: np.ndarray, most: int | None = None) -> np.ndarray:
@@ -236,32 +281,19 @@ class Decoder:
 _decoders: dict[bytes, Decoder] = {}
 
 
-def _encode(path: str | None, lengths: np.ndarray, block_tokens: int):
+def _encode(lengths: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, file, block, first = code_words(lengths), TaskContext.get().partitionId(), 0, 0
-        held, docs, n = [], [], 0
-
-        def row():
-            ids = np.concatenate(held)
-            payload, checkpoints, bits = _pack(ids, lengths, words)
-            listed = np.array(docs, dtype=_DOC).tobytes()
-            return pa.RecordBatch.from_pydict({"file": pa.array([file], pa.int32()), "block": pa.array([block], pa.int32()), "first": pa.array([first], pa.int64()), "n_tokens": pa.array([len(ids)], pa.int64()), "n_bits": pa.array([bits], pa.int64()), "docs": pa.array([listed], pa.binary()), "checkpoints": pa.array([checkpoints], pa.binary()), "payload": pa.array([payload], pa.binary())})
-
-        for names, texts in _some(batches, 2_000_000):
-            ids, many = _tokens(texts, path)
-            for name, own in zip(names, np.split(ids, np.cumsum(many)[:-1]), strict=True):
-                held.append(own)
-                docs.append((0 if name is None else name, name is None, len(own)))
-                n += len(own)
-                if n >= block_tokens:
-                    yield row()
-                    block, first, held, docs, n = block + 1, first + n, [], [], 0
-        if held:
-            yield row()
+        words = code_words(lengths)
+        for b in batches:
+            for k in range(b.num_rows):
+                c = b.slice(k, 1)
+                payload, checkpoints, bits = _pack(_wide(c.column(5)[0].as_py(), c.column(3)[0].as_py()), lengths, words)
+                yield pa.RecordBatch.from_arrays([*c.columns[:4], pa.array([bits], pa.int64()), c.column(4), pa.array([checkpoints], pa.binary()), pa.array([payload], pa.binary())], _NAMES)
     return run
 
 
 BLOCKS = "file int, block int, first long, n_tokens long, n_bits long, docs binary, checkpoints binary, payload binary"
+_NAMES = [c.split()[0] for c in BLOCKS.split(", ")]
 
 
 def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None, block_tokens: int = 262_144) -> None:
@@ -273,15 +305,16 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     d = columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    counts = d.mapInArrow(_counts(tokenizer_path), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    t = Tables(spark, "ids")
+    raw = t.cut(d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(_blocks(tokenizer_path, block_tokens), RAW), "raw")
+    counts = raw.select("ids", "n_tokens").mapInArrow(_counts, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     n = np.zeros(int(counts["id"].max()) + 1 if len(counts) else END_ID + 1, np.int64)
     n[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     lengths = code_lengths(n)
     used = np.flatnonzero(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in used], "id int, length int").coalesce(1).write.parquet(f"{path}/codes")
-    (d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(_encode(tokenizer_path, lengths, block_tokens), BLOCKS)
-     .write.option("compression", "none").parquet(f"{path}/blocks"))
+    raw.mapInArrow(_encode(lengths), BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    t.drop(raw)
 
 
 def _decode(lengths: np.ndarray, digest: bool):
