@@ -70,11 +70,11 @@ def slots(ws: Column) -> Column:
 def template_windows(df: DataFrame, key: str, text: Column, size: int = WINDOW) -> DataFrame:
     """``key, pos, hash, vals`` of each window; ``vals`` joins the values of its slots."""
     d = df.select(F.col(key), words(text).alias("w"))
-    d = d.select(key, slots(F.col("w")).alias("w")).where(F.size("w") >= size)
+    d = d.select(key, slots(F.col("w")).alias("w"))
     def window(x: Column, i: Column) -> Column:
         at = [x, *[F.get(F.col("w"), i + k) for k in range(1, size)]]
         return F.struct(i.alias("pos"), F.xxhash64(*[a["t"] for a in at]).alias("hash"), F.concat_ws(START, *[a["v"] for a in at]).alias("vals"))
-    d = d.select(key, F.explode(F.slice(F.transform("w", window), F.lit(1), F.size("w") - (size - 1))).alias("x"))
+    d = d.select(key, F.explode(F.slice(F.transform("w", window), F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(0)))).alias("x"))
     return d.select(key, "x.pos", "x.hash", "x.vals")
 
 
