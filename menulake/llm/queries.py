@@ -60,3 +60,45 @@ def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.url_list import dated_captures, dated_entries, judge
+    pages = table(spark, sf_dir, "pages")
+    return judge(dated_captures(pages), dated_entries(pages))
+
+
+ORACLES["op9_url_list"] = r"""
+WITH captures AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(((page_id % 365) + 365) % 365 AS INTEGER) AS TIMESTAMP) AS fetched_at,
+    nullif(regexp_replace(lower(regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.$', ''), '') AS host,
+    regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), hosts AS (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL
+), hyphens AS (
+  SELECT DISTINCT array_to_string(list_slice(string_split(host, '.'), greatest(len(string_split(host, '.')) - 2, 1), len(string_split(host, '.'))), '.') AS host
+  FROM hosts WHERE host LIKE '%-%'
+), entries AS (
+  SELECT host AS pattern, 'block' AS action, TIMESTAMP '2024-02-01' AS valid_from FROM hosts WHERE length(host) % 3 = 0
+  UNION SELECT host, 'drop', TIMESTAMP '2024-06-01' FROM hosts WHERE length(host) % 3 = 0
+  UNION SELECT host, 'block', TIMESTAMP '2024-10-01' FROM hosts WHERE length(host) % 3 = 0
+  UNION SELECT host, 'block', TIMESTAMP '2024-04-01' FROM hosts WHERE length(host) % 3 = 1
+  UNION SELECT host || '/en', 'allow', TIMESTAMP '2024-08-01' FROM hosts WHERE length(host) % 3 = 1
+  UNION SELECT host, 'block', TIMESTAMP '2024-01-01' FROM hyphens
+), one AS (
+  SELECT pattern, valid_from, arg_min(action, CASE action WHEN 'block' THEN 0 WHEN 'allow' THEN 1 ELSE 2 END) AS action
+  FROM entries GROUP BY pattern, valid_from
+), spans AS (
+  SELECT pattern, action, valid_from, coalesce(lead(valid_from) OVER (PARTITION BY pattern ORDER BY valid_from), TIMESTAMP '9999-12-31') AS valid_to FROM one
+), met AS (
+  SELECT c.page_id, c.url, c.fetched_at, s.pattern, s.action, s.valid_from,
+    row_number() OVER (PARTITION BY c.page_id, c.url, c.fetched_at ORDER BY length(s.pattern) DESC, s.pattern DESC) AS rn
+  FROM captures c JOIN spans s
+    ON (c.host = s.pattern OR ends_with(c.host, '.' || s.pattern)
+        OR starts_with(c.host || regexp_replace(c.path, '/+', '/', 'g') || '/', s.pattern || '/') AND contains(s.pattern, '/'))
+   AND s.action <> 'drop' AND s.valid_from <= c.fetched_at AND c.fetched_at < s.valid_to
+)
+SELECT c.page_id, c.url, c.fetched_at, m.pattern, m.action, m.valid_from, coalesce(m.action = 'block', FALSE) AS blocked
+FROM captures c LEFT JOIN met m ON m.rn = 1 AND c.page_id = m.page_id AND c.url = m.url AND c.fetched_at = m.fetched_at
+"""
