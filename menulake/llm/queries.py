@@ -102,3 +102,10 @@ WITH captures AS (
 SELECT c.page_id, c.url, c.fetched_at, m.pattern, m.action, m.valid_from, coalesce(m.action = 'block', FALSE) AS blocked
 FROM captures c LEFT JOIN met m ON m.rn = 1 AND c.page_id = m.page_id AND c.url = m.url AND c.fetched_at = m.fetched_at
 """
+
+
+@query
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.surrogates import replace_personal_data
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_personal_data(docs, key="menulake-query")
