@@ -109,3 +109,9 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.surrogates import replace_personal_data
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return replace_personal_data(docs, key="menulake-query")
+
+
+@query
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.near_vectors import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
