@@ -50,7 +50,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: fl
     before = Window.orderBy(F.col("cap") / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     left = total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     heavy = F.sum("weight").over(Window.partitionBy()) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    s = s.withColumn("level", left / heavy).withColumn("full", F.col("level") * F.col("weight") >= F.col("cap"))
+    s = s.withColumn("level", left / F.greatest(heavy, F.lit(1e-9))).withColumn("full", F.col("level") * F.col("weight") >= F.col("cap"))
     # the level of the first source below its cap holds for all behind it
     level = F.min(F.when(~F.col("full"), F.struct(F.col("cap") / F.col("weight"), "rank", "level"))).over(Window.partitionBy())["level"]
     return s.withColumn("target", F.when(F.col("full") | level.isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), level * F.col("weight")))).drop("cap", "level", "full")
@@ -99,7 +99,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     total = F.sum("source_size").over(Window.partitionBy())
     spread = sources.select(F.col("source").alias("s"), "source_size", "target", "rank",
-                            F.greatest(F.lit(1), F.ceil(F.col("source_size") / total * shards)).cast("long").alias("n_shards"),
+                            F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.greatest(total, F.lit(1)) * shards)).cast("long").alias("n_shards"),
                             F.greatest(F.lit(1.0), total / blocks).alias("block"))
     d = d.join(spread, d["source"].eqNullSafe(spread["s"])).drop("s")
     d = d.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("n_shards")))

@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 
 from menulake.llm.common import Tables, text_of
 
+#: Titles of men, of women and of either, as written and in capitals.
+MEN = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "г-н")
+WOMEN = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Г-жа", "г-жа")
+TITLES = (*MEN, *WOMEN, "Dr", "Prof")
 #: Entity patterns; the first that matches at a place wins. Runs are possessive, so long texts scan in one pass.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
@@ -36,10 +40,10 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9]{20,}+)(?![\p{L}\p{N}])",
-    "person": r"(?<![\p{L}\p{N}])(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra|Г-н|Г-жа|г-н|г-жа)\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
+    "person": r"(?<![\p{L}\p{N}])(?:" + "|".join(x for t in TITLES for x in dict.fromkeys((t, t.upper()))) + r")\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
 }
-MALE = r"^(?:Mr|Herr|Monsieur|Señor|Sr|Г-н|г-н)\b"
-FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Г-жа|г-жа)\b"
+MALE = r"^(?:" + "|".join((*MEN, *map(str.upper, MEN))) + r")[. ]"
+FEMALE = r"^(?:" + "|".join((*WOMEN, *map(str.upper, WOMEN))) + r")[. ]"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Kinds of which only the digits count: mentions differ in punctuation.
 DIGITS = ("phone", "ssn", "card")
