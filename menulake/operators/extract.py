@@ -42,6 +42,7 @@ PARSED_SCHEMA = T.StructType([
     T.StructField("options", T.ArrayType(T.StructType([
         T.StructField("title", T.StringType()), T.StructField("href", T.StringType())]))),
     T.StructField("ingredients", T.StringType()),
+    T.StructField("error", T.StringType()),   # why the page couldn't be parsed
 ])
 
 # Fixed values (page structure the extraction rules look for).
@@ -75,10 +76,12 @@ class _Node:
         return set((self.attrs.get("class") or "").split())
 
     def walk(self):
-        for c in self.children:
-            if isinstance(c, _Node):
-                yield c
-                yield from c.walk()
+        # a stack, not recursion: pages with thousands of unclosed tags are deep
+        todo = [c for c in reversed(self.children) if isinstance(c, _Node)]
+        while todo:
+            n = todo.pop()
+            yield n
+            todo.extend(c for c in reversed(n.children) if isinstance(c, _Node))
 
     def find(self, pred):
         return next((n for n in self.walk() if pred(n)), None)
@@ -87,12 +90,13 @@ class _Node:
         return [n for n in self.walk() if pred(n)]
 
     def strings(self):
-        for c in self.children:
-            if isinstance(c, _Node):
-                if c.tag not in _RAW_TEXT:
-                    yield from c.strings()
-            else:
+        todo = list(reversed(self.children))
+        while todo:
+            c = todo.pop()
+            if not isinstance(c, _Node):
                 yield c
+            elif c.tag not in _RAW_TEXT:
+                todo.extend(reversed(c.children))
 
     def text(self, sep: str = "", strip: bool = True) -> str:
         parts = (s.strip() for s in self.strings()) if strip else self.strings()
@@ -309,7 +313,10 @@ def _parse_batches(batches):
         ids = d.get("page_id") or [None] * len(d["url"])
         rows = []
         for pid, u, h in zip(ids, d["url"], d["html"]):
-            rows.append(parse_page(u, h, pid))
+            try:
+                rows.append(parse_page(u, h, pid) | {"error": None})
+            except Exception as e:  # noqa: BLE001 - a page that fails is reported, the job goes on
+                rows.append({"page_id": pid, "url": u, "error": f"{type(e).__name__}: {e}"})
             if len(rows) >= OUT_ROWS:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
                 rows = []
@@ -330,10 +337,15 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 def first_page_per_url(parsed: DataFrame) -> DataFrame:
     """S-08 dedup after the parse: the first stored page of each url by ``page_id``.
 
-    Deduplicating the compact parsed rows instead of the raw pages keeps the
-    html out of every shuffle.
+    Pages without an id come last, and those that tie are ordered by their
+    parsed content, so one whole row is kept in any case. Deduplicating the
+    compact parsed rows instead of the raw pages keeps the html out of every
+    shuffle.
     """
-    return dedup_first(parsed, "url", "page_id")
+    payload = [c for c in parsed.columns if c != "url"]
+    order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.to_json(F.struct(*payload)))
+    kept = parsed.groupBy("url").agg(F.min_by(F.struct(*payload), order).alias("_v"))
+    return kept.select("url", "_v.*").select(*parsed.columns)
 
 
 # -- DataFrame rules over the parsed table ---------------------------------
@@ -388,9 +400,10 @@ def nutrition_map(pairs) -> Column:
     the later row wins."""
     p = F.col(pairs) if isinstance(pairs, str) else pairs
     keyed = F.transform(p, lambda e: F.struct(snake_case(e["key"]).alias("key"), e["value"].alias("value")))
-    last = F.filter(keyed, lambda e, i: ~F.exists(
-        F.filter(keyed, lambda x, j: j > i), lambda x: x["key"] == e["key"]))
-    return F.map_from_entries(last)
+    # one pass: a later entry of a key replaces the earlier one
+    start = F.create_map().cast("map<string,string>")
+    return F.aggregate(keyed, start, lambda m, e: F.map_concat(
+        F.map_filter(m, lambda k, _: ~k.eqNullSafe(e["key"])), F.create_map(e["key"], e["value"])))
 
 
 def allergens_struct(cols, paras) -> Column:
@@ -444,7 +457,8 @@ def _allergens_present(a: Column) -> Column:
 def assemble_servings(items: DataFrame, parsed: DataFrame, base: str):
     """H-12: item rows -> (raw_items, raw_servings).
 
-    ``items`` holds (brand_name, item_pos, name, url, category). An item with
+    ``items`` holds (brand_name, page_url, item_pos, name, url, category); an item
+    is known by its brand's page and its own url. An item with
     size links gets one serving per link, read from the link's page; otherwise
     one "1 serving" row from its own page. The label falls back to the page
     title, then the item name. Allergens and ingredients of an item are the
@@ -453,11 +467,11 @@ def assemble_servings(items: DataFrame, parsed: DataFrame, base: str):
     """
     facts = item_facts(parsed, base).withColumnRenamed("title", "page_title")
     opts = size_options(parsed, base).withColumnRenamed("title", "opt_title")
-    it = items.select("brand_name", "item_pos", F.col("name").alias("item_name"),
+    it = items.select("brand_name", F.col("page_url").alias("brand_page"), "item_pos", F.col("name").alias("item_name"),
                       F.col("url").alias("item_url"), "category")
     with_opts = it.join(opts, it["item_url"] == opts["page_url"], "inner").drop("page_url")
     sized = (with_opts.join(facts, with_opts["url"] == facts["page_url"], "inner")
-             .select("brand_name", "item_pos", "item_name", "item_url",
+             .select("brand_name", "brand_page", "item_pos", "item_name", "item_url",
                      F.col("pos").alias("serving_pos"),
                      F.coalesce(F.nullif(F.col("opt_title"), F.lit("")),
                                 F.nullif(F.col("page_title"), F.lit("")), F.col("item_name")).alias("size_label"),
@@ -465,23 +479,23 @@ def assemble_servings(items: DataFrame, parsed: DataFrame, base: str):
     has_opts = opts.select(F.col("page_url").alias("item_url")).distinct()
     single = (it.join(has_opts, "item_url", "left_anti")
               .join(facts, it["item_url"] == facts["page_url"], "inner")
-              .select("brand_name", "item_pos", "item_name", "item_url",
+              .select("brand_name", "brand_page", "item_pos", "item_name", "item_url",
                       F.lit(0).cast("long").alias("serving_pos"), F.lit("1 serving").alias("size_label"),
                       "nutrition", "image_url", "allergens", "ingredients"))
     servings = sized.unionByName(single)
-    per_item = servings.groupBy("brand_name", "item_pos").agg(
+    per_item = servings.groupBy("brand_page", "item_url").agg(
         F.max_by("allergens", F.when(_allergens_present(F.col("allergens")), F.col("serving_pos")))
          .alias("_allergens"),
         F.max_by("ingredients", F.when(F.col("ingredients") != "", F.col("serving_pos"))).alias("_ingredients"))
     empty = F.array().cast("array<string>")
     no_allergens = F.struct(empty.alias("contains"), empty.alias("does_not_contain"),
                             empty.alias("unknown"), F.lit("").alias("allergy_information"))
-    servings = (servings.drop("allergens", "ingredients").join(per_item, ["brand_name", "item_pos"], "left")
+    servings = (servings.drop("allergens", "ingredients").join(per_item, ["brand_page", "item_url"], "left")
                 .select("brand_name", "item_pos", "item_name", "item_url", "serving_pos", "size_label",
                         "nutrition", "image_url",
                         F.coalesce("_allergens", no_allergens).alias("allergens"),
                         F.coalesce("_ingredients", F.lit("")).alias("ingredients")))
-    raw_items = (items.join(per_item, ["brand_name", "item_pos"], "left")
+    raw_items = (items.join(per_item, (items["page_url"] == per_item["brand_page"]) & (items["url"] == per_item["item_url"]), "left")
                  .select("brand_name", "item_pos", "name", "url", "category",
                          F.lit(None).cast("string").alias("description"),
                          F.coalesce("_allergens", no_allergens).alias("allergens"),

@@ -27,22 +27,14 @@ LOOKUP_HIT_MAX = 20        # brands numbered up to this are in the lookup
 LOOKUP_REPEAT_MAX = 3      # these appear twice; the later entry must win
 
 
-# Tables whose rows carry per-row text work (parsing, hashing, html).
-ROW_HEAVY = {"lineitem", "pages", "documents"}
-
-
-_READS: dict = {}
+# The table whose rows carry per-row text work; html and document texts are never moved.
+ROW_HEAVY = {"lineitem"}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A driver table; the DataFrame is reused within a session (the tables are read-only)."""
-    key = (id(spark), sf_dir, table)
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-        df = spread(df) if table in ROW_HEAVY else df
-        _READS[key] = df
-    return df
+    """A driver table."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(df) if table in ROW_HEAVY else df
 
 
 def brand_number(c="p_brand") -> Column:

@@ -442,12 +442,12 @@ def upsert_inputs(spark, sf):
 
 def q_upsert_orders(spark, sf):
     base, fresh = upsert_inputs(spark, sf)
-    return upsert(base, fresh, "_id").table
+    return upsert(base, fresh, "_id", "o_totalprice").table
 
 
 def q_upsert_counts(spark, sf):
     base, fresh = upsert_inputs(spark, sf)
-    return upsert(base, fresh, "_id").counts
+    return upsert(base, fresh, "_id", "o_totalprice").counts
 
 
 # -- stored pages through the extraction pass (H-08, H-11) ---------------------
@@ -488,7 +488,7 @@ def q_stream_upsert_orders(spark, sf):
     base, _ = upsert_inputs(spark, sf)
     schema = B.read(spark, sf, "orders").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf))
-    stream_upsert(spark, stream, f"{root}/out", f"{root}/ckpt", "_id", base=base, prepare=fresh_orders)
+    stream_upsert(spark, stream, f"{root}/out", f"{root}/ckpt", "_id", "o_totalprice", base=base, prepare=fresh_orders)
     return latest_stream_snapshot(spark, f"{root}/out").select(
         "_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
@@ -531,8 +531,8 @@ def q_published_menu_items(spark, sf):
     from menulake.sources.io import latest_snapshot, write_snapshot
     root = _stream_root(spark).replace("/streams/", "/jobs/")
     part = B.read(spark, sf, "part")
-    write_snapshot({"brands": domain.brands(spark, sf).drop("brand_pos"),
-                    "menu_items": domain.menu_items(spark, sf).drop("brand_name", "item_pos"),
+    write_snapshot({"brands": domain.brands(spark, sf),
+                    "menu_items": domain.menu_items(spark, sf).drop("brand_name"),
                     "variations": domain.variations(spark, sf)}, f"{root}/raw", B.RUN_TS)
     inputs = EnrichInputs(B.category_lookup(part), B.brand_answers(part), B.item_answers(part), "lookup_pos")
     steps = enrich(spark, root, B.RUN_TS, inputs)

@@ -50,36 +50,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) do we pick a scratch folder.
+    as is. Where it is unset, a local session gets a scratch folder; on a cluster
+    that is an error, as executors would write to their own disks.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - Connect session
-            configured = None
-    if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="menulake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    try:
-        spark.sparkContext.setCheckpointDir(configured)
-    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
-        pass
     return configured
 
 
 def spread(df):
-    """Give CPU-heavy per-row work at least one partition per core.
+    """Spread the rows of a scan that is one single split over the session's cores.
 
-    A scan yields one task per file split; a table stored as a single small
-    file would run all of its row work on one core. When the scan has fewer
-    partitions than the session's default parallelism, rows are spread
-    round-robin (one cheap shuffle). On a cluster, large tables already arrive
-    in many splits and pass through unchanged.
+    A small table stored as one row group gives one task however many cores
+    there are. A scan of two splits or more passes through unchanged, so what is
+    moved is one split at most.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
+        one = df.rdd.getNumPartitions() == 1
     except Exception:  # noqa: BLE001 - no RDD view on a Connect session: leave as is
         return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(want) if one else df

@@ -9,7 +9,7 @@ folder instead of adding rows twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,31 +17,38 @@ from pyspark.sql import types as T
 
 from menulake.operators.extract import parse_pages
 from menulake.operators.upsert import upsert
-from menulake.sources.io import snapshot_before
+from menulake.sources.io import latest_snapshot, snapshot_before
 
 
-def stream_keyed_documents(spark: SparkSession, src: str, root: str, checkpoint: str,
-                           run_ts_prefix: str = "stream") -> int:
+def stream_keyed_documents(spark: SparkSession, src: str, root: str, checkpoint: str, run_ts: str,
+                           max_files: int | None = None) -> int:
     """T-01 over saved keyed brand documents (the resume files of an ingest).
 
     Each new JSON file under ``src`` is read once; every micro-batch is
-    normalized (N-01..N-04) and written as a raw snapshot named by its batch,
-    ``root/raw/<collection>/run_ts=<prefix>-<stamp>``. A restarted stream
-    skips files it has committed; a replayed batch rewrites its own snapshot.
+    normalized (N-01..N-04), merged (J-05) onto the raw snapshot before it and
+    written as the snapshot ``<run_ts>-<batch>``, which sorts behind the run
+    ``run_ts`` and before any later run. A restarted stream skips files it has
+    committed; a replayed batch rewrites its own snapshot.
     """
     from menulake.operators.normalize import normalize
-    from menulake.sources.io import keyed_texts_to_flat, write_snapshot
-    stream = (spark.readStream.option("wholetext", True).text(src)
+    from menulake.operators.joins import merge_resume
+    from menulake.sources.io import COLLECTIONS, keyed_texts_to_flat, write_snapshot
+    reader = spark.readStream.option("wholetext", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = (reader.text(src)
               .select("value", F.col("_metadata.file_path").alias("_file")))
     runs = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_ts = f"{run_ts_prefix}-{batch_stamp(batch_id)}"
+        name = f"{run_ts}-{batch_stamp(batch_id)}"
         rb, ri, rs = keyed_texts_to_flat(batch)
         n = normalize(rb, ri, rs, run_ts)
-        write_snapshot({"brands": n.brands.drop("brand_pos"),
-                        "menu_items": n.menu_items.drop("brand_name", "item_pos"),
-                        "variations": n.variations}, f"{root}/raw", run_ts)
+        fresh = {"brands": n.brands, "menu_items": n.menu_items.drop("brand_name"), "variations": n.variations}
+        for c in COLLECTIONS:
+            saved = snapshot_before(spark, f"{root}/raw", c, name)
+            merged = fresh[c] if saved is None else merge_resume(saved, fresh[c], "_id")
+            write_snapshot({c: merged}, f"{root}/raw", name)
         runs.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write)
@@ -99,10 +106,12 @@ def stream_ingest(spark: SparkSession, src: str, target: str, checkpoint: str,
 
 
 def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str,
-                  key: str = "_id", base: DataFrame | None = None,
-                  prepare: Callable[[DataFrame], DataFrame] | None = None) -> int:
+                  key: str, order: str | Sequence[str], base: DataFrame | None = None,
+                  prepare: Callable[[DataFrame], DataFrame] | None = None, keep_order: bool = True) -> int:
     """T-02: upsert each micro-batch onto the newest snapshot before it.
 
+    Of a batch's rows with one key the last by ``order`` counts.
+
     Batch ``n`` reads the snapshot of the last batch before ``n`` (or ``base``
     for the first) and writes ``target/run_ts=<stamp n>``. A replayed batch
     reads the same input and rewrites the same folder, so the result is the
@@ -116,7 +125,7 @@ def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoin
         prev = _snapshot_before_stamp(spark, target, stamp)
         if prev is None:
             prev = base if base is not None else fresh.limit(0)
-        table = upsert(prev, fresh, key).table
+        table = upsert(prev, fresh, key, order, keep_order).table
         table.write.mode("overwrite").parquet(f"{target}/run_ts={stamp}")
         runs.append(batch_id)
 
@@ -128,7 +137,6 @@ def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoin
 
 
 def latest_stream_snapshot(spark: SparkSession, target: str) -> DataFrame:
-    from menulake.sources.io import read_snapshots
-    snaps = read_snapshots(spark, target)
-    newest = snaps.select(F.max("run_ts")).first()[0]
-    return snaps.filter(F.col("run_ts") == F.lit(newest)).drop("run_ts")
+    """The newest snapshot that a streaming upsert wrote."""
+    root, coll = target.rstrip("/").rsplit("/", 1)
+    return latest_snapshot(spark, root, coll).drop("run_ts")

@@ -138,8 +138,8 @@ def test_assemble_servings_copies_item_facts(spark):
              ("/shake", ITEM_TD)]
     parsed = H.parse_pages(_pages(spark, pages))
     items = spark.createDataFrame(
-        [("A", 0, "Soda", f"{BASE}/soda", "Drinks"), ("A", 1, "Shake", f"{BASE}/shake", "Drinks")],
-        "brand_name string, item_pos long, name string, url string, category string")
+        [("A", f"{BASE}/a", 0, "Soda", f"{BASE}/soda", "Drinks"), ("A", f"{BASE}/a", 1, "Shake", f"{BASE}/shake", "Drinks")],
+        "brand_name string, page_url string, item_pos long, name string, url string, category string")
     raw_items, servings = H.assemble_servings(items, parsed, BASE)
     s = sorted((r["item_pos"], r["serving_pos"], r["size_label"], r["image_url"],
                 tuple(r["allergens"]["contains"]), r["ingredients"]) for r in servings.collect())
@@ -159,3 +159,31 @@ def test_resolve_url_forms(spark):
     got = [r[0] for r in df.select(resolve_url(F.col("h"), "https://s.org/dir/page")).collect()]
     assert got == ["https://s.org/a", "https://s.org/dir/b", "https://cdn.x/y", "http://z/q",
                    "https://s.org/dir/page"]
+
+
+def test_brands_of_one_name_keep_their_own_facts(spark):
+    parsed = H.parse_pages(_pages(spark, [("/shake", ITEM_TD), ("/soda", SIZES), ("/soda/small", SMALL), ("/soda/large", LARGE)]))
+    items = spark.createDataFrame(
+        [("A", f"{BASE}/a1", 0, "Shake", f"{BASE}/shake", "C"), ("A", f"{BASE}/a2", 0, "Soda", f"{BASE}/soda", "C")],
+        "brand_name string, page_url string, item_pos long, name string, url string, category string")
+    raw_items, servings = H.assemble_servings(items, parsed, BASE)
+    assert {r["item_name"]: r["ingredients"] for r in servings.collect()} == {"Shake": "", "Soda": "Water, sugar"}
+    assert raw_items.count() == 2
+
+
+def test_pages_without_ids_keep_their_facts(spark):
+    pages = spark.createDataFrame([("u", "<h1>Title</h1>"), ("u", "<h1>Title</h1>"), ("v", None)], "url string, html string")
+    got = {r["url"]: r["title"] for r in H.first_page_per_url(H.parse_pages(pages)).collect()}
+    assert got == {"u": "Title", "v": ""}
+
+
+def test_deep_pages(spark):
+    deep = "<p>" * 5000 + "<li>" * 5000 + "<a href='/x'>x</a>"
+    rows = H.parse_pages(_pages(spark, [("/deep", deep), ("/ok", "<h1>T</h1>")])).collect()
+    assert all(r["error"] is None for r in rows)
+    assert [l["href"] for r in rows for l in r["links"]] == ["/x"]
+
+
+def test_repeated_nutrient_rows_last_wins(spark):
+    df = spark.createDataFrame([([("Total Fat", "1 g"), ("Salt", "2"), ("total fat", "3 g")],), ([],)], "p array<struct<key:string,value:string>>")
+    assert [dict(r[0]) for r in df.select(H.nutrition_map("p")).collect()] == [{"salt": "2", "total_fat": "3 g"}, {}]

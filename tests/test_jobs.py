@@ -69,12 +69,12 @@ def test_stream_upsert_replay_is_harmless(spark, scratch):
     base = spark.createDataFrame([("a", 0), ("z", 9)], "_id string, v int")
     out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
     stream = spark.readStream.schema("_id string, v int").parquet(src + "/*")
-    assert stream_upsert(spark, stream, out, ckpt, base=base) == 1
+    assert stream_upsert(spark, stream, out, ckpt, "_id", "v", base=base) == 1
     first = sorted(tuple(r) for r in latest_stream_snapshot(spark, out).collect())
     assert first == [("a", 1), ("b", 2), ("z", 9)]
     # a replay of batch 0 (fresh checkpoint, same output) rewrites the same snapshot
     stream = spark.readStream.schema("_id string, v int").parquet(src + "/*")
-    stream_upsert(spark, stream, out, os.path.join(scratch, "ckpt2"), base=base)
+    stream_upsert(spark, stream, out, os.path.join(scratch, "ckpt2"), "_id", "v", base=base)
     assert sorted(tuple(r) for r in latest_stream_snapshot(spark, out).collect()) == first
 
 
@@ -92,7 +92,7 @@ def test_publish_replay_same_run_is_idempotent(spark, scratch):
     from menulake.plans.jobs import publish
     from menulake.sources.io import write_snapshot
     root = os.path.join(scratch, "lake")
-    b = spark.createDataFrame([("b1", "Brand One")], "_id string, brand_name string")
+    b = spark.createDataFrame([("b1", "Brand One", 0)], "_id string, brand_name string, brand_pos long")
     write_snapshot({"brands": b}, f"{root}/enriched", "r1")
     first = publish(spark, root, "r1")
     again = publish(spark, root, "r1")      # replay of the same run
@@ -100,23 +100,88 @@ def test_publish_replay_same_run_is_idempotent(spark, scratch):
     assert spark.read.parquet(f"{root}/published/brands").count() == 1
 
 
-def test_stream_keyed_documents_resume(spark, scratch):
+def _keyed_document(folder, file, brand, items=()):
     import json
-    from menulake.streaming.ingest import stream_keyed_documents
-    src = os.path.join(scratch, "docs")
-    os.makedirs(src)
-    doc = {"Brand A": {"url": "https://s.org/a", "restaurant_logo": "", "items": [
-        {"name": "One", "url": "https://s.org/a/1", "category": "C",
-         "nutritional_values": {"serving_sizes": [{"size_label": "S", "nutrition": {"calories": "100"}}]}}]}}
-    with open(os.path.join(src, "checkpoint_a.json"), "w") as fh:
+    os.makedirs(folder, exist_ok=True)
+    doc = {brand: {"url": f"https://s.org/{brand}", "restaurant_logo": "", "items": [
+        {"name": n, "url": f"https://s.org/{brand}/{n}", "category": "C",
+         "nutritional_values": {"serving_sizes": [{"size_label": "S", "nutrition": {"calories": "100"}}]}} for n in items]}}
+    with open(os.path.join(folder, file), "w") as fh:
         json.dump(doc, fh)
-    root, ckpt = os.path.join(scratch, "lake"), os.path.join(scratch, "ckpt")
-    assert stream_keyed_documents(spark, src, root, ckpt) == 1
-    assert stream_keyed_documents(spark, src, root, ckpt) == 0      # nothing new
-    doc2 = {"Brand B": {"url": "https://s.org/b", "restaurant_logo": "", "items": []}}
-    with open(os.path.join(src, "checkpoint_b.json"), "w") as fh:
-        json.dump(doc2, fh)
-    assert stream_keyed_documents(spark, src, root, ckpt) == 1      # only the new file
-    brands = sorted(r["brand_name"] for r in spark.read.parquet(f"{root}/raw/brands").collect())
-    assert brands == ["Brand A", "Brand B"]
-    assert spark.read.parquet(f"{root}/raw/variations").count() == 1
+
+
+def test_stream_keyed_documents_resume(spark, scratch):
+    from menulake.sources.io import latest_snapshot
+    from menulake.streaming.ingest import stream_keyed_documents
+    src, root, ckpt = (os.path.join(scratch, x) for x in ("docs", "lake", "ckpt"))
+    _keyed_document(src, "a.json", "Brand A", ["One"])
+    assert stream_keyed_documents(spark, src, root, ckpt, "2024-01-01") == 1
+    assert stream_keyed_documents(spark, src, root, ckpt, "2024-01-01") == 0      # nothing new
+    _keyed_document(src, "b.json", "Brand B")
+    _keyed_document(src, "c.json", "Brand C", ["Two"])
+    assert stream_keyed_documents(spark, src, root, ckpt, "2024-01-02", max_files=1) == 2
+    # the newest snapshot holds the brands of all three batches
+    names = lambda: sorted(r["brand_name"] for r in latest_snapshot(spark, f"{root}/raw", "brands").collect())
+    assert names() == ["Brand A", "Brand B", "Brand C"]
+    assert latest_snapshot(spark, f"{root}/raw", "variations").count() == 2
+    # a later dated run sorts behind the stream's snapshots
+    from menulake.sources.io import write_snapshot
+    later = latest_snapshot(spark, f"{root}/raw", "brands").drop("run_ts").limit(1)
+    write_snapshot({"brands": later}, f"{root}/raw", "2024-01-03")
+    assert len(names()) == 1
+
+
+def test_resumed_ingest_keeps_the_saved_brands(spark, scratch):
+    from menulake.plans.jobs import IngestOptions, ingest
+    from menulake.sources.io import latest_snapshot
+    pages, root = os.path.join(scratch, "pages"), os.path.join(scratch, "lake")
+    _write_pages(spark, pages)
+    one = IngestOptions(listing_url=f"{BASE}/", base_url=BASE, brands=["B Taco"])
+    rest = IngestOptions(listing_url=f"{BASE}/", base_url=BASE, resume=True)
+    assert ingest(spark, pages, root, "2024-01-01", one)["brands"] == 1
+    assert ingest(spark, pages, root, "2024-01-02", rest)["brands"] == 3
+    got = latest_snapshot(spark, f"{root}/raw", "brands").collect()
+    assert len(got) == 3 and "B Taco" in {r["brand_name"] for r in got}
+    assert ingest(spark, pages, root, "2024-01-03", rest)["brands"] == 3          # nothing new
+    assert {r["run_ts"] for r in latest_snapshot(spark, f"{root}/raw", "brands").collect()} == {"2024-01-02"}
+
+
+def test_publish_keeps_one_row_per_id(spark, scratch):
+    from menulake.plans.jobs import publish
+    from menulake.sources.io import write_snapshot
+    root = os.path.join(scratch, "lake")
+    rows = spark.createDataFrame([("b1", "First", 0), ("b1", "Last", 2), ("b2", "Two", 1)],
+                                 "_id string, brand_name string, brand_pos long")
+    write_snapshot({"brands": rows}, f"{root}/enriched", "r1")
+    want = {"inserted": 2, "matched": 0, "modified": 0, "errors": 0, "validation_errors": 0}
+    assert publish(spark, root, "r1")["brands"] == want
+    for run in ("r2", "r3"):
+        assert publish(spark, root, run)["brands"] == want | {"inserted": 0, "matched": 2}
+        published = spark.read.parquet(f"{root}/published/brands/run_ts={run}").collect()
+        assert sorted(tuple(r) for r in published) == [("b1", "Last"), ("b2", "Two")]
+
+
+def test_later_columns_stay_and_bad_files_raise(spark, scratch):
+    import pytest
+    from menulake.sources.io import latest_snapshot, snapshot_before, write_snapshot
+    write_snapshot({"brands": spark.createDataFrame([("b1", "A")], "_id string, brand_name string")}, scratch, "2024-01-01T00:00:00")
+    write_snapshot({"brands": spark.createDataFrame([("b1", "A", "u")], "_id string, brand_name string, source_url string")}, scratch, "2024-01-02T00:00:00")
+    df = latest_snapshot(spark, scratch, "brands")
+    assert df.columns == ["_id", "brand_name", "source_url", "run_ts"] and df.first()["run_ts"] == "2024-01-02T00:00:00"
+    assert snapshot_before(spark, scratch, "brands", "2024-01-01T00:00:00") is None
+    folder = next(os.path.join(d, f) for d, _, fs in os.walk(scratch) if "01-02" in d for f in fs if f.endswith(".parquet"))
+    with open(folder, "wb") as fh:
+        fh.write(b"no parquet")
+    with pytest.raises(Exception):
+        snapshot_before(spark, scratch, "brands", "2024-01-03").collect()
+
+
+def test_stream_upsert_repeated_keys(spark, scratch):
+    from menulake.streaming.ingest import latest_stream_snapshot, stream_upsert
+    src = os.path.join(scratch, "fresh")
+    spark.createDataFrame([("a", 1), ("a", 2)], "_id string, v int").coalesce(1).write.parquet(src + "/1")
+    base = spark.createDataFrame([("a", 0)], "_id string, v int")
+    stream = spark.readStream.schema("_id string, v int").parquet(src + "/*")
+    out = os.path.join(scratch, "out")
+    stream_upsert(spark, stream, out, os.path.join(scratch, "ckpt"), "_id", "v", base=base)
+    assert [tuple(r) for r in latest_stream_snapshot(spark, out).collect()] == [("a", 2)]

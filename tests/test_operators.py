@@ -144,7 +144,7 @@ def test_upsert_semantics(spark):
     base = spark.createDataFrame([("k1", "x", 1, "keep"), ("k2", "y", 2, "keep")],
                                  "_id string, a string, b int, only_base string")
     fresh = spark.createDataFrame([("k1", None, 1), ("k2", "y", 2), ("k3", "z", 3)], "_id string, a string, b int")
-    res = upsert(base, fresh)
+    res = upsert(base, fresh, "_id", "b")
     t = {r["_id"]: r for r in res.table.collect()}
     assert t["k1"]["a"] is None and t["k1"]["only_base"] == "keep"
     assert t["k3"]["only_base"] is None
@@ -239,20 +239,26 @@ def test_non_numeric_nutrient_text_becomes_null(spark):
     assert (n["protein_g"], n["carbs_g"], n["fat_g"]) == (None, None, 7.0)
 
 
-def test_upsert_both_plans_agree(spark):
+def test_upsert_new_columns_and_null_keys(spark):
     base = spark.createDataFrame([(f"k{i}", i, "b") for i in range(50)] + [(None, -1, "nullkey")],
                                  "_id string, v int, only_base string")
     fresh = spark.createDataFrame([(f"k{i}", i * (i % 3), "x") for i in range(40, 60)] + [(None, 7, "y")],
                                   "_id string, v int, extra string")
-    small = upsert(base, fresh)                       # broadcast plan
-    big = upsert(base, fresh, broadcast_rows=None)    # full outer plan
-    rows = lambda r: sorted((tuple(x) for x in r.table.collect()), key=repr)
-    assert rows(small) == rows(big)
-    assert tuple(small.counts.first()) == tuple(big.counts.first())
-    c = small.counts.first()
+    res = upsert(base, fresh, "_id", "v")
+    assert res.table.columns == ["_id", "v", "only_base", "extra"] and res.table.count() == 62
+    c = res.counts.first()
     assert (c["inserted"], c["matched"]) == (11, 10)
 
 
+def test_upsert_repeated_keys_last_wins(spark):
+    base = spark.createDataFrame([("a", 0, "old")], "_id string, v int, w string")
+    fresh = spark.createDataFrame([("a", 1, "x", 2), ("a", 2, "y", 1), ("b", 3, "z", 0), ("b", 3, "z", 0)],
+                                  "_id string, v int, w string, pos int")
+    res = upsert(base, fresh, "_id", "pos", keep_order=False)
+    assert sorted(tuple(r) for r in res.table.collect()) == [("a", 1, "x"), ("b", 3, "z")]
+    assert tuple(res.counts.first()) == (1, 1, 1, 0)
+
+
 def test_fetch_stats_empty_log_and_stats_written_only_with_ratios(spark, scratch):
     log = spark.createDataFrame([], "source long, url string, ok boolean, attempts int, ts timestamp_ntz")
     r = stats.fetch_log_stats(log).first()
