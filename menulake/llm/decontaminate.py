@@ -51,30 +51,31 @@ def words(text: Column) -> Column:
     return F.filter(F.split(t, r"[^\p{L}\p{N}\x01]+"), lambda w: w != "")
 
 
-def slots(ws: Column) -> Column:
-    """For each word its place in the template ``t`` and, for a slot, its value ``v``."""
+def template(ws: Column, digits: Column) -> Column:
+    """For each word its place in the template: the word in lower case, or the type of its slot.
+
+    ``digits`` tells whether the text has any; words that begin in lower case,
+    nearly all, are decided by their first letter then.
+    """
     def one(w: Column, i: Column) -> Column:
-        number = w.substr(1, 1).between("0", "9")
-        before = F.get(ws, i - 1)
-        unit = before.substr(1, 1).between("0", "9") & F.lower(w).isin(*UNITS)
-        start = w.startswith(START)
-        name = w.rlike(r"^\p{Lu}\p{Ll}")
-        low = F.lower(F.when(start, F.substring(w, F.lit(2), F.length(w))).otherwise(w))
-        return F.struct(
-            F.when(number, F.lit("#number")).when(F.coalesce(unit, F.lit(False)), F.lit("#unit")).when(name, F.lit("#name")).otherwise(low).alias("t"),
-            F.when(number | F.coalesce(unit, F.lit(False)) | name, F.lower(w)).alias("v"),
-        )
+        first = w.substr(1, 1)
+        unit = digits & F.coalesce(F.get(ws, i - 1).substr(1, 1).between("0", "9"), F.lit(False)) & F.lower(w).isin(*UNITS)
+        return (F.when(unit, F.lit("#unit")).when(first.between("a", "z"), F.lower(w)).when(first == START, F.lower(F.substring(w, F.lit(2), F.length(w))))
+                .when(digits & first.between("0", "9"), F.lit("#number")).when(w.rlike(r"^\p{Lu}\p{Ll}"), F.lit("#name")).otherwise(F.lower(w)))
     return F.transform(ws, one)
 
 
 def template_windows(df: DataFrame, key: str, text: Column, size: int = WINDOW) -> DataFrame:
     """``key, pos, hash, vals`` of each window; ``vals`` joins the values of its slots."""
-    d = df.select(F.col(key), words(text).alias("w"))
-    d = d.select(key, slots(F.col("w")).alias("w"))
+    d = df.select(F.col(key), words(text).alias("w"), text.rlike("[0-9]").alias("digits"))
+    d = d.select(key, "w", template(F.col("w"), F.col("digits")).alias("t"))
+    d = d.select(key, "w", "t", F.exists("t", lambda x: x.startswith("#")).alias("slots"))
     def window(x: Column, i: Column) -> Column:
-        at = [x, *[F.get(F.col("w"), i + k) for k in range(1, size)]]
-        return F.struct(i.alias("pos"), F.xxhash64(*[a["t"] for a in at]).alias("hash"), F.concat_ws(START, *[a["v"] for a in at]).alias("vals"))
-    d = d.select(key, F.explode(F.slice(F.transform("w", window), F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(0)))).alias("x"))
+        at = [x, *[F.get(F.col("t"), i + k) for k in range(1, size)]]
+        vals = F.concat_ws(START, *[F.when(a.startswith("#"), F.lower(F.get(F.col("w"), i + k))) for k, a in enumerate(at)])
+        # most texts have no slots; the flag stands twice so that the optimizer computes it once a text, not once a window
+        return F.struct(i.alias("pos"), F.xxhash64(*at).alias("hash"), F.when(~F.col("slots"), F.lit("")).when(F.col("slots"), vals).alias("vals"))
+    d = d.select(key, F.explode(F.slice(F.transform("t", window), F.lit(1), F.greatest(F.size("t") - (size - 1), F.lit(0)))).alias("x"))
     return d.select(key, "x.pos", "x.hash", "x.vals")
 
 
