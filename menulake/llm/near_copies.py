@@ -16,17 +16,18 @@ process ends once it is later than all components of its text.
 *Candidates.* Bands of ``rows`` components; texts that share a band are
 candidates, and the components of that relation the groups to look into.
 
-*Verifying.* In a group every text is compared, over all windows, with the
-group's smallest text, the hub h. If a text x of the group isn't near h, it may
-still be near another text y of the group. As h is no larger than y, such a
-pair shares windows that h lacks: |x & y| <= min(|x & h|, |y & h|) + |x-h & y-h|,
-so at least 4/9 (|x| + |h|) - |x & h| of them. By the prefix principle x and y
-then share one of the first |x-h| - needed + 1 windows, in hash order, that
-each has beyond h. These windows (and the size class, as sizes differ by a
-fifth at most) make the groups of the next round, whose hubs are larger, until
-no group holds two components. So no link between texts that share a band is
-lost, no group is expanded into all pairs, and a round's work is one comparison
-for each text of a group.
+*Verifying.* A group of up to 128 texts is resolved in one task, over all
+windows. A larger one, which chance may have chained together, is looked at band
+by band. Where the texts of one band are still more, every text is compared with the
+group's smallest text, the hub h. If a text x of the group isn't near h, it may still be near
+another text y of the group. As h is no larger than y, such a pair shares
+windows that h lacks: |x & y| <= min(|x & h|, |y & h|) + |x-h & y-h|, so at
+least 4/9 (|x| + |h|) - |x & h| of them. By the prefix principle x and y then
+share one of the first |x-h| - needed + 1 windows, in hash order, that each has
+beyond h. These windows (and the size class, as sizes differ by a fifth at most)
+make the groups of the next round. So no link between texts that share a band
+is lost, no large group is expanded into pairs, and a round's work is one
+comparison for each text of a group.
 """
 
 from __future__ import annotations
@@ -46,7 +47,9 @@ from menulake.llm.common import Tables, text_of
 from menulake.llm.components import components
 
 WINDOW, NEAR = 5, 0.8
-BANDS, ROWS = 24, 4
+BANDS, ROWS = 28, 5
+#: Groups up to this many texts are resolved in one task; larger ones go by rounds.
+GROUP = 128
 _WORD = re.compile(r"\w+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,6 +166,28 @@ def _compare(near: float):
     return run
 
 
+def _resolve(near: float):
+    """Links that hold a group's components together, found over all windows of its texts."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        doc, w, n = windows(pdf["text"].tolist())
+        at = np.searchsorted(doc, np.arange(len(pdf) + 1))
+        w, n = ([x[a:b] for a, b in zip(at, at[1:])] for x in (w, n))
+        size = [int(x.sum()) for x in n]
+        root, out = list(range(len(pdf))), []
+        for i in range(len(pdf)):
+            for j in range(i):
+                if root[i] == root[j] or min(size[i], size[j]) < near * max(size[i], size[j]) - 1e-9:
+                    continue
+                _, a, b = np.intersect1d(w[i], w[j], assume_unique=True, return_indices=True)
+                both = int(np.minimum(n[i][a], n[j][b]).sum())
+                if both >= near * (size[i] + size[j] - both) - 1e-9:
+                    old, new = root[i], root[j]
+                    root = [new if r == old else r for r in root]
+                    out.append((pdf["node"].iloc[i], pdf["node"].iloc[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
+    return run
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: float = NEAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, class_id, kept`` for each row of ``docs``; the class is named by its least doc_id.
 
@@ -191,34 +216,38 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = d.alias("d").join(wanted.alias("w"), same, "left_semi").dropDuplicates(["node"]).select("node", "text")
     text = t.cut(text, "texts")
 
-    # rounds of comparisons with each group's smallest text
-    edges = None
+    # small groups in one task each, large ones against their smallest text
     members = sizes.select("key", "node", "size")
-    roots = None
+    edges, by_band = None, False
     while True:
-        hubs = members.groupBy("key").agg(F.min(F.struct("size", "node")).alias("hub"), F.max(F.struct("size", "node")).alias("other"))
-        hubs = t.cut(hubs.where("hub.node != other.node").select("key", F.col("hub.node").alias("hub")), "hubs")
-        pairs = members.join(hubs, "key").where("node != hub").select("node", "size", "hub").distinct()
+        counted = t.cut(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counted")
+        members = t.cut(members.join(counted, "key"), "members")
+        # many small groups of a round have the same texts; each is resolved once
+        sets = members.where(F.col("n") <= GROUP).groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("nodes")).select("nodes").distinct()
+        small = sets.select(F.xxhash64("nodes").alias("key"), F.explode("nodes").alias("node")).join(text, "node")
+        found = small.groupBy("key").applyInPandas(_resolve(near), "a binary, b binary")
+        edges = t.cut(found if edges is None else edges.union(found), "links")
+        large = members.where(F.col("n") > GROUP)
+        if not large.limit(1).count():
+            break
+        if not by_band:
+            by_band = True
+            members = t.cut(band.join(large.select("node", "size").distinct(), "node").select("key", "node", "size"), "bands")
+            continue
+        hubs = t.cut(large.groupBy("key").agg(F.min(F.struct("size", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub")), "hubs")
+        pairs = large.join(hubs, "key").where("node != hub").select("node", "size", "hub").distinct()
         pairs = pairs.join(text, "node").join(text.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub")
         pairs = pairs.select("node", "size", "hub", "text", "hub_text")
         done = t.cut(pairs.mapInPandas(_compare(near), "node binary, size long, hub binary, linked boolean, beyond array<long>"), "compared")
-        found = done.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        edges = found if edges is None else edges.union(found)
-        edges = t.cut(edges, "links")
-        roots = components(t, edges)
-        open_ = done.where("NOT linked").select("hub").distinct()
-        if not open_.limit(1).count():
-            break
-        # groups of the next round: texts with a window in common that the hub lacks, of like sizes
-        apart = t.cut(done.join(open_, "hub", "left_semi").select("hub", "node", "size", F.explode("beyond").alias("window")), "apart")
+        edges = t.cut(edges.union(done.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "links")
+        # the next round's groups: texts with a window in common that the hub lacks, of like sizes, not all of them near the hub
         step = F.floor(F.log("size") / F.log(F.lit(1 / near)))
-        keyed = apart.select("hub", "node", "size", "window", F.explode(F.array(step, step + 1)).alias("class"))
-        keyed = keyed.select(F.xxhash64("hub", "window", "class").alias("key"), "node", "size")
-        keyed = keyed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = t.cut(keyed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most").select("key"), "several")
-        members = t.cut(keyed.join(several, "key").select("key", "node", "size").distinct(), "members")
-        if not members.limit(1).count():
-            break
+        keyed = done.select("hub", "node", "size", "linked", F.explode("beyond").alias("window"))
+        keyed = keyed.select(F.explode(F.array(step, step + 1)).alias("class"), "hub", "window", "node", "size", "linked")
+        keyed = keyed.select(F.xxhash64("hub", "window", "class").alias("key"), "node", "size", "linked")
+        open_ = t.cut(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("linked").alias("all_linked")).where("n > 1 AND NOT all_linked").select("key"), "open")
+        members = t.cut(keyed.join(open_, "key").select("key", "node", "size").distinct(), "members")
+    roots = components(t, edges)
 
     # a class is named by the least id of its texts
     named = names.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
