@@ -99,9 +99,12 @@ def _frequencies(block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for k, (vocab, parts, docs) in enumerate(_blocks(batches, block_chars)):
-            block = task * 2**32 + k
-            listed = np.array(docs, dtype=_DOC).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([DOCS]), pa.array([block]), pa.array([listed], pa.binary())], ["piece", "block", "docs"])
+            if k >= 2 ** 11 or task >= 2 ** 21:
+                raise ValueError("more blocks than block numbers: raise block_chars")
+            # the block's number stands in front of its documents and of each list of pairs
+            block = np.array([task * 2 ** 11 + k], "<u4").tobytes()
+            listed = block + np.array(docs, dtype=_DOC).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([DOCS]), pa.array([listed], pa.binary())], ["piece", "docs"])
             if not vocab:
                 continue
             piece, doc, freq = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -118,14 +121,21 @@ def _frequencies(block_chars: int):
             order = np.argsort(piece, kind="stable")
             pairs = np.empty(len(order), _PAIR)
             pairs["doc"], pairs["freq"] = doc[order], rest[order]
-            ends = np.cumsum(np.bincount(piece, minlength=len(vocab))) * _PAIR.itemsize
-            flat = pairs.tobytes()
+            many = np.bincount(piece, minlength=len(vocab))
+            ends = np.cumsum(many * _PAIR.itemsize + 4)
+            flat = np.empty(int(ends[-1]), np.uint8)
+            heads = (ends - many * _PAIR.itemsize - 4)[:, None] + np.arange(4)
+            body = np.ones(len(flat), bool)
+            body[heads] = False
+            flat[heads] = np.frombuffer(block, np.uint8)
+            flat[body] = pairs.view(np.uint8)
+            flat = flat.tobytes()
             for a in range(0, len(names), 50_000):
                 b = min(a + 50_000, len(names))
                 start = int(ends[a - 1]) if a else 0
                 offsets = np.concatenate([[0], ends[a:b] - start]).astype(np.int32)
                 packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(flat[start:int(ends[b - 1])])])
-                yield pa.RecordBatch.from_arrays([pa.array(names[a:b], pa.string()), pa.array(np.full(b - a, block)), packed], ["piece", "block", "docs"])
+                yield pa.RecordBatch.from_arrays([pa.array(names[a:b], pa.string()), packed], ["piece", "docs"])
     return run
 
 
@@ -175,19 +185,24 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([names[i] for i in b.column(0).to_pylist()], pa.int64()), b.column(1), b.column(2)], ["block", "docs", "sums"])
 
     for b in batches:
-        pieces, blocks, docs, n = (b.column(b.schema.get_field_index(c)) for c in ("piece", "block", "docs", "n"))
+        pieces, docs, n = (b.column(b.schema.get_field_index(c)) for c in ("piece", "docs", "n"))
         own = np.array([p == DOCS for p in pieces.to_pylist()], bool)
         if own.any():
-            at = pa.array(np.flatnonzero(own))
-            yield pa.RecordBatch.from_arrays([blocks.take(at), docs.take(at), pa.nulls(int(own.sum()), pa.binary())], ["block", "docs", "sums"])
+            whole = [x.as_py() for x in docs.filter(pa.array(own))]
+            yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(x[:4], "little") for x in whole], pa.int64()), pa.array([x[4:] for x in whole], pa.binary()), pa.nulls(len(whole), pa.binary())], ["block", "docs", "sums"])
         if own.all():
             continue
         at = pa.array(np.flatnonzero(~own))
         lists = docs.take(at)
         offsets = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset:lists.offset + len(lists) + 1]
-        pairs = np.frombuffer(lists.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(_PAIR)
-        many = np.diff(offsets) // _PAIR.itemsize
-        block, inv = np.unique(blocks.take(at).to_numpy(), return_inverse=True)
+        flat = np.frombuffer(lists.buffers()[2], np.uint8)
+        heads = offsets[:-1, None] + np.arange(4)
+        body = np.zeros(len(flat), bool)
+        body[offsets[0]:offsets[-1]] = True
+        body[heads] = False
+        pairs = flat[body].view(_PAIR)
+        many = (np.diff(offsets) - 4) // _PAIR.itemsize
+        block, inv = np.unique(flat[heads].view("<u4").ravel(), return_inverse=True)
         for x in block.tolist():
             if x not in slots:
                 slots[x] = len(names)
@@ -244,9 +259,11 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     d = columns(docs, doc_id=id_col, text=text_col)
     d = d.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text_of()).cast("long").alias("bytes"), text_of().alias("text"))
-    counts = (d.mapInArrow(_distinct(block_chars), "piece string").distinct()
+    # a task reads four splits and makes their pieces distinct before the shuffle
+    some = d.coalesce(max(1, d.rdd.getNumPartitions() // 4))
+    counts = (some.mapInArrow(_distinct(block_chars), "piece string").distinct()
               .mapInArrow(_count(model_path), "piece string, n long"))
-    freqs = d.mapInArrow(_frequencies(block_chars), "piece string, block long, docs binary")
+    freqs = d.mapInArrow(_frequencies(block_chars), "piece string, docs binary")
     summed = freqs.join(counts, "piece").mapInArrow(_sums, "block long, docs binary, sums binary")
     out = summed.groupBy("block").applyInArrow(_group, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
