@@ -1,6 +1,6 @@
 """Column functions: text parsing, ids, nutrition scoring."""
 
-from menulake.functions.ids import stable_id, keep_or_make_id  # noqa: F401
+from menulake.functions.ids import stable_id  # noqa: F401
 from menulake.functions.text import (  # noqa: F401
     amount_or_zero, check_url, parse_amount, parse_unit, resolve_url, snake_case, strip_ws,
 )

@@ -18,20 +18,3 @@ def stable_id(*parts) -> Column:
         t = col_of(p).cast("string")
         kept.append(F.when(t != "", t))
     return F.substring(F.sha2(F.concat_ws("|", *kept), 256), 1, 32)
-
-
-def keep_or_make_id(existing, *parts) -> Column:
-    """An id already present (non-empty) is kept, else it is derived from parts."""
-    return F.coalesce(F.nullif(col_of(existing), F.lit("")), stable_id(*parts))
-
-
-def brand_id(name) -> Column:
-    return stable_id(name)
-
-
-def item_id(brand_id_col, name, url) -> Column:
-    return stable_id(brand_id_col, name, url)
-
-
-def variation_id(item_id_col, label) -> Column:
-    return stable_id(item_id_col, label)

@@ -67,7 +67,7 @@ def resolve_url(href, base) -> Column:
     b = F.lit(base) if isinstance(base, str) else base
     scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*):", 1)
     origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
-    path = F.regexp_replace(F.substring(b, F.length(origin) + 1, 1 << 30), r"[?#].*$", "")
+    path = F.regexp_replace(F.substring(b, F.length(origin) + 1, F.length(b)), r"[?#].*$", "")
     folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
     return (
         F.when(h.isNull(), F.lit(None).cast("string"))

@@ -1,8 +1,8 @@
 """Lookup joins and incremental merges (J-01..J-06).
 
-Broadcast is used only behind an explicit row-count check of the small side;
-beyond it the join falls back to a shuffle join that AQE may still convert
-(with its own runtime size check) or split for skew.
+No side is broadcast by hint: the optimizer does so by its byte statistics, and
+a shuffle join may still be converted (by the sizes AQE measures) or split for
+skew.
 """
 
 from __future__ import annotations
@@ -15,27 +15,6 @@ from pyspark.sql import functions as F
 from menulake.functions.text import strip_ws
 from menulake.operators.select import dedup_last, first_image, first_variation, needs_image, needs_profile
 
-# A category lookup is a curated list (about 150 rows); broadcast it up to this size.
-LOOKUP_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The side is persisted before the check, so the rows the count computes
-    are the rows the join then uses (a derived lookup is not recomputed from
-    its source). The check counts at most ``max_rows + 1`` rows; a side that
-    turns out large is released and joined by shuffle instead.
-    """
-    from pyspark import StorageLevel
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
-
-
 def lookup_keys(lookup: DataFrame, pos: str | None = None) -> DataFrame:
     """Category lookup keyed by lowered, trimmed name; a repeated key: last wins."""
     keyed = lookup.withColumn("lookup_key", F.lower(strip_ws(F.col("name"))))
@@ -55,7 +34,7 @@ def lookup_brand(brands: DataFrame, lookup: DataFrame, run_ts: str,
     Adds ``lookup_hit`` and ``needs_answer`` (a named brand that missed).
     Brands with an empty name pass unchanged.
     """
-    lk = broadcast_if_bounded(lookup_keys(lookup, lookup_pos), LOOKUP_BROADCAST_ROWS)
+    lk = lookup_keys(lookup, lookup_pos)
     named = F.col("brand_name").isNotNull() & (F.col("brand_name") != "")
     j = (brands.withColumn("lookup_key", F.lower(strip_ws(F.col("brand_name"))))
          .join(lk, "lookup_key", "left"))

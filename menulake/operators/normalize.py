@@ -76,10 +76,13 @@ def to_variations(raw_servings: DataFrame, run_ts: str) -> DataFrame:
     """N-03: one variation per raw serving.
 
     Item-level allergens and ingredients are already copied down to each serving
-    row; the serving image wins over no image; ingredients default to ''.
+    row; the serving image wins over no image; ingredients that aren't text are null.
     """
-    bid = stable_id("brand_name")
-    iid = stable_id(bid, F.coalesce(F.col("item_name"), F.lit(DEFAULT_ITEM_NAME)), F.col("item_url"))
+    # a source that has the item's ids passes them down, one hash an item instead of two a serving
+    have = set(raw_servings.columns)
+    bid = F.col("restaurant_brand_id") if "restaurant_brand_id" in have else stable_id("brand_name")
+    iid = (F.col("menu_item_id") if "menu_item_id" in have
+           else stable_id(bid, F.coalesce(F.col("item_name"), F.lit(DEFAULT_ITEM_NAME)), F.col("item_url")))
     label = default_size_label(F.col("size_label"))
     nutrition = F.coalesce(F.col("nutrition"), F.create_map().cast("map<string,string>"))
     allergens = F.coalesce(F.col("allergens").cast(ALLERGENS_TYPE), empty_allergens())
@@ -91,7 +94,7 @@ def to_variations(raw_servings: DataFrame, run_ts: str) -> DataFrame:
         serving_struct(nutrition).alias("serving"),
         typed_nutrition(nutrition).alias("nutrition"),
         allergens.alias("allergens"),
-        F.coalesce(F.col("ingredients"), F.lit("")).alias("ingredients"),
+        F.col("ingredients"),
         F.nullif(F.col("image_url"), F.lit("")).alias("image_url"),
         F.lit(True).alias("is_active"),
         _stamp(run_ts).alias("created_at"),
@@ -116,6 +119,22 @@ def normalize(raw_brands: DataFrame, raw_items: DataFrame, raw_servings: DataFra
                       to_variations(raw_servings, run_ts))
 
 
+#: Positions within a document that one long has room for; beyond, a run fails rather than mixes positions up.
+POSITIONS = 1 << 20
+
+
+def _ordinal(base, pos):
+    """One long that orders by ``base``, then ``pos``."""
+    room = F.raise_error(F.lit("a document holds too many entries for its positions")).cast("long")
+    return F.when(pos < POSITIONS, base * F.lit(POSITIONS).cast("long") + pos).otherwise(room)
+
+
+def _ingredients(c):
+    """Ingredients as stated: text stays, a missing value is empty, any other JSON value is null."""
+    v = F.col(c)
+    return F.when(v.isNull(), F.lit("")).when(F.schema_of_variant(v) == "STRING", v.cast("string"))
+
+
 def nested_to_flat(keyed: DataFrame, doc_col: str = "doc"):
     """Explode a keyed brand document column into the three flat raw frames.
 
@@ -125,21 +144,21 @@ def nested_to_flat(keyed: DataFrame, doc_col: str = "doc"):
     brands = (keyed.select("doc_pos", F.posexplode(doc_col).alias("b_pos", "name", "b"))
               .select(F.col("doc_pos"), F.col("b_pos"), "name", "b"))
     raw_brands = brands.select(
-        (F.col("doc_pos") * F.lit(1 << 20) + F.col("b_pos")).cast("long").alias("brand_pos"),
+        _ordinal(F.col("doc_pos").cast("long"), F.col("b_pos")).alias("brand_pos"),
         "name", F.col("b.url").alias("url"), F.col("b.restaurant_logo").alias("restaurant_logo"))
     items = brands.select(
         F.col("name").alias("brand_name"),
-        ((F.col("doc_pos") * F.lit(1 << 20) + F.col("b_pos")) * F.lit(1 << 20)).alias("base"),
+        _ordinal(F.col("doc_pos").cast("long"), F.col("b_pos")).alias("base"),
         F.posexplode(F.coalesce(F.col("b.items"), F.array())).alias("i_pos", "it"))
     raw_items = items.select(
-        "brand_name", (F.col("base") + F.col("i_pos")).cast("long").alias("item_pos"),
+        "brand_name", _ordinal(F.col("base"), F.col("i_pos")).alias("item_pos"),
         F.col("it.name").alias("name"), F.col("it.url").alias("url"),
         F.col("it.category").alias("category"), F.col("it.description").alias("description"),
-        F.col("it.allergens").alias("allergens"), F.col("it.ingredients").alias("ingredients"))
+        F.col("it.allergens").alias("allergens"), _ingredients("it.ingredients").alias("ingredients"))
     servings = items.select(
-        "brand_name", (F.col("base") + F.col("i_pos")).cast("long").alias("item_pos"),
+        "brand_name", _ordinal(F.col("base"), F.col("i_pos")).alias("item_pos"),
         F.col("it.name").alias("item_name"), F.col("it.url").alias("item_url"),
-        F.col("it.allergens").alias("allergens"), F.col("it.ingredients").alias("ingredients"),
+        F.col("it.allergens").alias("allergens"), _ingredients("it.ingredients").alias("ingredients"),
         F.posexplode(F.coalesce(F.col("it.nutritional_values.serving_sizes"), F.array()))
          .alias("serving_pos", "s"))
     raw_servings = servings.select(

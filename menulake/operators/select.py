@@ -15,23 +15,19 @@ from pyspark.sql import functions as F
 
 from menulake.functions._util import blank, col_of
 
-# Lists longer than this become a broadcast semi join instead of an IN list.
+# Lists longer than this become a semi join instead of an IN list.
 INLINE_LIST_MAX = 1000
-# A name list is broadcast only below this many rows (it is a user-given list).
-BROADCAST_ROWS_MAX = 1_000_000
 
 
 def only_brands(df: DataFrame, names: Sequence[str] | DataFrame, col: str = "name") -> DataFrame:
     """P-01: keep rows whose exact, case-sensitive name is in ``names``."""
     if isinstance(names, DataFrame):
-        from menulake.operators.joins import broadcast_if_bounded
-        keys = names.select(F.col(names.columns[0]).alias(col)).distinct()
-        return df.join(broadcast_if_bounded(keys, BROADCAST_ROWS_MAX), col, "left_semi")
+        return df.join(names.select(F.col(names.columns[0]).alias(col)), col, "left_semi")
     names = list(names)
     if len(names) <= INLINE_LIST_MAX:
         return df.filter(F.col(col).isin(names))
     keys = df.sparkSession.createDataFrame([(n,) for n in names], f"{col} string")
-    return df.join(F.broadcast(keys), col, "left_semi")
+    return df.join(keys, col, "left_semi")
 
 
 def limit_brands(df: DataFrame, n: int | None, order: str = "brand_pos") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from menulake.functions.nutrition import RATIO_EXCELLENT, RATIO_GOOD
@@ -37,18 +37,23 @@ def _milli(c: Column) -> Column:
 def ratio_distribution(scored: DataFrame) -> DataFrame:
     """A-02: min, max, mean and upper median (``sorted[n // 2]``) of new ratios.
 
-    The exact median uses ``percentile_disc`` over the descending order; its
-    state is a value -> count map, bounded by the number of distinct 3-decimal
-    ratios, not by the row count. All four are null when no row was scored.
+    Rows are counted by value first, map-side; the median is read off the running
+    counts of the distinct 3-decimal ratios. All four are null when no row was
+    scored.
     """
     r = F.col("golden_ratio")
-    done = scored.filter(F.col("ratio_status") == "processed").select(r)
-    return done.agg(
+    # one row a distinct ratio; the ranks are running sums over those
+    counted = (scored.filter(F.col("ratio_status") == "processed").filter(r.isNotNull())
+               .groupBy(r).agg(F.count(F.lit(1)).alias("n")))
+    down = Window.orderBy(r.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("n").over(Window.partitionBy())
+    ranked = counted.withColumns({"upto": F.sum("n").over(down), "total": total})
+    # the upper median is the first ratio, from the top, that half of the rows reach
+    return ranked.agg(
         F.bround(F.min(r), 3).alias("min"),
         F.bround(F.max(r), 3).alias("max"),
-        F.bround(F.sum(_milli(r)) / F.count(r) / 1000, 3).alias("average"),
-        F.bround(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY golden_ratio DESC)"), 3)
-         .alias("median"),
+        F.bround(F.try_divide(F.sum(_milli(r) * F.col("n")), F.sum("n")) / 1000, 3).alias("average"),
+        F.bround(F.max(F.when(F.col("upto") * 2 >= F.col("total"), r)), 3).alias("median"),
     )
 
 
@@ -112,10 +117,14 @@ def brand_summary(brands: DataFrame, items: DataFrame, variations: DataFrame) ->
     """A-06: items and variations per brand, plus a grand-total row (brand null).
 
     Both sides are aggregated per brand before the join, so the join moves one
-    row per brand whatever the skew.
+    row per brand whatever the skew. ``variations`` may come counted, as
+    (restaurant_brand_id, variations), where a source can count by a key of its
+    own before it makes ids.
     """
+    counted = "variations" in variations.columns  # (restaurant_brand_id, variations), counted by the source
     ic = items.groupBy("restaurant_brand_id").agg(F.count(F.lit(1)).cast("long").alias("items"))
-    vc = variations.groupBy("restaurant_brand_id").agg(F.count(F.lit(1)).cast("long").alias("variations"))
+    n = F.sum("variations") if counted else F.count(F.lit(1))
+    vc = variations.groupBy("restaurant_brand_id").agg(n.cast("long").alias("variations"))
     per = (brands.select(F.col("_id").alias("restaurant_brand_id"), "brand_name")
            .join(ic, "restaurant_brand_id", "left").join(vc, "restaurant_brand_id", "left")
            .select("brand_name", F.coalesce("items", F.lit(0)).alias("items"),

@@ -103,7 +103,9 @@ def serving_order() -> Column:
 
 def raw_servings(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """One raw serving per lineitem row, with its item's fields copied down."""
-    p = part.select("p_partkey", "p_brand", "p_name", "p_size")
+    bid = stable_id("p_brand")
+    p = part.select("p_partkey", "p_brand", "p_name", "p_size", bid.alias("restaurant_brand_id"),
+                    stable_id(bid, F.col("p_name"), item_url(F.col("p_partkey"))).alias("menu_item_id"))
     j = lineitem.join(p, lineitem["l_partkey"] == p["p_partkey"], "inner")
     lin = F.col("l_linenumber")
     image = (F.when(lin % 3 == 0, F.lit(None).cast("string"))
@@ -112,6 +114,7 @@ def raw_servings(lineitem: DataFrame, part: DataFrame) -> DataFrame:
                                   F.lit("-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                                   lin.cast("string"), F.lit(".jpg"))))
     return j.select(
+        "restaurant_brand_id", "menu_item_id",
         F.col("p_brand").alias("brand_name"), F.col("l_partkey").cast("long").alias("item_pos"),
         F.col("p_name").alias("item_name"), item_url(F.col("l_partkey")).alias("item_url"),
         serving_order().alias("serving_pos"),
@@ -122,7 +125,7 @@ def raw_servings(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.lit(None).cast("struct<contains:array<string>,does_not_contain:array<string>,"
                          "unknown:array<string>,allergy_information:string>").alias("allergens"),
         F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("ingredients of "), F.col("p_name")))
-         .alias("ingredients"),
+         .otherwise(F.lit("")).alias("ingredients"),
     )
 
 

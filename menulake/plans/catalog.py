@@ -212,7 +212,7 @@ def q_nested_totals(spark, sf):
 
 def q_brand_summary(spark, sf):
     return stats.brand_summary(domain.brands(spark, sf), domain.menu_items(spark, sf),
-                               domain.variations(spark, sf))
+                               domain.variation_counts(spark, sf))
 
 
 def q_fetch_log_stats(spark, sf):

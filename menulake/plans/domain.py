@@ -9,7 +9,9 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from menulake.functions.ids import stable_id
 from menulake.operators.enrich import enrich_brands, enrich_items
 from menulake.operators.joins import attach_images, profile_items
 from menulake.operators.normalize import to_brands, to_menu_items, to_variations
@@ -43,6 +45,13 @@ def variations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_variations(B.raw_servings(li, part), B.RUN_TS)
 
 
+def variation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Servings per brand: counted by part key before the join, so one row a part and task is shuffled."""
+    part = B.read(spark, sf_dir, "part").select("p_partkey", stable_id("p_brand").alias("restaurant_brand_id"))
+    n = B.read(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("variations"))
+    return n.join(part, F.col("l_partkey") == F.col("p_partkey")).select("restaurant_brand_id", "variations")
+
+
 def enriched_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = B.read(spark, sf_dir, "part")
     rb = B.raw_brands(part)

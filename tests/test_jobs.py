@@ -185,3 +185,17 @@ def test_stream_upsert_repeated_keys(spark, scratch):
     out = os.path.join(scratch, "out")
     stream_upsert(spark, stream, out, os.path.join(scratch, "ckpt"), "_id", "v", base=base)
     assert [tuple(r) for r in latest_stream_snapshot(spark, out).collect()] == [("a", 2)]
+
+
+def test_ingredients_that_are_no_text_are_null(spark, scratch):
+    import json
+    from menulake.operators.normalize import to_variations
+    from menulake.sources.io import read_keyed
+    sizes = {"serving_sizes": [{"size_label": "S", "nutrition": {}}]}
+    items = [{"name": n, "url": n, "nutritional_values": sizes} | extra for n, extra in (
+        ("a", {"ingredients": "salt"}), ("b", {"ingredients": ["salt", "oil"]}), ("c", {"ingredients": 5}), ("d", {}), ("e", {"ingredients": None}))]
+    with open(os.path.join(scratch, "x.json"), "w") as fh:
+        json.dump({"B": {"url": "u", "items": items}}, fh)
+    _, _, servings = read_keyed(spark, scratch)
+    got = [r["ingredients"] for r in to_variations(servings, "t").orderBy("item_pos").collect()]
+    assert got[:4] == ["salt", None, None, ""] and got[4] in ("", None)
