@@ -523,6 +523,16 @@ def q_snapshot_roundtrip(spark, sf):
         "o_orderkey", "o_custkey", "o_totalprice", _date_text("o_orderdate").alias("o_orderdate"), "run_ts")
 
 
+def q_snapshot_new_column(spark, sf):
+    """S-03: the newest run keeps a column that the run before it lacks."""
+    from menulake.sources.io import latest_snapshot, write_snapshot
+    root = _stream_root(spark).replace("/streams/", "/snapshots/")
+    o = B.read(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    write_snapshot({"orders": o.select("o_orderkey")}, root, "2024-01-01T00:00:00")
+    write_snapshot({"orders": o.filter(F.col("o_orderstatus") != "F")}, root, "2024-02-01T00:00:00")
+    return latest_snapshot(spark, root, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "run_ts")
+
+
 # -- jobs end to end (L-02, U-02) -----------------------------------------------
 
 def q_published_menu_items(spark, sf):
@@ -546,6 +556,21 @@ def q_published_menu_items(spark, sf):
                         _tags_text("macronutrient_profile").alias("tags"), "menu_item_image_url")
 
 
+def q_published_variations(spark, sf):
+    """U-02: all servings, whose ids repeat, published twice: one row an id, the last serving's."""
+    from menulake.plans.jobs import publish
+    from menulake.sources.io import latest_snapshot, write_snapshot
+    root = _stream_root(spark).replace("/streams/", "/jobs/")
+    write_snapshot({"variations": domain.scored_variations(spark, sf)}, f"{root}/enriched", B.RUN_TS)
+    first = publish(spark, root, "2024-01-01T00:00:00")["variations"]
+    second = publish(spark, root, "2024-01-02T00:00:00")["variations"]
+    v = latest_snapshot(spark, f"{root}/published", "variations")
+    n = v.select("_id", "label", F.col("nutrition.calories").alias("calories"), F.col("nutrition.protein_g").alias("protein_g"),
+                 F.col("nutrition.sugars_g").alias("sugars_g"), "golden_ratio", "ingredients")
+    return n.withColumns({"inserted": F.lit(first["inserted"]).cast("long"), "matched": F.lit(second["matched"]).cast("long"),
+                          "modified": F.lit(second["modified"]).cast("long")})
+
+
 QUERIES: dict[str, Query] = {
     "brand_protein_report": brand_protein_report,
     "to_brands": q_to_brands,
@@ -597,4 +622,6 @@ QUERIES: dict[str, Query] = {
     "published_menu_items": q_published_menu_items,
     "page_facts": q_page_facts,
     "snapshot_roundtrip": q_snapshot_roundtrip,
+    "snapshot_new_column": q_snapshot_new_column,
+    "published_variations": q_published_variations,
 }

@@ -551,3 +551,14 @@ ORACLES["snapshot_roundtrip"] = """
 SELECT o_orderkey, o_custkey, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
   '2024-02-01' AS run_ts
 FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'"""
+
+ORACLES["snapshot_new_column"] = """
+SELECT o_orderkey, o_totalprice, o_orderstatus, '2024-02-01T00:00:00' AS run_ts
+FROM orders WHERE o_orderstatus <> 'F'"""
+
+_LAST = ", ".join(f"{c.strip()} DESC" for c in LI_ORDER.split(","))
+ORACLES["published_variations"] = with_ctes(CTE_VARIATIONS, body=f"""
+, l AS (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY {_LAST}) AS back FROM v)
+SELECT _id, label, calories, protein_g, sugars_g, golden_ratio, ingredients,
+  count(*) OVER () AS inserted, count(*) OVER () AS matched, CAST(0 AS BIGINT) AS modified
+FROM l WHERE back = 1""")
