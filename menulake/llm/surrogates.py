@@ -33,18 +33,23 @@ WOMEN = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra",
 TITLES = (*MEN, *WOMEN, "Dr", "Prof")
 #: Entity patterns; the first that matches at a place wins. Runs are possessive, so long texts scan in one pass.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[^\p{L}\p{N}\n(]{0,6})?\([0-9]{2,4}\)[^\p{L}\p{N}\n]{0,6}[0-9]{3}[-. ][0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}(?![0-9])|(?<![0-9-])(?:[0-9]{3}-)?[0-9]{3}-[0-9]{4}(?![0-9-])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9]{20,}+)(?![\p{L}\p{N}])",
-    "person": r"(?<![\p{L}\p{N}])(?:" + "|".join(x for t in TITLES for x in dict.fromkeys((t, t.upper()))) + r")\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
+    "email": r"(?<![._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "ip": r"(?<!\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
+    "phone": r"(?<!-)(?:[0-9]{3}-)?[0-9]{3}-[0-9]{4}(?![0-9-])",
+    "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "card": r"[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
+    "secret": r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9]{20,}+)(?![\p{L}\p{N}])",
+    "person": r"(?:" + "|".join(x for t in TITLES for x in dict.fromkeys((t, t.upper()))) + r")\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
 }
+#: Phone numbers with a country or an area in brackets.
+LONG_PHONE = r"\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}(?![0-9])|(?:\+[0-9]{1,3}[^\p{L}\p{N}\n(]{0,6})?\([0-9]{2,4}\)[^\p{L}\p{N}\n]{0,6}[0-9]{3}[-. ][0-9]{4}(?![0-9])"
+#: All of them: nearly every place in a text lies within a word, where one look back decides.
+ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")|(?=[+(])(?:" + LONG_PHONE + ")"
+#: What a text must have to hold any entity; a key may be all letters.
+MAYBE = r"[@0-9]|AKIA|gh[pousr]_|sk-|(?:" + "|".join(x for t in TITLES for x in dict.fromkeys((t, t.upper()))) + r")\.? \p{Lu}|[a-fA-F]{32}"
 MALE = r"^(?:" + "|".join((*MEN, *map(str.upper, MEN))) + r")[. ]"
 FEMALE = r"^(?:" + "|".join((*WOMEN, *map(str.upper, WOMEN))) + r")[. ]"
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Kinds of which only the digits count: mentions differ in punctuation.
 DIGITS = ("phone", "ssn", "card")
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
@@ -66,10 +71,10 @@ def _script(s: Column) -> Column:
 
 
 def kind_of(mention: Column) -> Column:
-    c = None
+    c = F.when(mention.rlike(f"^(?:{LONG_PHONE})$"), "phone")
     for k, p in PATTERNS.items():
         own = mention.rlike(f"^(?:{p})$")
-        c = F.when(own, k) if c is None else c.when(own, k)
+        c = c.when(own, k)
     return c.otherwise("secret")
 
 
@@ -209,7 +214,8 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
     t = Tables(docs.sparkSession, "surrogates")
     text = F.col(text_col)
     # documents with mentions, by text: equal texts have equal results
-    found = docs.select(F.md5(text_of(docs[text_col])).alias("_md5"), F.regexp_extract_all(text_of(docs[text_col]), F.lit(ANY), F.lit(0)).alias("mentions"))
+    some = docs.select(text_of(docs[text_col]).alias("text")).where(F.col("text").rlike(MAYBE))
+    found = some.select(F.md5("text").alias("_md5"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("mentions"))
     found = t.cut(found.where(F.size("mentions") > 0), "mentions").dropDuplicates(["_md5"])
     said = found.select("_md5", F.posexplode("mentions").alias("at", "mention"))
     distinct = t.cut(said.select("mention").distinct().withColumn("entities", entities_of(F.col("mention"))), "distinct")
@@ -228,7 +234,7 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
 
     lists = said.join(new, "mention").groupBy("_md5").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("news"))
     lists = t.cut(lists.select("_md5", F.transform("news", lambda x: x["new"]).alias("_news")), "lists")
-    has = text_of(docs[text_col]).rlike(ANY)
+    has = text_of(docs[text_col]).rlike(MAYBE) & text_of(docs[text_col]).rlike(ANY)
     pieces = F.split(text, ANY, -1)
     filled = F.flatten(F.zip_with(pieces, F.col("_news"), lambda p, n: F.array(p, F.coalesce(n, F.lit("")))))
     some = docs.where(has).withColumn("_md5", F.md5(text)).join(lists, "_md5")
