@@ -40,7 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from menulake.llm.common import Tables, text_of
@@ -262,7 +262,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that near_copies keeps, with all their columns."""
-    kept = near_copies(docs, id_col, text_col, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct()
-    d = docs.withColumn("_md5", F.unhex(F.md5(text_of(docs[text_col]))))
-    d = d.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_node")))
-    return d.dropDuplicates(["_id", "_node"]).select(*docs.columns)
+    def key(id_: Column, md5: Column) -> Column:
+        return F.concat(F.coalesce(id_.cast("string"), F.lit("null")), F.lit(" "), md5)
+
+    kept = near_copies(docs, id_col, text_col, **options).where("kept")
+    kept = kept.select(key(F.col("doc_id"), F.lower(F.hex("node"))).alias("_key")).distinct()
+    # joined and made distinct by one key, so the texts are shuffled once
+    d = docs.withColumn("_key", key(docs[id_col], F.md5(text_of(docs[text_col])))).join(kept, "_key")
+    return d.dropDuplicates(["_key"]).select(*docs.columns)
