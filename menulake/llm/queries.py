@@ -104,6 +104,51 @@ FROM captures c LEFT JOIN met m ON m.rn = 1 AND c.page_id = m.page_id AND c.url
 """
 
 
+def _template_sql(table: str, key: str) -> str:
+    """Windows of five template words of a table: key, pos, win, vals (the values of its slots)."""
+    from menulake.llm.decontaminate import UNITS
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    marks = "concat(chr(10), coalesce(text, ''))"
+    joined = f"regexp_replace(regexp_replace({marks}, '([0-9])[.,]([0-9])', '\\1\\2', 'g'), '([0-9])[.,]([0-9])', '\\1\\2', 'g')"
+    spaced = f"regexp_replace({joined}, '([0-9])(\\p{{L}})', '\\1 \\2', 'g')"
+    return f"""
+  SELECT k, unnest(range(1, len(w) - 3)) AS pos, w, t FROM (
+    SELECT k, w, list_transform(w, lambda x, i: CASE
+        WHEN dg AND coalesce(substr(w[i - 1], 1, 1) BETWEEN '0' AND '9', FALSE) AND i > 1 AND lower(x) IN ({units}) THEN '#unit'
+        WHEN substr(x, 1, 1) BETWEEN 'a' AND 'z' THEN lower(x)
+        WHEN substr(x, 1, 1) = chr(1) THEN lower(substr(x, 2))
+        WHEN dg AND substr(x, 1, 1) BETWEEN '0' AND '9' THEN '#number'
+        WHEN regexp_matches(x, '^\\p{{Lu}}\\p{{Ll}}') THEN '#name' ELSE lower(x) END) AS t
+    FROM (
+      SELECT {key} AS k, regexp_matches(coalesce(text, ''), '[0-9]') AS dg,
+        list_filter(string_split_regex(regexp_replace(CASE WHEN regexp_matches(coalesce(text, ''), '[0-9]') THEN {spaced} ELSE {marks} END,
+          '([.!?:\\n][ \\t\\r\\n"''(]*)(\\p{{Lu}})', concat('\\1', chr(1), '\\2'), 'g'), '[^\\p{{L}}\\p{{N}}\\x01]+'), lambda x: x <> '') AS w
+      FROM {table} WHERE {key} IS NOT NULL))"""
+
+
+def _decontaminate_sql() -> str:
+    slots = "list_filter(range(pos, pos + 5), lambda j: starts_with(t[j], '#'))"
+    vals = f"list_transform({slots}, lambda j: lower(w[j]))"
+    wins = f"SELECT k, pos, array_to_string(list_slice(t, pos, pos + 4), ' ') AS win, {vals} AS vals"
+    return f"""
+WITH d AS ({wins} FROM ({_template_sql("documents", "doc_id")})),
+i AS (SELECT DISTINCT * FROM ({wins} FROM ({_template_sql("benchmark", "item_id")})) WHERE len(vals) <= 2),
+total AS (SELECT k AS item_id, count(DISTINCT pos) AS n_windows FROM i GROUP BY k),
+hits AS (SELECT d.k AS doc_id, i.k AS item_id, i.pos AS item_pos, d.pos - i.pos AS shift, i.vals AS iv, d.vals AS dv FROM d JOIN i ON d.win = i.win),
+slots AS (SELECT DISTINCT doc_id, item_id, shift, unnest(iv) AS a, unnest(dv) AS b FROM hits),
+bad AS (SELECT doc_id, item_id, shift FROM slots GROUP BY ALL HAVING count(DISTINCT a) <> count(*)),
+good AS (SELECT * FROM hits ANTI JOIN bad USING (doc_id, item_id, shift)),
+found AS (SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_found FROM good GROUP BY ALL),
+pairs AS (SELECT doc_id, item_id, count(*) AS n_slots, bool_and(a = b) AS same_values
+  FROM (SELECT DISTINCT doc_id, item_id, a, b FROM slots ANTI JOIN bad USING (doc_id, item_id, shift)) GROUP BY ALL)
+SELECT doc_id, item_id, n_windows, n_found, coalesce(n_slots, 0) AS n_slots, coalesce(same_values, TRUE) AS same_values
+FROM found JOIN total USING (item_id) LEFT JOIN pairs USING (doc_id, item_id)
+WHERE n_found >= 0.8 * n_windows OR n_found >= 9"""
+
+
+ORACLES["op6_decontaminate"] = _decontaminate_sql()
+
+
 @query
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.surrogates import replace_personal_data
