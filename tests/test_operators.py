@@ -17,6 +17,7 @@ from menulake.schemas import RAW_KEYED_TYPE
 
 # Golden input: (calories, protein) text of the 25 flat items of one example run;
 # the published report for them is 0 / 10 / 15 and min .035, max .812, mean .452, median .477.
+# The 25 scored rows of a published example run (calories, protein).
 EXAMPLE_25 = [
     ("319.0", "1.5g"), ("289.0", "1.0g"), ("300.0", "3.0g"), ("190.0", "4.0g"), ("253.0", "1.0g"),
     ("550.0", "30.0g"), ("322.0", "25.0g"), ("610.0", "34.0g"), ("529.0", "32.0g"), ("533.0", "33.0g"),
