@@ -67,12 +67,17 @@ class _Hashes(dict):
         return h
 
 
+#: Hashes of the words that a Python worker has met; begun anew when there are many.
+_known = _Hashes()
+
+
 def windows(texts: list[str], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, window hash, count) of each distinct window, in order of text and hash."""
-    known = _Hashes()
-    words = [list(map(known.__getitem__, _WORD.findall(t.lower()))) for t in texts]
+    if len(_known) > 500_000:
+        _known.clear()
+    words = [_WORD.findall(t.lower()) for t in texts]
     n = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((h for w in words for h in w), np.uint64, int(n.sum()))
+    flat = np.concatenate([np.zeros(0, np.uint64), *(np.fromiter(map(_known.__getitem__, w), np.uint64, len(w)) for w in words)])
     at = np.cumsum(n) - n
     of = np.repeat(np.arange(len(n)), n)
     begin = np.flatnonzero((np.arange(len(flat)) - at[of] + size <= n[of]) | ((n[of] < size) & (np.arange(len(flat)) == at[of])))
