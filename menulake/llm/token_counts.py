@@ -28,9 +28,8 @@ from menulake.llm.common import columns, text_of
 MODEL = "piece_bpe_32k.model"
 #: Stands for "the documents of this block"; no pre-token has two line feeds.
 DOCS = "\n\n"
-_PAIR = np.dtype([("doc", "<u2"), ("freq", "u1")])
 _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("bytes", "<i8")])
-_SUM = np.dtype([("doc", "<u2"), ("sum", "<i8")])
+_SUM = np.dtype([("doc", "<u2"), ("sum", "<u4")])
 _SLOW = re.compile(r"\n[^ \n]*| +[^ \n]*")
 _models: dict = {}
 
@@ -95,16 +94,20 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tup
         yield vocab, parts, docs
 
 
+def _places(many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the entries of lists of so many pairs lie: a list has all its documents, two bytes each, then all frequencies."""
+    begin = np.repeat(3 * (np.cumsum(many) - many), many)
+    j = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    return begin + 2 * j, begin + 2 * np.repeat(many, many) + j
+
+
 def _frequencies(block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for k, (vocab, parts, docs) in enumerate(_blocks(batches, block_chars)):
-            if k >= 2 ** 11 or task >= 2 ** 21:
-                raise ValueError("more blocks than block numbers: raise block_chars")
-            # the block's number stands in front of its documents and of each list of pairs
-            block = np.array([task * 2 ** 11 + k], "<u4").tobytes()
-            listed = block + np.array(docs, dtype=_DOC).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([DOCS]), pa.array([listed], pa.binary())], ["piece", "docs"])
+            block = task * 2**32 + k
+            listed = np.array(docs, dtype=_DOC).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([DOCS]), pa.array([block]), pa.array([listed], pa.binary())], ["piece", "block", "docs"])
             if not vocab:
                 continue
             piece, doc, freq = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -119,23 +122,19 @@ def _frequencies(block_chars: int):
             rank[[vocab[x] for x in names]] = np.arange(len(names))
             piece = rank[piece]
             order = np.argsort(piece, kind="stable")
-            pairs = np.empty(len(order), _PAIR)
-            pairs["doc"], pairs["freq"] = doc[order], rest[order]
-            many = np.bincount(piece, minlength=len(vocab))
-            ends = np.cumsum(many * _PAIR.itemsize + 4)
-            flat = np.empty(int(ends[-1]), np.uint8)
-            heads = (ends - many * _PAIR.itemsize - 4)[:, None] + np.arange(4)
-            body = np.ones(len(flat), bool)
-            body[heads] = False
-            flat[heads] = np.frombuffer(block, np.uint8)
-            flat[body] = pairs.view(np.uint8)
+            many = np.bincount(piece, minlength=len(names))
+            ends = np.cumsum(many) * 3
+            flat = np.empty(3 * len(order), np.uint8)
+            at, freqs_at = _places(many)
+            flat[at], flat[at + 1] = doc[order] & 255, doc[order] >> 8
+            flat[freqs_at] = rest[order]
             flat = flat.tobytes()
             for a in range(0, len(names), 50_000):
                 b = min(a + 50_000, len(names))
                 start = int(ends[a - 1]) if a else 0
                 offsets = np.concatenate([[0], ends[a:b] - start]).astype(np.int32)
                 packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(flat[start:int(ends[b - 1])])])
-                yield pa.RecordBatch.from_arrays([pa.array(names[a:b], pa.string()), packed], ["piece", "docs"])
+                yield pa.RecordBatch.from_arrays([pa.array(names[a:b], pa.string()), pa.array(np.full(b - a, block)), packed], ["piece", "block", "docs"])
     return run
 
 
@@ -172,6 +171,8 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, s = packed()
         at = np.flatnonzero(np.diff(k >> 16, prepend=-1))
         out = np.empty(len(k), _SUM)
+        if s.max(initial=0) >= 2 ** 32:
+            raise ValueError("a text of a block has more tokens than 32 bits count: lower block_chars")
         out["doc"], out["sum"] = k & 0xFFFF, s
         blocks = k[at] >> 16
         parts = [x.tobytes() for x in np.split(out, at[1:])]
@@ -185,32 +186,29 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([names[i] for i in b.column(0).to_pylist()], pa.int64()), b.column(1), b.column(2)], ["block", "docs", "sums"])
 
     for b in batches:
-        pieces, docs, n = (b.column(b.schema.get_field_index(c)) for c in ("piece", "docs", "n"))
+        pieces, blocks, docs, n = (b.column(b.schema.get_field_index(c)) for c in ("piece", "block", "docs", "n"))
         own = np.array([p == DOCS for p in pieces.to_pylist()], bool)
         if own.any():
-            whole = [x.as_py() for x in docs.filter(pa.array(own))]
-            yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(x[:4], "little") for x in whole], pa.int64()), pa.array([x[4:] for x in whole], pa.binary()), pa.nulls(len(whole), pa.binary())], ["block", "docs", "sums"])
+            at = pa.array(np.flatnonzero(own))
+            yield pa.RecordBatch.from_arrays([blocks.take(at), docs.take(at), pa.nulls(int(own.sum()), pa.binary())], ["block", "docs", "sums"])
         if own.all():
             continue
         at = pa.array(np.flatnonzero(~own))
         lists = docs.take(at)
         offsets = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset:lists.offset + len(lists) + 1]
-        flat = np.frombuffer(lists.buffers()[2], np.uint8)
-        heads = offsets[:-1, None] + np.arange(4)
-        body = np.zeros(len(flat), bool)
-        body[offsets[0]:offsets[-1]] = True
-        body[heads] = False
-        pairs = flat[body].view(_PAIR)
-        many = (np.diff(offsets) - 4) // _PAIR.itemsize
-        block, inv = np.unique(flat[heads].view("<u4").ravel(), return_inverse=True)
+        flat = np.frombuffer(lists.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        many = np.diff(offsets) // 3
+        docs_at, freqs_at = _places(many)
+        doc, freq = flat[docs_at] + flat[docs_at + 1].astype(np.int64) * 256, flat[freqs_at].astype(np.float64)
+        block, inv = np.unique(blocks.take(at).to_numpy(), return_inverse=True)
         for x in block.tolist():
             if x not in slots:
                 slots[x] = len(names)
                 names.append(x)
         slot = np.array([slots[x] for x in block.tolist()], np.int64)[inv]
-        keys.append((np.repeat(slot, many) << 16) | pairs["doc"])
-        sums.append(np.repeat(n.take(at).to_numpy(), many) * pairs["freq"].astype(np.float64))
-        held += len(pairs)
+        keys.append((np.repeat(slot, many) << 16) | doc)
+        sums.append(np.repeat(n.take(at).to_numpy(), many) * freq)
+        held += len(doc)
         if held > 4_000_000:
             k, s = packed()
             keys, sums, held = [k], [s.astype(np.float64)], len(k)
@@ -263,7 +261,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     some = d.coalesce(max(1, d.rdd.getNumPartitions() // 4))
     counts = (some.mapInArrow(_distinct(block_chars), "piece string").distinct()
               .mapInArrow(_count(model_path), "piece string, n long"))
-    freqs = d.mapInArrow(_frequencies(block_chars), "piece string, docs binary")
+    freqs = d.mapInArrow(_frequencies(block_chars), "piece string, block long, docs binary")
     summed = freqs.join(counts, "piece").mapInArrow(_sums, "block long, docs binary, sums binary")
     out = summed.groupBy("block").applyInArrow(_group, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
