@@ -12,6 +12,10 @@ quotients votes / (2 k + 1). A shard's quota takes every one of its blocks as
 often as it can and the rest of the blocks in a seeded order. A document takes
 the words of its part of those blocks.
 
+Where texts themselves are taken (``mixed_documents``), they stay whole: a
+source's blocks give its number of words, and its documents are taken in a
+seeded order while they fit into it, so it ends less than a document below.
+
 Everything is SQL functions. The number of shards, and so of apportionment
 rows, is bounded by ``shards`` plus the number of sources; documents move once,
 as (id, source, words).
@@ -93,6 +97,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     empty table, or one without words, takes nothing. Other columns are
     ignored. The same rows give the same result, in whatever order they come.
     """
+    d, quotas = _dealt(docs, id_col, text_col, source_col, weights, most, blocks, shards, seed)
+    d = d.join(quotas, ["rank", "shard"])
+    return d.select("doc_id", "source", "size", "source_size", "target", _taken(seed).alias("taken"))
+
+
+def _dealt(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...], most: float, blocks: int, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The documents with their places in the shards (``end`` is where their words end), and a row for each shard with its blocks and quota."""
     t = Tables(docs.sparkSession, "mix")
     d = t.cut(sized(docs, id_col, text_col, source_col), "sized")
     sources = t.cut(targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets")
@@ -115,10 +126,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     s = sainte_lague(s, ["all"], ["rank"], "votes", "seats", "most").select("rank", F.col("quota").alias("seats"))
     h = h.withColumn("votes", F.col("words").cast("double")).withColumn("most", F.floor(F.col("n_blocks") * F.lit(float(most))))
     h = sainte_lague(h.join(s, "rank"), ["rank"], ["shard"], "votes", "seats", "most")
-    quotas = t.cut(h.select("rank", "shard", "words", "n_blocks", "quota"), "quotas")
-
-    d = d.join(quotas, ["rank", "shard"])
-    return d.select("doc_id", "source", "size", "source_size", "target", _taken(seed).alias("taken"))
+    return d, t.cut(h.select("rank", "shard", "words", "n_blocks", "quota"), "quotas")
 
 
 def _taken(seed: int) -> Column:
@@ -145,20 +153,35 @@ def _taken(seed: int) -> Column:
     return F.when(F.col("size") > 0, F.col("size") * rounds + extra).otherwise(F.lit(0)).cast("long")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, blocks: int = BLOCKS, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     """The rows of ``docs`` that a mix holds, with the columns of ``docs``.
 
-    A document stands as often as its whole text is taken, and once more with
-    its first words where a part is left over; documents of which nothing is
-    taken are left out. ``n_chars``, where there is one, follows the text.
+    A document stands as often as it is taken, its text whole each time;
+    documents that aren't taken are left out. A source has at most the words of
+    its blocks, and less than a document fewer. Only where they are fewer than
+    those of the source's first document, a part of this one stands, from a
+    seeded place. ``n_chars``, where there is one, follows the text.
     """
-    taken = mix(docs, **options).where(F.col("taken") > 0).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken")).groupBy("_id", "_size").agg(F.max("_taken").alias("_taken"))
-    d = docs.join(taken, docs[options.get("id_col", "doc_id")].eqNullSafe(taken["_id"])).drop("_id")
-    d = d.where(F.regexp_count(text_of(), F.lit(WORD)) == F.col("_size"))
-    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))))
-    pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # a word each, with the white space before it
-    left = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
-    d = d.withColumn("text", F.when(left >= F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(pieces, F.lit(1), left), "")))
+    d, quotas = _dealt(docs, id_col, text_col, source_col, weights, most, blocks, shards, seed)
+    # the shards of a source in a row, in a seeded order; there are few
+    own = Window.partitionBy("rank")
+    laid = own.orderBy(F.xxhash64(F.lit(seed + 2), "rank", "shard"), "shard").rowsBetween(Window.unboundedPreceding, -1)
+    quota = F.round(F.sum(F.when(F.col("n_blocks") > 0, F.col("quota") * F.col("words") / F.col("n_blocks"))).over(own)).cast("long")
+    q = quotas.select("rank", "shard", F.coalesce(F.sum("words").over(laid), F.lit(0)).alias("before"), F.sum("words").over(own).alias("all"), quota.alias("quota"))
+    end, size = F.col("before") + F.col("end"), F.col("size")
+    rest = F.pmod(F.col("quota"), F.col("all"))
+    d = d.where(size > 0).join(q, ["rank", "shard"]).withColumn("whole", F.floor(F.col("quota") / F.col("all")) + F.when(end <= rest, 1).otherwise(0))
+    d = d.withColumn("part", F.when((F.col("quota") < size) & (end == size), F.col("quota")).otherwise(0))
+    taken = d.where("whole + part > 0").select(F.col("doc_id").alias("_id"), size.alias("_size"), F.col("whole").alias("_whole"), F.col("part").alias("_part"))
+    taken = taken.groupBy("_id", "_size").agg(F.max("_whole").alias("_whole"), F.max("_part").alias("_part"))
+
+    d = docs.join(taken, docs[id_col].eqNullSafe(taken["_id"]))
+    d = d.where(F.regexp_count(text_of(text_col), F.lit(WORD)) == F.col("_size"))
+    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1).cast("long"), F.col("_whole")))))
+    pieces = F.split(F.col(text_col), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # a word each, with the white space before it
+    begin = F.pmod(F.xxhash64(F.lit(seed + 3), "_id"), F.col("_size") - F.col("_part") + 1) + 1
+    part = F.array_join(F.slice(pieces, begin.cast("int"), F.col("_part").cast("int")), "")
+    d = d.withColumn(text_col, F.when(F.col("_whole") > 0, F.col(text_col)).otherwise(part))
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        d = d.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return d.select(*docs.columns)
