@@ -35,17 +35,22 @@ TITLES = (*MEN, *WOMEN, "Dr", "Prof")
 PATTERNS = {
     "email": r"(?<![._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ip": r"(?<!\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
-    "phone": r"(?<!-)(?:[0-9]{3}-)?[0-9]{3}-[0-9]{4}(?![0-9-])",
-    "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
+    "phone": r"(?<![0-9-])(?:[0-9]{3}-)?[0-9]{3}-[0-9]{4}(?![0-9-])|(?<![0-9.-])[0-9]{3}(?:\.[0-9]{3}\.| [0-9]{3} )[0-9]{4}(?![0-9]|[.-][0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
     "secret": r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9]{20,}+)(?![\p{L}\p{N}])",
     "person": r"(?:" + "|".join(x for t in TITLES for x in dict.fromkeys((t, t.upper()))) + r")\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
 }
 #: Phone numbers with a country or an area in brackets.
 LONG_PHONE = r"\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}(?![0-9])|(?:\+[0-9]{1,3}[^\p{L}\p{N}\n(]{0,6})?\([0-9]{2,4}\)[^\p{L}\p{N}\n]{0,6}[0-9]{3}[-. ][0-9]{4}(?![0-9])"
-#: All of them: nearly every place in a text lies within a word, where one look back decides.
-ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")|(?=[+(])(?:" + LONG_PHONE + ")"
+#: IPv6 addresses: eight groups, or fewer around a double colon, with a long first group and a digit (so no scope of a program); also right behind a word if they begin with a digit.
+IPV6 = r"(?=[0-9A-Fa-f]{1,4}+:)(?:(?<![0-9A-Za-z:])|(?<=[A-Za-z])(?=[0-9]))(?=[A-Fa-f:]*+[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z]|:[0-9A-Fa-f:]|\.[0-9])"
+#: Kinds that also begin right behind a letter, in a script without spaces or in "ip10.20.30.40".
+GLUED = ("ip", "phone", "ssn")
+#: All of them: nearly every place in a text lies within a word, where one look back and one look at the next character decide.
+ANY = (r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + r")|(?=[0-9])(?<=[\p{L}\p{N}])(?<![0-9])(?:" + "|".join(f"(?:{PATTERNS[k]})" for k in GLUED)
+       + ")|(?=[+(])(?:" + LONG_PHONE + ")|" + IPV6)
 #: What a text must have to hold any entity; a key may be all letters.
 MAYBE = r"[@0-9]|AKIA|gh[pousr]_|sk-|(?:" + "|".join(x for t in TITLES for x in dict.fromkeys((t, t.upper()))) + r")\.? \p{Lu}|[a-fA-F]{32}"
 MALE = r"^(?:" + "|".join((*MEN, *map(str.upper, MEN))) + r")[. ]"
@@ -71,7 +76,7 @@ def _script(s: Column) -> Column:
 
 
 def kind_of(mention: Column) -> Column:
-    c = F.when(mention.rlike(f"^(?:{LONG_PHONE})$"), "phone")
+    c = F.when(mention.rlike(f"^(?:{LONG_PHONE})$"), "phone").when(mention.rlike(f"^(?:{IPV6})$"), "ipv6")
     for k, p in PATTERNS.items():
         own = mention.rlike(f"^(?:{p})$")
         c = c.when(own, k)
@@ -116,7 +121,8 @@ def surrogate_core(kind: Column, core: Column, draw: Column, key: str) -> Column
 
     def other(c: Column, i: Column) -> Column:
         """A digit for a digit, a letter of its script for a letter, the rest as it is."""
-        out = F.when(c.between("0", "9"), _number(h, i, 10).cast("string"))
+        out = F.when((kind == "ipv6") & (c != ":"), F.substring(F.lit("0123456789abcdef"), _number(h, i, 16) + 1, F.lit(1)))
+        out = out.when(c.between("0", "9"), _number(h, i, 10).cast("string"))
         out = out.when((kind == "secret") & c.between("a", "f") & ~core.rlike("^(akia|gh|sk-)"), F.substring(F.lit("abcdef"), _number(h, i, 6) + 1, F.lit(1)))
         for s in ("cyrillic", "greek"):
             letters = LETTERS[s]
@@ -153,7 +159,7 @@ def surrogate_core(kind: Column, core: Column, draw: Column, key: str) -> Column
         return out
 
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "secret", secret)
-            .when(kind == "iban", iban).when(kind.isin("phone", "ssn"), numbers).otherwise(name("")))
+            .when(kind == "iban", iban).when(kind.isin("phone", "ssn"), numbers).when(kind == "ipv6", plain).otherwise(name("")))
 
 
 def apply_core(mention: Column, kind: Column, core: Column) -> Column:
