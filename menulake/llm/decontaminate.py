@@ -13,8 +13,10 @@ or a passage of it: ``passage`` windows, by default nine, which thirteen words
 in a row give.
 
 Everything is SQL functions. Words that begin a sentence are no names, so
-prose doesn't turn into placeholders; windows with more slots than plain words
-(three of five) aren't searched for.
+prose doesn't turn into placeholders. Windows with more slots than plain words
+(three of five) say little without the values of their slots: they are hashed
+with these. With other values they count where other windows of the alignment
+found hold all their words.
 """
 
 from __future__ import annotations
@@ -66,7 +68,10 @@ def template(ws: Column, digits: Column) -> Column:
 
 
 def template_windows(df: DataFrame, key: str, text: Column, size: int = WINDOW) -> DataFrame:
-    """``key, pos, hash, vals`` of each window; ``vals`` joins the values of its slots."""
+    """``key, pos, hash, vals`` of each window; ``vals`` joins the values of its slots.
+
+    The hash is that of the template, with the values where most of it are slots.
+    """
     d = df.select(F.col(key), words(text).alias("w"), text.rlike("[0-9]").alias("digits"))
     d = d.select(key, "w", template(F.col("w"), F.col("digits")).alias("t"))
     d = d.select(key, "w", "t", F.exists("t", lambda x: x.startswith("#")).alias("slots"))
@@ -74,15 +79,24 @@ def template_windows(df: DataFrame, key: str, text: Column, size: int = WINDOW)
         at = [x, *[F.get(F.col("t"), i + k) for k in range(1, size)]]
         vals = F.concat_ws(START, *[F.when(a.startswith("#"), F.lower(F.get(F.col("w"), i + k))) for k, a in enumerate(at)])
         # most texts have no slots; the flag stands twice so that the optimizer computes it once a text, not once a window
-        return F.struct(i.alias("pos"), F.xxhash64(*at).alias("hash"), F.when(~F.col("slots"), F.lit("")).when(F.col("slots"), vals).alias("vals"))
+        heavy = F.size(F.filter(F.array(*at), lambda a: a.startswith("#"))) > size // 2
+        exact = F.xxhash64(*at, vals)
+        return F.struct(i.alias("pos"), F.when(F.col("slots") & heavy, exact).otherwise(F.xxhash64(*at)).alias("hash"), F.when(~F.col("slots"), F.lit("")).when(F.col("slots"), vals).alias("vals"))
     d = d.select(key, F.explode(F.slice(F.transform("t", window), F.lit(1), F.greatest(F.size("t") - (size - 1), F.lit(0)))).alias("x"))
     return d.select(key, "x.pos", "x.hash", "x.vals")
 
 
+def covered(found: Column, size: int = WINDOW) -> Column:
+    """``found`` and the windows between them all of whose words lie in windows found: those that begin in a gap of fewer than ``size`` places."""
+    at = F.array_sort(found)
+    between = F.transform(at, lambda p, i: F.when(F.get(at, i + 1) - p <= size, F.sequence(p, F.get(at, i + 1) - 1)).otherwise(F.array(p)))
+    return F.flatten(between)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = WINDOW, share: float = SHARE, passage: int = PASSAGE) -> DataFrame:
     """``doc_id, item_id, n_windows, n_found, n_slots, same_values``: a row for each item that a document holds.
 
-    ``n_found`` of the item's ``n_windows`` searched windows were found,
+    ``n_found`` of the item's ``n_windows`` windows were found,
     with ``n_slots`` different slot values; ``same_values`` is true if none differs.
     Null texts, and texts of fewer than five words, hold nothing and aren't
     searched for; rows with a null id are left out; repeated rows of one id
@@ -91,8 +105,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     items = benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].alias("text")).where("item_id IS NOT NULL")
     iw = template_windows(items, "item_id", text_of(), size)
-    filled = F.when(F.col("vals") == "", F.lit(0)).otherwise(F.size(F.split("vals", START)))
-    iw = iw.where(filled <= size // 2).distinct()
+    iw = iw.distinct()
     total = iw.groupBy("item_id").agg(F.countDistinct("pos").alias("n_windows"))
     iw = iw.select("item_id", F.col("pos").alias("item_pos"), "hash", F.col("vals").alias("item_vals"))
     if iw.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
@@ -106,7 +119,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     lined = hits.select("doc_id", "item_id", "shift", "item_pos", pairs.alias("pairs"))
     lined = lined.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs")
-    lined = lined.where(consistent)
+    lined = lined.where(consistent).withColumn("found", covered(F.col("found"), size))
     held = lined.groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     held = held.join(total, "item_id").select(
         "doc_id", "item_id", "n_windows", F.size("found").cast("long").alias("n_found"), F.size("pairs").cast("long").alias("n_slots"),
