@@ -6,7 +6,8 @@ the windows of documents are joined to those of benchmark items. Where a
 window of an item meets one of a document, their slots pair up; along one
 alignment (the same shift between item and document) every value of the item
 must stand for one value of the document throughout. Alignments that break
-this are no copies with other parameters and are dropped.
+this are no copies with other parameters; of them only the windows without
+slots, which are verbatim, count.
 
 A document holds an item if 0.8 of the item's windows are found in it that way,
 or a passage of it: ``passage`` windows, by default nine, which thirteen words
@@ -116,10 +117,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     # one row an alignment: the positions found and the pairs of slot values
     pairs = F.when(F.col("vals") == "", F.expr("array()").cast("array<struct<item:string,doc:string>>")).otherwise(F.arrays_zip(F.split("item_vals", START).alias("item"), F.split("vals", START).alias("doc")))
-    lined = hits.select("doc_id", "item_id", "shift", "item_pos", pairs.alias("pairs"))
-    lined = lined.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    lined = hits.select("doc_id", "item_id", "shift", "item_pos", "vals", pairs.alias("pairs"))
+    lined = lined.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("found"), F.collect_set(F.when(F.col("vals") == "", F.col("item_pos"))).alias("plain"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs")
-    lined = lined.where(consistent).withColumn("found", covered(F.col("found"), size))
+    lined = lined.withColumn("found", F.when(consistent, covered(F.col("found"), size)).otherwise(F.col("plain")))
+    lined = lined.withColumn("pairs", F.when(consistent, F.col("pairs")).otherwise(F.filter("pairs", lambda p: F.lit(False)))).where(F.size("found") > 0)
     held = lined.groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     held = held.join(total, "item_id").select(
         "doc_id", "item_id", "n_windows", F.size("found").cast("long").alias("n_found"), F.size("pairs").cast("long").alias("n_slots"),

@@ -15,3 +15,11 @@ def test_windows_with_many_slots(spark):
     got = held(spark, docs, items)
     assert set(got) == {(0, 0), (2, 1)} and all(r.n_found == r.n_windows and r.same_values for r in got.values())
     assert got[2, 1].n_windows == 8
+
+
+LONG = "they walk to the market where Otto sells apples and there is a well from which all the people of the old town draw their water every morning before they go on to work, says Otto"
+
+
+def test_one_slot_mistyped_in_a_long_copy(spark):
+    got = held(spark, [LONG.replace("says Otto", "says Klaus"), "so we saw that there is a well from which all"], [LONG])
+    assert set(got) == {(0, 0)} and got[0, 0].n_found < got[0, 0].n_windows
