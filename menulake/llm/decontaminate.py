@@ -11,7 +11,9 @@ slots, which are verbatim, count.
 
 A document holds an item if 0.8 of the item's windows are found in it that way,
 or a passage of it: ``passage`` windows, by default nine, which thirteen words
-in a row give.
+in a row give, on alignments within ``NEAR`` words of each other. Alignments are
+united from the one with the most windows on; of one that gives a value of the
+item another value than those before, again only windows without slots count.
 
 Everything is SQL functions. Words that begin a sentence are no names, so
 prose doesn't turn into placeholders. Windows with more slots than plain words
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from menulake.llm.common import text_of
 
 WINDOW, SHARE, PASSAGE = 5, 0.8, 9
+#: Words that may be put in or left out within a passage.
+NEAR = 8
 #: Item windows up to which the item side is broadcast (about 100 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 200_000
 #: Marks the first word of a sentence.
@@ -119,14 +123,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     pairs = F.when(F.col("vals") == "", F.expr("array()").cast("array<struct<item:string,doc:string>>")).otherwise(F.arrays_zip(F.split("item_vals", START).alias("item"), F.split("vals", START).alias("doc")))
     lined = hits.select("doc_id", "item_id", "shift", "item_pos", "vals", pairs.alias("pairs"))
     lined = lined.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("found"), F.collect_set(F.when(F.col("vals") == "", F.col("item_pos"))).alias("plain"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs")
+    consistent = _one_value(F.col("pairs"))
     lined = lined.withColumn("found", F.when(consistent, covered(F.col("found"), size)).otherwise(F.col("plain")))
     lined = lined.withColumn("pairs", F.when(consistent, F.col("pairs")).otherwise(F.filter("pairs", lambda p: F.lit(False)))).where(F.size("found") > 0)
-    held = lined.groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    # passages: each alignment stands in two groups, so that those within NEAR words meet in one
+    near = lined.withColumn("size", -F.size("found")).select("doc_id", "item_id", F.posexplode(F.array(F.floor(F.col("shift") / NEAR), F.floor(F.col("shift") / NEAR) + 1)).alias("again", "near"), F.struct("size", "shift", "found", "plain", "pairs").alias("one"))
+    near = near.groupBy("doc_id", "item_id", "near").agg(F.collect_list("one").alias("all"), F.collect_list(F.when(F.col("again") == 0, F.col("one"))).alias("own"))
+    near = near.select("doc_id", "item_id", F.size(_united("all")["found"]).alias("n_near"), "own")
+    held = near.groupBy("doc_id", "item_id").agg(F.max("n_near").alias("n_near"), F.flatten(F.collect_list("own")).alias("own"))
+    held = held.select("doc_id", "item_id", "n_near", _united("own").alias("all"))
     held = held.join(total, "item_id").select(
-        "doc_id", "item_id", "n_windows", F.size("found").cast("long").alias("n_found"), F.size("pairs").cast("long").alias("n_slots"),
-        F.forall("pairs", lambda p: p["item"] == p["doc"]).alias("same_values"))
-    return held.where((F.col("n_found") >= F.lit(share) * F.col("n_windows")) | (F.col("n_found") >= passage))
+        "doc_id", "item_id", "n_windows", F.greatest(F.size("all.found"), "n_near").cast("long").alias("n_found"), F.size("all.pairs").cast("long").alias("n_slots"),
+        F.forall("all.pairs", lambda p: p["item"] == p["doc"]).alias("same_values"), "n_near")
+    return held.where((F.col("n_found") >= F.lit(share) * F.col("n_windows")) | (F.col("n_near") >= passage)).drop("n_near")
+
+
+def _one_value(pairs: Column) -> Column:
+    """Whether each value of the item stands for one value of the document."""
+    return F.size(F.array_distinct(F.transform(pairs, lambda p: p["item"]))) == F.size(pairs)
+
+
+def _united(alignments: str) -> Column:
+    """``found, pairs`` of alignments, united from the one with the most windows on as long as the pairs agree."""
+    start = F.expr("named_struct('found', cast(array() AS array<int>), 'pairs', cast(array() AS array<struct<item:string,doc:string>>))")
+
+    def unite(acc: Column, a: Column) -> Column:
+        pairs = F.array_union(acc["pairs"], a["pairs"])
+        return F.when(_one_value(pairs), F.struct(F.array_union(acc["found"], a["found"]).alias("found"), pairs.alias("pairs"))).otherwise(F.struct(F.array_union(acc["found"], a["plain"]).alias("found"), acc["pairs"].alias("pairs")))
+    return F.aggregate(F.array_sort(alignments), start, unite)
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -23,3 +23,16 @@ LONG = "they walk to the market where Otto sells apples and there is a well from
 def test_one_slot_mistyped_in_a_long_copy(spark):
     got = held(spark, [LONG.replace("says Otto", "says Klaus"), "so we saw that there is a well from which all"], [LONG])
     assert set(got) == {(0, 0)} and got[0, 0].n_found < got[0, 0].n_windows
+
+
+def test_passages_are_in_one_place(spark):
+    w = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    stray = " ".join(" ".join(w[k:k + 5]) + " " + "x " * 40 for k in range(50, 0, -5))
+    near = " ".join([*w[:8], "put", "in", *w[8:18]])
+    assert set(held(spark, [stray, near], [" ".join(w)])) == {(1, 0)}
+
+
+def test_slots_agree_over_alignments(spark):
+    parts = ["as Otto came down the hill we all", "were glad that Otto came back home so", "early and told us what Otto saw there"]
+    got = held(spark, [" x ".join(parts), " x ".join(p.replace("Otto", n) for p, n in zip(parts, ("Karl", "Paul", "Hans")))], [" ".join(parts)])
+    assert set(got) == {(0, 0)}
