@@ -4,10 +4,10 @@ A page becomes lines: one for each block element's own text, with mark-up,
 scripts, styles and hidden parts stripped. The lengths of the lines' texts
 (links count against them) are summed over a sliding window; the sum surges
 where the main text begins and dives where it ends, and every line between the
-two points is kept, short ones too. Where the page marks its own regions, the
-points move to them: lines in headers, footers, menus, side bars, forms,
-notices, adverts and comments never count, and a surge inside ``article`` or
-``main`` reaches to that element's ends.
+two points is kept, short ones too; where it surges again, so are those of the
+next run. Lines in headers, footers, menus, side bars, forms, notices, adverts
+and comments are left out before. Where the page marks regions by ``article`` or
+``main``, these are its main text, all of them and whole.
 """
 
 from __future__ import annotations
@@ -34,6 +34,10 @@ ASIDE = frozenset(("nav", "header", "footer", "aside", "form", "menu", "dialog",
 MAIN = frozenset(("article", "main"))
 #: Words in class, id or role that mark such parts.
 NOTICE = re.compile(r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|notices|popup|modal|overlay|newsletter|subscribe|signup|login|nav|navbar|navigation|menu|menubar|breadcrumb|breadcrumbs|toolbar|sidebar|widget|footer|masthead|copyright|legal|share|sharing|social|related|recommended|comment|comments|commentlist|respond|reply|replies|disqus|pagination|pager|search|complementary|contentinfo|skip|hidden|toc|tags)(?=$|[\s_-])", re.I)
+#: Classes that tell what a block has beside its text; they don't make it a notice.
+HAS = re.compile(r"(?<![^\s])(?:[^\s]*[_-])?(?:has|have|with|without|no|hide|show)[_-][^\s]*", re.I)
+#: Comments may be longer than the text that they are about.
+REPLY = re.compile(r"(?:^|[\s_-])(?:comment|comments|commentlist|respond|reply|replies|disqus)(?=$|[\s_-])", re.I)
 BLOCK = frozenset(("address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr", "frame", "keygen"))
 #: An open element of the left kind ends where one of the right kind begins.
@@ -41,22 +45,31 @@ ENDED_BY = {"p": BLOCK | ASIDE, "li": frozenset(("li",)), "dt": frozenset(("dt",
 
 
 class Line:
-    __slots__ = ("aside", "linked", "region", "text")
+    __slots__ = ("aside", "linked", "notices", "region", "text")
 
-    def __init__(self, text: str, linked: int, aside: bool, region: int):
-        self.text, self.linked, self.aside, self.region = text, linked, aside, region
+    def __init__(self, text: str, linked: int, aside: bool, region: int, notices: tuple[int, ...]):
+        self.text, self.linked, self.aside, self.region, self.notices = text, linked, aside, region, notices
 
+    @property
+    def weight(self) -> int:
+        return 0 if self.aside else max(0, len(self.text) - 2 * self.linked)
 
-def lines(page: str) -> list[Line]:
-    """The lines of a page; ``region`` numbers the outermost main element, 0 is outside of any."""
+
+def lines(page: str, surge: int = 80) -> list[Line]:
+    """The lines of a page; ``region`` numbers the outermost main element, 0 is outside of any.
+
+    A class makes no notice of a block that holds most of the page's text; of
+    comments only if the text beside them doesn't reach ``surge``.
+    """
     out: list[Line] = []
-    open_: list[tuple[str, bool, int]] = []  # name, aside, region
+    open_: list[tuple[str, bool, int, tuple[int, ...]]] = []  # name, aside, region, notices by class
+    replies: list[bool] = []  # of each notice
     opened: Counter[str] = Counter()
     text: list[str] = []
     linked, regions, at, n, links = 0, 0, 0, len(page), 0
 
-    def state() -> tuple[bool, int]:
-        return (open_[-1][1], open_[-1][2]) if open_ else (False, 0)
+    def state() -> tuple[bool, int, tuple[int, ...]]:
+        return open_[-1][1:] if open_ else (False, 0, ())
 
     def end_line() -> None:
         nonlocal linked
@@ -76,7 +89,7 @@ def lines(page: str) -> list[Line]:
 
     def close(k: int) -> None:
         nonlocal links
-        for x, _, _ in open_[k:]:
+        for x, *_ in open_[k:]:
             opened[x] -= 1
             links -= x == "a"
         del open_[k:]
@@ -121,43 +134,61 @@ def lines(page: str) -> list[Line]:
                     break
         if name in VOID or m[4].rstrip().endswith("/"):
             continue
-        aside, region = state()
+        aside, region, notices = state()
         if name in MAIN and not aside and not region:
             regions += 1
             region = regions
         if not aside:
-            aside = name in ASIDE and not (name == "header" and region) or name not in ("html", "body") and bool(m[4].strip()) and _noticed(m[4])
-        open_.append((name, aside, region))
+            aside = name in ASIDE and not (name == "header" and region) or name not in ("html", "body") and bool(m[4].strip()) and _hidden(m[4])
+            if not aside and name not in MAIN and name not in ("html", "body") and m[4].strip() and (marks := _notice(m[4])):
+                replies.append(any(map(REPLY.search, marks)))
+                notices = (*notices, len(replies) - 1)
+        open_.append((name, aside, region, notices))
         opened[name] += 1
         links += name == "a"
     end_line()
+    if replies:
+        held, total = [0] * len(replies), 0
+        for x in out:
+            total += x.weight
+            for i in x.notices:
+                held[i] += x.weight
+        void = {i for i, w in enumerate(held) if 2 * w > total and not (replies[i] and total - w >= surge)}
+        for x in out:
+            x.aside = x.aside or not void.issuperset(x.notices)
     return out
 
 
-def _noticed(attrs: str) -> bool:
+def _hidden(attrs: str) -> bool:
     for k, a, b, c in _ATTR.findall(attrs):
         k, v = k.lower(), a or b or c
         if k == "hidden" or k == "aria-hidden" and v.lower() == "true" or k == "style" and re.search(r"display\s*:\s*none", v, re.I):
             return True
-        if k in ("class", "id", "role") and v and NOTICE.search(v):
-            return True
     return False
 
 
+def _notice(attrs: str) -> list[str]:
+    """The class, id and role that mark a notice."""
+    marks = [HAS.sub(" ", a or b or c) for k, a, b, c in _ATTR.findall(attrs) if k.lower() in ("class", "id", "role")]
+    return [v for v in marks if NOTICE.search(v)]
+
+
 def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
-    """The lines between the surge and the dive of the heaviest run of the window sums.
+    """The lines of the marked regions, or else those between the surges and the dives of the window sums.
 
-    ``window`` lines are summed; the run begins where the sum reaches
-    ``surge`` characters and ends where it falls to a line without text. A page
-    that never surges keeps its marked region, or else its heaviest window.
+    ``window`` lines are summed; a run begins where the sum reaches ``surge``
+    characters and ends where it falls to a line without text. Every run is
+    kept; a page that never surges keeps its heaviest window.
     """
-    all_ = lines(page or "")
-    weight = [0 if x.aside else max(0, len(x.text) - 2 * x.linked) for x in all_]
+    own = [x for x in lines(page or "", surge) if not x.aside]
+    if any(x.region for x in own):
+        return "\n".join(x.text for x in own if x.region)
+    weight = [x.weight for x in own]
     if not any(weight):
-        return "\n".join(x.text for x in all_ if x.region and not x.aside)
+        return ""
     sums = [sum(weight[i:i + window]) for i in range(len(weight))]
     # runs of lines whose window holds text, begun by a surge
-    best, k = (-1, 0, 0), 0
+    runs, k = [], 0
     least = min(surge, max(sums))
     while k < len(sums):
         if sums[k] < least or not weight[k]:
@@ -169,20 +200,11 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
         b = k
         while b < len(sums) and sums[b]:
             b += 1
-        if (total := sum(weight[a:b])) > best[0]:
-            best = (total, a, b)
+        runs.append((a, b))
         k = b
-    _, a, b = best
-    regions = {x.region for x in all_[a:b] if x.region and not x.aside}
-    if regions or any(x.region and not x.aside for x in all_):
-        # the page names its main text: of the marked regions those with a surge, whole
-        by = {}
-        for x, w in zip(all_, weight, strict=True):
-            if x.region and not x.aside:
-                by[x.region] = by.get(x.region, 0) + w
-        kept = {r for r, w in by.items() if w >= surge} or {max(by, key=by.get)}
-        return "\n".join(x.text for x in all_ if x.region in kept and not x.aside)
-    return "\n".join(x.text for x in all_[a:b] if not x.aside)
+    if least < surge:
+        runs = [max(runs, key=lambda r: sum(weight[r[0]:r[1]]))]
+    return "\n".join(x.text for a, b in runs for x in own[a:b])
 
 
 def _texts(window: int, surge: int):
