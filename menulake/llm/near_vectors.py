@@ -18,9 +18,11 @@ that is built in overlapping shards:
 5. *Verify.* Pairs of balls that link as a whole, or not at all, are known by
    the triangle inequality; the others are compared vector by vector, in double
    precision.
-6. *Audit.* The links of a sample of vectors are counted by brute force against
-   all vectors. If less than ``recall`` of them were found, the overlap and the
-   beam double and the graph is built again.
+6. *Audit.* The links that a sample of vectors, each of another ball, has outside
+   its ball are counted by brute force against all vectors. If less than
+   ``recall`` of them were found, as the mean over these vectors, the overlap and
+   the beam double and the graph is built again. If the last graph misses the
+   bound too, all pairs of leaders are compared, block by block.
 """
 
 from __future__ import annotations
@@ -328,23 +330,47 @@ def _linked(t: Tables, pairs: DataFrame, members: DataFrame, leaders: DataFrame,
     return edges, links
 
 
-def _audited(units: DataFrame, links: DataFrame, n: int, near: float) -> float:
-    """The share of a sample's links, counted by brute force, that was found."""
-    sample = units.where(F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(1_000_000)) < math.ceil(min(1.0, 2 * AUDIT / n) * 1_000_000))
-    rows = sample.select("id", "unit").orderBy(F.xxhash64(F.lit(13), "id"), "id").limit(AUDIT).collect()
-    ids = np.array([r["id"] for r in rows], np.int64)
+def _audited(members: DataFrame, leaders: DataFrame, outside: DataFrame, n_leaders: int, near: float) -> float:
+    """The mean share of a vector's links outside its ball, counted by brute force for a vector of each sampled ball, that was found."""
+    sample = leaders.where(F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(1_000_000)) < math.ceil(min(1.0, 2 * AUDIT / n_leaders) * 1_000_000))
+    sample = sample.select(F.col("id").alias("leader")).orderBy(F.xxhash64(F.lit(13), "leader"), "leader").limit(AUDIT)
+    one = members.join(F.broadcast(sample), "leader").groupBy("leader").agg(F.min(F.struct(F.xxhash64(F.lit(14), "id"), "id", "unit")).alias("one"))
+    rows = one.select("leader", "one.id", "one.unit").collect()
+    if not rows:
+        return 1.0
+    ids, own = np.array([r["id"] for r in rows], np.int64), np.array([r["leader"] for r in rows], np.int64)
     q = np.stack([np.frombuffer(r["unit"], np.float64) for r in rows])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(ids), np.int64)
         for b in batches:
             for k in range(0, len(b), 2000):
-                total += (q @ _matrix(b["unit"].iloc[k:k + 2000]).T >= near).sum(1)
+                c = b.iloc[k:k + 2000]
+                total += ((q @ _matrix(c["unit"]).T >= near) & (own[:, None] != c["leader"].to_numpy()[None, :])).sum(1)
         yield pd.DataFrame({"id": ids, "n": total})
 
-    true = units.select("unit").mapInPandas(count, "id long, n long").groupBy("id").agg((F.sum("n") - 1).alias("true"))
-    got = true.join(links, "id", "left").agg(F.sum("true").alias("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0)))).alias("found")).first()
-    return 1.0 if not got["true"] else got["found"] / got["true"]
+    true = members.select("leader", "unit").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("true")).where(F.col("true") > 0)
+    found = true.join(outside, "id", "left").agg(F.avg(F.least("true", F.coalesce("links", F.lit(0))) / F.col("true"))).first()[0]
+    return 1.0 if found is None else found
+
+
+def _all_pairs(leaders: DataFrame, n: int, near: float) -> DataFrame:
+    """(a, b) of all leaders within range of each other: every block of leaders against every block."""
+    theta, blocks = math.acos(near), max(1, math.ceil(n / SHARD))
+    block = F.pmod(F.xxhash64(F.lit(15), "id"), F.lit(blocks))
+    d = leaders.select("id", "unit", "radius", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("other"))
+    d = d.select("id", "unit", "radius", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["block"] == pdf["i"]], pdf[pdf["block"] == pdf["j"]]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        limit = np.cos(np.minimum(theta + left["radius"].to_numpy()[:, None] + right["radius"].to_numpy()[None, :] + 1e-9, math.pi))
+        rows, cols = np.nonzero(_matrix(left["unit"]) @ _matrix(right["unit"]).T >= limit)
+        a, b = left["id"].to_numpy()[rows], right["id"].to_numpy()[cols]
+        both = np.sort(np.stack([a, b], 1)[a != b], axis=1)
+        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+    return d.groupBy("i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", near: float = NEAR, overlap: int = 4, beam: int = 16, recall: float = 0.99) -> DataFrame:
@@ -368,18 +394,24 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
     members, leaders, n_leaders = _balls(t, units, n, near)
     members = t.cut(members, "members")
     inside = members.join(leaders.select(F.col("id").alias("leader"), "weight"), "leader").select("id", "leader", (F.col("weight") - 1).alias("inside"))
+    exact = False
     while True:
-        shards = _sharded(t, leaders, n_leaders, overlap)
-        graph = shards.select("shard", "id", "unit").groupBy("shard").applyInPandas(_pruned, "id long, next array<long>")
-        graph = graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next"))
-        searched = shards.join(graph, "id").select("shard", "id", "unit", "radius", "next")
-        pairs = t.cut(searched.groupBy("shard").applyInPandas(_search(near, beam), "a long, b long").distinct(), "pairs")
-        edges, outside = _linked(t, pairs, members, leaders, near)
-        links = t.cut(inside.join(outside, "id", "left").select("id", "leader", (F.col("inside") + F.coalesce("links", F.lit(0))).alias("links")), "links")
-        share = _audited(units, links.select("id", "links"), n, near)
-        if share >= recall or overlap >= CENTRES:
+        if exact:
+            pairs = _all_pairs(leaders, n_leaders, near)
+        else:
+            shards = _sharded(t, leaders, n_leaders, overlap)
+            graph = shards.select("shard", "id", "unit").groupBy("shard").applyInPandas(_pruned, "id long, next array<long>")
+            graph = graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next"))
+            searched = shards.join(graph, "id").select("shard", "id", "unit", "radius", "next")
+            pairs = searched.groupBy("shard").applyInPandas(_search(near, beam), "a long, b long").distinct()
+        edges, outside = _linked(t, t.cut(pairs, "pairs"), members, leaders, near)
+        outside = t.cut(outside, "outside")
+        share = _audited(members, leaders, outside, n_leaders, near)
+        if share >= recall or exact:
             break
+        exact = overlap >= CENTRES
         overlap, beam = 2 * overlap, 2 * beam
+    links = t.cut(inside.join(outside, "id", "left").select("id", "leader", (F.col("inside") + F.coalesce("links", F.lit(0))).alias("links")), "links")
     roots = components(t, edges)
     named = links.join(roots, links["leader"] == roots["node"], "left").select("id", "links", F.coalesce("root", "leader").alias("root"))
     least = t.cut(named.groupBy("root").agg(F.min("id").alias("component_id")), "least")
