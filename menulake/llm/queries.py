@@ -160,3 +160,70 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from menulake.llm.near_vectors import near_vectors
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.top_scores import top_scores
+    return top_scores(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_top_scores"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.n, a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.n <> b.n
+)
+SELECT query_id, (row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5"""
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.filter_audit import filter_audit
+    return filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+    concat(CASE WHEN len(w) < 50 THEN 'A' ELSE '' END,
+           CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END,
+           CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END,
+           CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+           CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM d LEFT JOIN l USING (doc_id)
+), counted AS (
+  SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM failed GROUP BY ALL
+), f(c) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders AS (
+  SELECT concat(a.c, b.c, x.c, y.c, z.c) AS filter_order FROM f a, f b, f x, f y, f z
+  WHERE len(list_distinct([a.c, b.c, x.c, y.c, z.c])) = 5
+), steps AS (
+  SELECT filter_order, step::INTEGER AS step, filter_order[step] AS own, filter_order[1:step - 1] AS before FROM orders, range(1, 6) t(step)
+), met AS (
+  SELECT part, filter_order, step, own, fails, n, good, toxic, contains(fails, own) AS fails_own,
+    len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 AND before <> '' AND fails <> '' AS gone
+  FROM counted, steps
+), report AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT gone AND NOT fails_own THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN NOT gone AND fails_own THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN gone AND fails_own THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN fails = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN NOT gone AND fails_own THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN NOT gone AND fails_own THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM report"""
+
+
+@query
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from menulake.llm.importance_resample import importance_resample
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
