@@ -77,7 +77,7 @@ def _report(docs, labels):
         own = _fails(t)
         if i is not None and any(j is not None and j < i and u == t for j, u, _ in docs):
             own.add("E")
-        rows.append((p, own, any(j == i and q == 1 for j, q, _ in labels), any(j == i and x == 1 for j, _, x in labels)))
+        rows.append((p, own, any(j == i and q == 1 for j, q, _ in labels if j is not None), any(j == i and x == 1 for j, _, x in labels if j is not None)))
     out = {}
     for part in {p for p, *_ in rows}:
         mine = [r for r in rows if r[0] == part]
