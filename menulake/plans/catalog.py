@@ -493,6 +493,33 @@ def q_stream_upsert_orders(spark, sf):
         "_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
 
+def q_merged_orders(spark, sf):
+    """U-01 in buckets: the pre-1996 orders, then the fresh ones, merged into a keyed table; its rows and both counts."""
+    from menulake.sources import lake
+    root = _stream_root(spark).replace("/streams/", "/tables/")
+    base, fresh = upsert_inputs(spark, sf)
+    counts = []
+    for run, rows in (("r1", base), ("r2", fresh)):
+        entry, n = lake.merge(rows, root, "orders", run, "_id", "o_totalprice")
+        lake.commit(spark, root, run, {"orders": entry})
+        counts.append(n)
+    return lake.read_table(spark, root, lake.newest(spark, root, "orders")).withColumns(
+        {"first": F.lit(counts[0]["inserted"]).cast("long")} | {k: F.lit(counts[1][k]).cast("long") for k in ("inserted", "matched", "modified")})
+
+
+def q_layered_orders(spark, sf):
+    """T-02's storage: the fresh orders in five batches, each a layer over the keyed table before it."""
+    from menulake.sources import lake
+    root = _stream_root(spark).replace("/streams/", "/tables/")
+    base, fresh = upsert_inputs(spark, sf)
+    part = F.pmod(F.regexp_extract("_id", "([0-9]+)", 1).try_cast("long"), F.lit(5))
+    for k in range(5):
+        run = f"b{k}"
+        rows = fresh.where(F.coalesce(part, F.lit(0)) == k)
+        lake.commit(spark, root, run, {"orders": lake.append(rows, root, "orders", run, "_id", "o_totalprice", base=base)})
+    return lake.read_table(spark, root, lake.newest(spark, root, "orders"))
+
+
 def q_page_facts(spark, sf):
     """H-01..H-10 over every stored page: the sizes of what each rule found."""
     from menulake.operators.extract import allergens_struct, nutrition_map, parse_pages
@@ -624,4 +651,6 @@ QUERIES: dict[str, Query] = {
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "snapshot_new_column": q_snapshot_new_column,
     "published_variations": q_published_variations,
+    "merged_orders": q_merged_orders,
+    "layered_orders": q_layered_orders,
 }

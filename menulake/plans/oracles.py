@@ -562,3 +562,16 @@ ORACLES["published_variations"] = with_ctes(CTE_VARIATIONS, body=f"""
 SELECT _id, label, calories, protein_g, sugars_g, golden_ratio, ingredients,
   count(*) OVER () AS inserted, count(*) OVER () AS matched, CAST(0 AS BIGINT) AS modified
 FROM l WHERE back = 1""")
+
+ORACLES["layered_orders"] = ORACLES["upsert_orders"]
+
+ORACLES["merged_orders"] = with_ctes(_UPSERT, body="""
+SELECT _id, o_custkey, CASE WHEN in_f THEN f_st ELSE b_st END AS o_orderstatus,
+  CASE WHEN in_f THEN f_tp ELSE b_tp END AS o_totalprice,
+  CASE WHEN in_f THEN f_pr ELSE b_pr END AS o_orderpriority,
+  CAST(count_if(in_b) OVER () AS BIGINT) AS first,
+  CAST(count_if(in_f AND NOT in_b) OVER () AS BIGINT) AS inserted,
+  CAST(count_if(in_f AND in_b) OVER () AS BIGINT) AS matched,
+  CAST(count_if(in_f AND in_b AND (f_st IS DISTINCT FROM b_st OR f_tp IS DISTINCT FROM b_tp
+                                   OR f_pr IS DISTINCT FROM b_pr)) OVER () AS BIGINT) AS modified
+FROM j""")

@@ -2,9 +2,10 @@
 
 Progress lives in the query's ``checkpointLocation`` (on shared storage): a
 restarted stream processes only files it has not committed. ``foreachBatch``
-writes each micro-batch under a folder named by its batch id, with a
-partition overwrite, so replaying a batch after a failure rewrites the same
-folder instead of adding rows twice.
+writes each micro-batch under a folder named by its batch id, so replaying a
+batch after a failure rewrites the same folder instead of adding rows twice.
+Batches of keyed tables are layers over the table before them
+(``sources.lake``): what a batch writes grows with the batch, not with the table.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from menulake.operators.extract import parse_pages
-from menulake.operators.upsert import upsert
-from menulake.sources.io import latest_snapshot, snapshot_before
+from menulake.operators.upsert import last_per_key
+from menulake.sources import lake
+from menulake.sources.io import COLLECTIONS, latest_snapshot
 
 
 def stream_keyed_documents(spark: SparkSession, src: str, root: str, checkpoint: str, run_ts: str,
@@ -25,14 +27,15 @@ def stream_keyed_documents(spark: SparkSession, src: str, root: str, checkpoint:
     """T-01 over saved keyed brand documents (the resume files of an ingest).
 
     Each new JSON file under ``src`` is read once; every micro-batch is
-    normalized (N-01..N-04), merged (J-05) onto the raw snapshot before it and
-    written as the snapshot ``<run_ts>-<batch>``, which sorts behind the run
-    ``run_ts`` and before any later run. A restarted stream skips files it has
-    committed; a replayed batch rewrites its own snapshot.
+    normalized (N-01..N-04) and laid over the raw tables before it: a fresh
+    row replaces the saved one with its id (J-05; of repeated fresh ids the last).
+    The three tables are committed together as the run ``<run_ts>-<batch>``, which
+    sorts behind the run ``run_ts`` and before any later run. A restarted stream
+    skips files it has committed; a replayed batch rewrites its own layer.
     """
     from menulake.operators.normalize import normalize
-    from menulake.operators.joins import merge_resume
-    from menulake.sources.io import COLLECTIONS, keyed_texts_to_flat, write_snapshot
+    from menulake.plans.jobs import ORDER
+    from menulake.sources.io import keyed_texts_to_flat
     reader = spark.readStream.option("wholetext", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -45,10 +48,13 @@ def stream_keyed_documents(spark: SparkSession, src: str, root: str, checkpoint:
         rb, ri, rs = keyed_texts_to_flat(batch)
         n = normalize(rb, ri, rs, run_ts)
         fresh = {"brands": n.brands, "menu_items": n.menu_items.drop("brand_name"), "variations": n.variations}
+        raw, layers = f"{root}/raw", {}
         for c in COLLECTIONS:
-            saved = snapshot_before(spark, f"{root}/raw", c, name)
-            merged = fresh[c] if saved is None else merge_resume(saved, fresh[c], "_id")
-            write_snapshot({c: merged}, f"{root}/raw", name)
+            saved = lake.newest(spark, raw, c, before=name)
+            # a run's plain snapshot begins the keyed table, with one row an id
+            base = None if saved is None or "files" in saved else last_per_key(lake.read_table(spark, raw, saved), "_id", ORDER[c])
+            layers[c] = lake.append(fresh[c], raw, c, name, "_id", ORDER[c], base=base, whole_rows=True)
+        lake.commit(spark, raw, name, layers)
         runs.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write)
@@ -58,10 +64,6 @@ def stream_keyed_documents(spark: SparkSession, src: str, root: str, checkpoint:
     return len(runs)
 
 
-def _snapshot_before_stamp(spark: SparkSession, target: str, stamp: str) -> DataFrame | None:
-    root, coll = target.rstrip("/").rsplit("/", 1)
-    return snapshot_before(spark, root, coll, stamp)
-
 PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("url", T.StringType()),
@@ -108,25 +110,22 @@ def stream_ingest(spark: SparkSession, src: str, target: str, checkpoint: str,
 def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str,
                   key: str, order: str | Sequence[str], base: DataFrame | None = None,
                   prepare: Callable[[DataFrame], DataFrame] | None = None, keep_order: bool = True) -> int:
-    """T-02: upsert each micro-batch onto the newest snapshot before it.
+    """T-02: upsert each micro-batch onto the table before it.
 
     Of a batch's rows with one key the last by ``order`` counts.
 
-    Batch ``n`` reads the snapshot of the last batch before ``n`` (or ``base``
-    for the first) and writes ``target/run_ts=<stamp n>``. A replayed batch
-    reads the same input and rewrites the same folder, so the result is the
-    same as a single run.
+    Batch ``n`` lays its rows over the table of the last batch before ``n`` (or over
+    ``base``, with one row a key, for the first) and commits the run ``<stamp n>``.
+    A replayed batch reads the same input and rewrites the same layer, so the
+    result is the same as a single run.
     """
+    root, coll = target.rstrip("/").rsplit("/", 1)
     runs = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = batch_stamp(batch_id)
         fresh = prepare(batch) if prepare else batch
-        prev = _snapshot_before_stamp(spark, target, stamp)
-        if prev is None:
-            prev = base if base is not None else fresh.limit(0)
-        table = upsert(prev, fresh, key, order, keep_order).table
-        table.write.mode("overwrite").parquet(f"{target}/run_ts={stamp}")
+        lake.commit(spark, root, stamp, {coll: lake.append(fresh, root, coll, stamp, key, order, keep_order, base)})
         runs.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write)
@@ -137,6 +136,6 @@ def stream_upsert(spark: SparkSession, stream: DataFrame, target: str, checkpoin
 
 
 def latest_stream_snapshot(spark: SparkSession, target: str) -> DataFrame:
-    """The newest snapshot that a streaming upsert wrote."""
+    """The table as the newest batch of a streaming upsert left it."""
     root, coll = target.rstrip("/").rsplit("/", 1)
     return latest_snapshot(spark, root, coll).drop("run_ts")
