@@ -74,3 +74,11 @@ def text_of(col: str | Column = "text") -> Column:
 def columns(df: DataFrame, **wanted: str) -> DataFrame:
     """Only the named input columns, renamed: extra columns, also ones whose names clash, are left behind."""
     return df.select(*(df[c].alias(as_) for as_, c in wanted.items()))
+
+
+def free(df: DataFrame, name: str) -> str:
+    """A name for a helper column that no column of ``df`` has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from menulake.llm.common import WORD, Tables, columns, text_of
+from menulake.llm.common import WORD, Tables, columns, free, text_of
 
 BLOCKS, SHARDS = 65_536, 2_048
 #: A prime above any number of blocks: multiples of it step through all blocks of a shard once.
@@ -172,16 +172,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = F.pmod(F.col("quota"), F.col("all"))
     d = d.where(size > 0).join(q, ["rank", "shard"]).withColumn("whole", F.floor(F.col("quota") / F.col("all")) + F.when(end <= rest, 1).otherwise(0))
     d = d.withColumn("part", F.when((F.col("quota") < size) & (end == size), F.col("quota")).otherwise(0))
-    taken = d.where("whole + part > 0").select(F.col("doc_id").alias("_id"), size.alias("_size"), F.col("whole").alias("_whole"), F.col("part").alias("_part"))
-    taken = taken.groupBy("_id", "_size").agg(F.max("_whole").alias("_whole"), F.max("_part").alias("_part"))
+    i, n, whole, part, copy = (free(docs, x) for x in ("mix_id", "mix_size", "mix_whole", "mix_part", "mix_copy"))
+    taken = d.where("whole + part > 0").groupBy(F.col("doc_id").alias(i), size.alias(n)).agg(F.max("whole").alias(whole), F.max("part").alias(part))
 
-    d = docs.join(taken, docs[id_col].eqNullSafe(taken["_id"]))
-    d = d.where(F.regexp_count(text_of(text_col), F.lit(WORD)) == F.col("_size"))
-    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1).cast("long"), F.col("_whole")))))
+    d = docs.join(taken, docs[id_col].eqNullSafe(taken[i]))
+    d = d.where(F.regexp_count(text_of(text_col), F.lit(WORD)) == F.col(n))
+    d = d.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1).cast("long"), F.col(whole)))))
     pieces = F.split(F.col(text_col), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # a word each, with the white space before it
-    begin = F.pmod(F.xxhash64(F.lit(seed + 3), "_id"), F.col("_size") - F.col("_part") + 1) + 1
-    part = F.array_join(F.slice(pieces, begin.cast("int"), F.col("_part").cast("int")), "")
-    d = d.withColumn(text_col, F.when(F.col("_whole") > 0, F.col(text_col)).otherwise(part))
+    begin = F.pmod(F.xxhash64(F.lit(seed + 3), i), F.col(n) - F.col(part) + 1) + 1
+    cut = F.array_join(F.slice(pieces, begin.cast("int"), F.col(part).cast("int")), "")
+    d = d.withColumn(text_col, F.when(F.col(whole) > 0, F.col(text_col)).otherwise(cut))
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return d.select(*docs.columns)

@@ -23,11 +23,14 @@ group's smallest text, the hub h. If a text x of the group isn't near h, it may
 another text y of the group. As h is no larger than y, such a pair shares
 windows that h lacks: |x & y| <= min(|x & h|, |y & h|) + |x-h & y-h|, so at
 least 4/9 (|x| + |h|) - |x & h| of them. By the prefix principle x and y then
-share one of the first |x-h| - needed + 1 windows, in hash order, that each has
-beyond h. These windows (and the size class, as sizes differ by a fifth at most)
-make the groups of the next round. So no link between texts that share a band
-is lost, no large group is expanded into pairs, and a round's work is one
-comparison for each text of a group.
+share one of the first |x-h| - needed + 1 windows, in any fixed order, that each
+has beyond h. The order puts the windows that are frequent in the large groups
+last: what many texts share (a licence, a menu) gathers no texts again, and most
+first windows belong to one text, so the groups of a round are small. These
+windows (and the size class, as sizes differ by a fifth at most) make the groups
+of the next round. So no link between texts that share a band is lost, no large
+group is expanded into pairs, and a round's work is one comparison for each text
+of a group. The list of frequent windows has a bound; it changes the work only.
 """
 
 from __future__ import annotations
@@ -39,17 +42,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from menulake.llm.common import Tables, text_of
+from menulake.llm.common import Tables, free, text_of
 from menulake.llm.components import components
 
 WINDOW, NEAR = 5, 0.8
 BANDS, ROWS = 28, 5
 #: Groups up to this many texts are resolved in one task; larger ones go by rounds.
 GROUP = 128
+#: So many windows at most are put last for being frequent in the large groups.
+FREQUENT = 65_536
+#: Texts and characters to a step of signing.
+STEP, CHARS = 1_000, 4_000_000
 _WORD = re.compile(r"\w+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,11 +132,22 @@ def signatures(doc: np.ndarray, h: np.ndarray, count: np.ndarray, n_docs: int, p
     return least
 
 
+def _steps(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose third column's texts are few and, but for a single text, not long together."""
+    begin = chars = 0
+    for k, n in enumerate(pc.utf8_length(b.column(2)).to_pylist()):
+        if k > begin and (k - begin >= STEP or chars + n > CHARS):
+            yield b.slice(begin, k - begin)
+            begin, chars = k, 0
+        chars += n
+    if begin < b.num_rows:
+        yield b.slice(begin)
+
+
 def _sign(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                c = b.slice(k, 1000)
+            for c in _steps(b):
                 doc, h, count = windows(c.column(2).to_pylist())
                 s = signatures(doc, h, count, c.num_rows, bands * rows).view(np.uint64).reshape(-1, bands, rows)
                 key = np.zeros(s.shape[:2], np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
@@ -144,33 +163,74 @@ def _needed(x: float, y: float, near: float) -> float:
     return near / (1 + near) * (x + y)
 
 
-def compare(tx: str, th: str, near: float = NEAR) -> tuple[bool, np.ndarray]:
-    """Whether two texts are near copies, and x's windows beyond h that a partner of x must share one of."""
-    doc, w, n = windows([tx, th])
-    x, h = doc == 0, doc == 1
-    wx, nx, wh, nh = w[x], n[x], w[h], n[h]
+Counted = tuple[np.ndarray, np.ndarray]
+
+
+def counted(text: str) -> Counted:
+    """The distinct windows of a text in order of their hashes, and their counts."""
+    _, w, n = windows([text])
+    return w, n
+
+
+def compare(tx: str, th: str, near: float = NEAR, frequent: Counted | None = None) -> tuple[bool, np.ndarray]:
+    """``beyond`` of two texts."""
+    return beyond(counted(tx), counted(th), near, frequent)
+
+
+def beyond(x: Counted, h: Counted, near: float = NEAR, frequent: Counted | None = None) -> tuple[bool, np.ndarray]:
+    """Whether two texts are near copies, and x's windows beyond h that a partner of x must share one of.
+
+    ``frequent`` windows (in order of their hashes, with their frequencies) come last.
+    """
+    (wx, nx), (wh, nh) = x, h
     _, i, j = np.intersect1d(wx, wh, assume_unique=True, return_indices=True)
     common = np.minimum(nx[i], nh[j])
     both = int(common.sum())
     size, hub = int(nx.sum()), int(nh.sum())
     linked = both >= near * (size + hub - both) - 1e-9
-    beyond = nx.copy()
-    beyond[i] -= common
+    rest = nx.copy()
+    rest[i] -= common
     need = max(1, math.ceil(_needed(size, hub, near) - both - 1e-9))
-    at = np.flatnonzero(beyond)
+    at = np.flatnonzero(rest)
+    if frequent is not None and len(frequent[0]):
+        place = np.minimum(np.searchsorted(frequent[0], wx[at]), len(frequent[0]) - 1)
+        at = at[np.lexsort((wx[at], np.where(frequent[0][place] == wx[at], frequent[1][place], 0)))]
     # the prefix counts repeats: it ends once the windows left are fewer than those needed
-    left = beyond[at].sum() - (np.cumsum(beyond[at]) - beyond[at])
+    left = rest[at].sum() - (np.cumsum(rest[at]) - rest[at])
     return linked, wx[at[left >= need]]
 
 
-def _compare(near: float):
+def _compare(near: float, frequent: Counted):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hub, h = None, None
         for b in batches:
-            got = [compare(x, h, near) for x, h in zip(b["text"], b["hub_text"], strict=True)]
+            got = []
+            for x, name, th in zip(b["text"], b["hub"], b["hub_text"], strict=True):
+                if name != hub:  # rows come by hub
+                    hub, h = name, counted(th)
+                got.append(beyond(counted(x), h, near, frequent))
             yield pd.DataFrame({"node": b["node"], "size": b["size"], "hub": b["hub"], "linked": [g[0] for g in got], "beyond": [g[1].astype(np.int64) for g in got]})
     return run
 
 
+def _window_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each step hold a window."""
+    for b in batches:
+        for c in _steps(b):
+            _, h, _ = windows(c.column(2).to_pylist())
+            w, n = np.unique(h, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(w.astype(np.int64)), pa.array(n, pa.int64())], ["window", "n"])
+
+
+def frequent_windows(texts: DataFrame) -> Counted:
+    """The most frequent windows of ``texts`` (node, size, text), by hash, and their frequencies: ``FREQUENT`` at most."""
+    n = texts.select("node", "size", "text").mapInArrow(_window_counts, "window long, n long").groupBy("window").agg(F.sum("n").alias("n"))
+    rows = n.orderBy(F.col("n").desc(), "window").limit(FREQUENT).toPandas()
+    w = rows["window"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(w)
+    return w[order], rows["n"].to_numpy(np.int64)[order]
+
+
 def _resolve(near: float):
     """Links that hold a group's components together, found over all windows of its texts."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -223,28 +283,31 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # small groups in one task each, large ones against their smallest text
     members = sizes.select("key", "node", "size")
-    edges, by_band = None, False
+    edges, frequent = None, None
     while True:
-        counted = t.cut(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counted")
-        members = t.cut(members.join(counted, "key"), "members")
+        many = t.cut(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counted")
+        members = t.cut(members.join(many, "key"), "members")
         # many small groups of a round have the same texts; each is resolved once
         sets = members.where(F.col("n") <= GROUP).groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("nodes")).select("nodes").distinct()
         small = sets.select(F.xxhash64("nodes").alias("key"), F.explode("nodes").alias("node")).join(text, "node")
         found = small.groupBy("key").applyInPandas(_resolve(near), "a binary, b binary")
-        edges = t.cut(found if edges is None else edges.union(found), "links")
+        was, edges = edges, t.cut(found if edges is None else edges.union(found), "links")
+        t.drop(was, many)
         large = members.where(F.col("n") > GROUP)
         if not large.limit(1).count():
             break
-        if not by_band:
-            by_band = True
+        if frequent is None:
+            wide = large.select("node", "size").distinct()
+            frequent = frequent_windows(wide.join(text, "node"))
             members = t.cut(band.join(large.select("node", "size").distinct(), "node").select("key", "node", "size"), "bands")
             continue
         hubs = t.cut(large.groupBy("key").agg(F.min(F.struct("size", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub")), "hubs")
         pairs = large.join(hubs, "key").where("node != hub").select("node", "size", "hub").distinct()
         pairs = pairs.join(text, "node").join(text.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub")
         pairs = pairs.select("node", "size", "hub", "text", "hub_text")
-        done = t.cut(pairs.mapInPandas(_compare(near), "node binary, size long, hub binary, linked boolean, beyond array<long>"), "compared")
-        edges = t.cut(edges.union(done.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "links")
+        done = t.cut(pairs.sortWithinPartitions("hub").mapInPandas(_compare(near, frequent), "node binary, size long, hub binary, linked boolean, beyond array<long>"), "compared")
+        was, edges = edges, t.cut(edges.union(done.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "links")
+        t.drop(was, members)
         # the next round's groups: texts with a window in common that the hub lacks, of like sizes, not all of them near the hub
         step = F.floor(F.log("size") / F.log(F.lit(1 / near)))
         keyed = done.select("hub", "node", "size", "linked", F.explode("beyond").alias("window"))
@@ -252,6 +315,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         keyed = keyed.select(F.xxhash64("hub", "window", "class").alias("key"), "node", "size", "linked")
         open_ = t.cut(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("linked").alias("all_linked")).where("n > 1 AND NOT all_linked").select("key"), "open")
         members = t.cut(keyed.join(open_, "key").select("key", "node", "size").distinct(), "members")
+        t.drop(hubs, done, open_)
     roots = components(t, edges)
 
     # a class is named by the least id of its texts
@@ -270,8 +334,9 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def key(id_: Column, md5: Column) -> Column:
         return F.concat(F.coalesce(id_.cast("string"), F.lit("null")), F.lit(" "), md5)
 
+    name = free(docs, "key")
     kept = near_copies(docs, id_col, text_col, **options).where("kept")
-    kept = kept.select(key(F.col("doc_id"), F.lower(F.hex("node"))).alias("_key")).distinct()
+    kept = kept.select(key(F.col("doc_id"), F.lower(F.hex("node"))).alias(name)).distinct()
     # joined and made distinct by one key, so the texts are shuffled once
-    d = docs.withColumn("_key", key(docs[id_col], F.md5(text_of(docs[text_col])))).join(kept, "_key")
-    return d.dropDuplicates(["_key"]).select(*docs.columns)
+    d = docs.withColumn(name, key(docs[id_col], F.md5(text_of(docs[text_col])))).join(kept, name)
+    return d.dropDuplicates([name]).select(*docs.columns)

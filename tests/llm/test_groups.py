@@ -181,3 +181,44 @@ def test_empty_vectors(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert result(nv.near_vectors(df)) == {1: (0, 1), 2: (0, 2)}
     assert nv.near_vectors(df.limit(0)).count() == 0
+
+
+def test_large_groups_end_in_few_rounds(spark, monkeypatch):
+    """Texts chained by a common licence: the rounds end, and the classes are those of all pairs."""
+    import random
+    from menulake.llm import near_copies as module
+    monkeypatch.setattr(module, "GROUP", 8)
+    r = random.Random(11)
+    licence = [f"lic{k}" for k in range(90)]
+    texts = []
+    for k in range(40):
+        own = [f"w{r.randrange(10 ** 6)}" for _ in range(60 + k % 7)]
+        texts.append(own + licence)
+        if k % 3 == 0:
+            texts.append([*own[:-2], "x", *licence])
+    for k in range(30):  # near copies of one text
+        copy = list(texts[0])
+        copy[r.randrange(len(copy))] = f"edit{k}"
+        texts.append(copy)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    seen = []
+    monkeypatch.setattr(module.Tables, "cut", lambda self, df, label, cut=module.Tables.cut: (seen.append(label), cut(self, df, label))[1])
+    got = {x.doc_id: x.class_id for x in near_copies(spark.createDataFrame(rows, "doc_id long, text string"), bands=40, rows=2).collect()}
+    bags = [bag(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if root[i] != root[j] and jaccard(bags[i], bags[j]) >= 0.8:
+                a, b = max(root[i], root[j]), min(root[i], root[j])
+                root = [b if x == a else x for x in root]
+    assert [got[i] for i in range(len(rows))] == root
+    assert 1 <= seen.count("compared") <= 8
+
+
+def test_helper_columns_never_clash(spark):
+    from menulake.llm.mix import mixed_documents
+    docs = spark.createDataFrame([(1, "a b c d e f", "s", 7, 8, 9), (2, "a b c d e f", "s", 7, 8, 9)],
+                                 "doc_id long, text string, source string, _key int, key int, _id int")
+    assert [tuple(r) for r in without_near_copies(docs).collect()] == [(1, "a b c d e f", "s", 7, 8, 9)]
+    wide = docs.selectExpr("*", "1 AS mix_id", "2 AS MIX_SIZE", "3 AS mix_whole", "4 AS _size", "5 AS mix_part", "6 AS mix_copy")
+    assert mixed_documents(wide).columns == wide.columns and mixed_documents(wide).count() > 0
