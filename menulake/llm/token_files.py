@@ -74,12 +74,17 @@ class _Words(dict):
         return len(self.sizes) - 1
 
     def __missing__(self, word: str) -> int:
-        if _PLAIN.match(word) and "<|" not in word:
+        if word.isascii() and word.isalpha():  # one part, of letters that stand for themselves
+            p = word.lower()
+            ids = self.parts.get(p)
+            if ids is None:
+                ids = self.parts[p] = [t.id for t in self.part(p)]
+        elif _PLAIN.match(word) and "<|" not in word:
             ids = []
             for p in _PARTS.findall(word.lower()):
                 got = self.parts.get(p)
                 if got is None:
-                    got = self.parts[p] = [t.id for t in self.part("".join([self.bytes[b] for b in p.encode()]))]
+                    got = self.parts[p] = [t.id for t in self.part(p if p.isascii() else "".join([self.bytes[b] for b in p.encode()]))]
                 ids += got
         else:
             ids = self.whole.encode(word, add_special_tokens=False).ids
