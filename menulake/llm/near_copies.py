@@ -16,7 +16,7 @@ process ends once it is later than all components of its text.
 *Candidates.* Bands of ``rows`` components; texts that share a band are
 candidates, and the components of that relation the groups to look into.
 
-*Verifying.* A group of up to 128 texts is resolved in one task, over all
+*Verifying.* A group whose texts fit into a task is resolved there, over all
 windows. A larger one, which chance may have chained together, is looked at band
 by band. Where the texts of one band are still more, every text is compared with the
 group's smallest text, the hub h. If a text x of the group isn't near h, it may still be near
@@ -52,8 +52,8 @@ from menulake.llm.components import components
 
 WINDOW, NEAR = 5, 0.8
 BANDS, ROWS = 28, 5
-#: Groups up to this many texts are resolved in one task; larger ones go by rounds.
-GROUP = 128
+#: Groups up to so many texts, of so many windows together, are resolved in one task; larger ones go by rounds.
+GROUP, ROOM = 1_024, 1_000_000
 #: So many windows at most are put last for being frequent in the large groups.
 FREQUENT = 65_536
 #: Texts and characters to a step of signing.
@@ -231,25 +231,54 @@ def frequent_windows(texts: DataFrame) -> Counted:
     return w[order], rows["n"].to_numpy(np.int64)[order]
 
 
-def _resolve(near: float):
-    """Links that hold a group's components together, found over all windows of its texts."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        doc, w, n = windows(pdf["text"].tolist())
-        at = np.searchsorted(doc, np.arange(len(pdf) + 1))
-        w, n = ([x[a:b] for a, b in zip(at, at[1:])] for x in (w, n))
-        size = [int(x.sum()) for x in n]
-        root, out = list(range(len(pdf))), []
-        for i in range(len(pdf)):
-            for j in range(i):
-                if root[i] == root[j] or min(size[i], size[j]) < near * max(size[i], size[j]) - 1e-9:
+def resolve(texts: list[str], near: float = NEAR) -> list[tuple[int, int]]:
+    """Links that hold the components of a group together, found over all windows of its texts.
+
+    A pair of near copies shares one of the windows that each has first in order
+    of their frequency in the group (the prefix principle), so only texts that
+    meet there are compared, and only while they aren't connected yet.
+    """
+    parts = [windows(texts[k:k + STEP]) for k in range(0, len(texts), STEP)]
+    doc = np.concatenate([np.zeros(0, np.int64), *(p[0] + k * STEP for k, p in enumerate(parts))])
+    w, n = (np.concatenate([np.zeros(0, t), *(p[c] for p in parts)]) for c, t in ((1, np.uint64), (2, np.int64)))
+    at = np.searchsorted(doc, np.arange(len(texts) + 1))
+    size = np.bincount(doc, n, len(texts)).astype(np.int64)
+    _, name, held = np.unique(w, return_inverse=True, return_counts=True)
+    order = np.lexsort((name, held[name], doc))  # rare ones first
+    count = n[order]
+    upto = np.cumsum(count)
+    # windows of its text from each one on, itself included
+    left = np.repeat(upto[at[1:] - 1] if len(upto) else upto, np.diff(at)) - upto + count if len(order) else upto
+    first = order[left >= np.ceil(near * size[doc[order]] - 1e-9)]
+    first = first[held[name[first]] > 1]
+    first = first[np.lexsort((doc[first], name[first]))]
+    root, out, compared = list(range(len(texts))), [], set()
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for own in np.split(doc[first], np.flatnonzero(np.diff(name[first])) + 1):
+        own = own.tolist()
+        for k, i in enumerate(own):
+            for j in own[:k]:
+                if min(size[i], size[j]) < near * max(size[i], size[j]) - 1e-9 or (i, j) in compared or top(i) == top(j):
                     continue
-                _, a, b = np.intersect1d(w[i], w[j], assume_unique=True, return_indices=True)
-                both = int(np.minimum(n[i][a], n[j][b]).sum())
+                compared.add((i, j))
+                x, y = slice(at[i], at[i + 1]), slice(at[j], at[j + 1])
+                _, a, b = np.intersect1d(w[x], w[y], assume_unique=True, return_indices=True)
+                both = int(np.minimum(n[x][a], n[y][b]).sum())
                 if both >= near * (size[i] + size[j] - both) - 1e-9:
-                    old, new = root[i], root[j]
-                    root = [new if r == old else r for r in root]
-                    out.append((pdf["node"].iloc[i], pdf["node"].iloc[j]))
-        return pd.DataFrame(out, columns=["a", "b"])
+                    root[top(i)] = top(j)
+                    out.append((i, j))
+    return out
+
+
+def _resolve(near: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        node = pdf["node"].tolist()
+        return pd.DataFrame([(node[i], node[j]) for i, j in resolve(pdf["text"].tolist(), near)], columns=["a", "b"])
     return run
 
 
@@ -285,15 +314,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = sizes.select("key", "node", "size")
     edges, frequent = None, None
     while True:
-        many = t.cut(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counted")
+        many = t.cut(members.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("room")).where("n > 1").select("key", ((F.col("n") <= GROUP) & (F.col("room") <= ROOM)).alias("fits")), "counted")
         members = t.cut(members.join(many, "key"), "members")
         # many small groups of a round have the same texts; each is resolved once
-        sets = members.where(F.col("n") <= GROUP).groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("nodes")).select("nodes").distinct()
+        sets = members.where("fits").groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("nodes")).select("nodes").distinct()
         small = sets.select(F.xxhash64("nodes").alias("key"), F.explode("nodes").alias("node")).join(text, "node")
         found = small.groupBy("key").applyInPandas(_resolve(near), "a binary, b binary")
         was, edges = edges, t.cut(found if edges is None else edges.union(found), "links")
         t.drop(was, many)
-        large = members.where(F.col("n") > GROUP)
+        large = members.where("NOT fits")
         if not large.limit(1).count():
             break
         if frequent is None:

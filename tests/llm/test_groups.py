@@ -222,3 +222,26 @@ def test_helper_columns_never_clash(spark):
     assert [tuple(r) for r in without_near_copies(docs).collect()] == [(1, "a b c d e f", "s", 7, 8, 9)]
     wide = docs.selectExpr("*", "1 AS mix_id", "2 AS MIX_SIZE", "3 AS mix_whole", "4 AS _size", "5 AS mix_part", "6 AS mix_copy")
     assert mixed_documents(wide).columns == wide.columns and mixed_documents(wide).count() > 0
+
+
+def test_a_group_is_resolved_as_by_all_pairs():
+    import random
+    from menulake.llm.near_copies import resolve
+    r = random.Random(2)
+    for _ in range(40):
+        base = [[f"w{r.randrange(12)}" for _ in range(r.randrange(0, 40))] for _ in range(4)]
+        texts = []
+        for _ in range(25):
+            t = list(r.choice(base)) * r.choice((1, 1, 2))
+            for _ in range(r.randrange(3)):
+                if t:
+                    t[r.randrange(len(t))] = f"w{r.randrange(12)}"
+            texts.append(" ".join(t))
+        bags = [bag(t) for t in texts]
+        want, got = list(range(len(texts))), list(range(len(texts)))
+        for root, links in ((want, [(i, j) for i in range(len(texts)) for j in range(i) if bags[i] and bags[j] and jaccard(bags[i], bags[j]) >= 0.8]), (got, resolve(texts))):
+            for i, j in links:
+                a, b = root[i], root[j]
+                root[:] = [min(a, b) if x in (a, b) else x for x in root]
+        assert got == want
+    assert resolve([]) == [] and resolve(["", "a"]) == []
