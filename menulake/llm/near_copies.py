@@ -234,44 +234,33 @@ def frequent_windows(texts: DataFrame) -> Counted:
 def resolve(texts: list[str], near: float = NEAR) -> list[tuple[int, int]]:
     """Links that hold the components of a group together, found over all windows of its texts.
 
-    A pair of near copies shares one of the windows that each has first in order
-    of their frequency in the group (the prefix principle), so only texts that
-    meet there are compared, and only while they aren't connected yet.
+    The group's windows are listed with the texts that hold them; a text's lists,
+    summed up, give what it has in common with each other text.
     """
     parts = [windows(texts[k:k + STEP]) for k in range(0, len(texts), STEP)]
     doc = np.concatenate([np.zeros(0, np.int64), *(p[0] + k * STEP for k, p in enumerate(parts))])
     w, n = (np.concatenate([np.zeros(0, t), *(p[c] for p in parts)]) for c, t in ((1, np.uint64), (2, np.int64)))
     at = np.searchsorted(doc, np.arange(len(texts) + 1))
-    size = np.bincount(doc, n, len(texts)).astype(np.int64)
+    size = np.bincount(doc, n, len(texts))
     _, name, held = np.unique(w, return_inverse=True, return_counts=True)
-    order = np.lexsort((name, held[name], doc))  # rare ones first
-    count = n[order]
-    upto = np.cumsum(count)
-    # windows of its text from each one on, itself included
-    left = np.repeat(upto[at[1:] - 1] if len(upto) else upto, np.diff(at)) - upto + count if len(order) else upto
-    first = order[left >= np.ceil(near * size[doc[order]] - 1e-9)]
-    first = first[held[name[first]] > 1]
-    first = first[np.lexsort((doc[first], name[first]))]
-    root, out, compared = list(range(len(texts))), [], set()
+    by = np.argsort(name, kind="stable")
+    listed, counts, begin = doc[by], n[by], np.cumsum(held) - held
+    root, out = list(range(len(texts))), []
 
     def top(i: int) -> int:
         while root[i] != i:
             root[i] = i = root[root[i]]
         return i
 
-    for own in np.split(doc[first], np.flatnonzero(np.diff(name[first])) + 1):
-        own = own.tolist()
-        for k, i in enumerate(own):
-            for j in own[:k]:
-                if min(size[i], size[j]) < near * max(size[i], size[j]) - 1e-9 or (i, j) in compared or top(i) == top(j):
-                    continue
-                compared.add((i, j))
-                x, y = slice(at[i], at[i + 1]), slice(at[j], at[j + 1])
-                _, a, b = np.intersect1d(w[x], w[y], assume_unique=True, return_indices=True)
-                both = int(np.minimum(n[x][a], n[y][b]).sum())
-                if both >= near * (size[i] + size[j] - both) - 1e-9:
-                    root[top(i)] = top(j)
-                    out.append((i, j))
+    for i in range(len(texts)):
+        own = name[at[i]:at[i + 1]]
+        many = held[own]
+        places = np.repeat(begin[own] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        common = np.bincount(listed[places], np.minimum(counts[places], np.repeat(n[at[i]:at[i + 1]], many)), len(texts))[:i]
+        for j in np.flatnonzero((common > 0) & (common >= near * (size[i] + size[:i] - common) - 1e-9)).tolist():
+            if top(i) != top(j):
+                root[top(i)] = top(j)
+                out.append((i, j))
     return out
 
 
