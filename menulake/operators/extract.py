@@ -11,6 +11,7 @@ costly text leaves the plan right after the scan.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
@@ -63,239 +64,239 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _RAW_TEXT = {"script", "style"}
 
 
-# -- a small DOM over html.parser ------------------------------------------
+#: Elements of a tag that may be open at once; a further one ends the innermost. Links and
+#: paragraphs don't nest in HTML at all, so only pages of unclosed tags reach this.
+_MOST_OPEN = {"a": 16, "p": 16}
+_MOST_OPEN_ELSE = 128
+_NO_CLASSES: frozenset[str] = frozenset()
+
+
+# -- the page as intervals --------------------------------------------------
 
 class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
-
-    @property
-    def classes(self):
-        return set((self.attrs.get("class") or "").split())
-
-    def walk(self):
-        # a stack, not recursion: pages with thousands of unclosed tags are deep
-        todo = [c for c in reversed(self.children) if isinstance(c, _Node)]
-        while todo:
-            n = todo.pop()
-            yield n
-            todo.extend(c for c in reversed(n.children) if isinstance(c, _Node))
-
-    def find(self, pred):
-        return next((n for n in self.walk() if pred(n)), None)
-
-    def find_all(self, pred):
-        return [n for n in self.walk() if pred(n)]
-
-    def strings(self):
-        todo = list(reversed(self.children))
-        while todo:
-            c = todo.pop()
-            if not isinstance(c, _Node):
-                yield c
-            elif c.tag not in _RAW_TEXT:
-                todo.extend(reversed(c.children))
-
-    def text(self, sep: str = "", strip: bool = True) -> str:
-        parts = (s.strip() for s in self.strings()) if strip else self.strings()
-        return sep.join(p for p in parts if p) if strip else sep.join(parts)
-
-    def own_text(self):
-        """First direct text child (whitespace-only strings count)."""
-        return next((c for c in self.children if isinstance(c, str)), None)
-
-    def has_ancestor(self, pred, stop=None):
-        n = self.parent
-        while n is not None and n is not stop:
-            if pred(n):
-                return True
-            n = n.parent
-        return False
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
+    """An element: its descendants are the nodes from ``at + 1`` to before ``end``, its text the pieces from ``t0`` to before ``t1``."""
+    __slots__ = ("tag", "attrs", "classes", "at", "end", "t0", "t1", "own")
+
+    def __init__(self, tag, attrs, at, t0):
+        self.tag, self.attrs, self.at, self.t0 = tag, attrs, at, t0
+        self.end, self.t1, self.own = at + 1, t0, None
+        self.classes = frozenset(attrs["class"].split()) if attrs.get("class") else _NO_CLASSES
+
+
+class _Page(HTMLParser):
+    """One pass over the html: all elements in order of their start tags, all stripped pieces of text in order.
+
+    "Is inside" is a test of intervals and an element's text a slice, so the work
+    and the memory grow with the page, however deep its tags nest.
+    """
+
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", {}, None)
-        self.cur = self.root
+        self.nodes: list[_Node] = []
+        self.pieces: list[str] = []
+        self._open: list[_Node] = []
+        self._count: dict[str, int] = {}
+        self.feed(html or "")
+        self.close()
+        while self._open:
+            self._pop()
+
+    def _pop(self) -> _Node:
+        n = self._open.pop()
+        self._count[n.tag] -= 1
+        n.end, n.t1 = len(self.nodes), len(self.pieces)
+        return n
 
     def handle_starttag(self, tag, attrs):
-        n = _Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
-        self.cur.children.append(n)
+        if self._count.get(tag, 0) >= _MOST_OPEN.get(tag, _MOST_OPEN_ELSE):
+            self.handle_endtag(tag)
+        self.handle_startendtag(tag, attrs)
         if tag not in _VOID:
-            self.cur = n
+            self._open.append(self.nodes[-1])
+            self._count[tag] = self._count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(_Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur))
+        n = _Node(tag, {k: (v if v is not None else "") for k, v in attrs}, len(self.nodes), len(self.pieces))
+        self.nodes.append(n)
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not self.root and n.tag != tag:
-            n = n.parent
-        if n is not self.root:
-            self.cur = n.parent
+        if self._count.get(tag):
+            while self._pop().tag != tag:
+                pass
 
     def handle_data(self, data):
-        self.cur.children.append(data)
+        if self._open:
+            n = self._open[-1]
+            if n.own is None:
+                n.own = data
+            if n.tag in _RAW_TEXT:
+                return
+        piece = data.strip()
+        if piece:
+            self.pieces.append(piece)
 
+    def all(self, pred) -> list[_Node]:
+        return [n for n in self.nodes if pred(n)]
 
-def _dom(html: str) -> _Node:
-    b = _Builder()
-    b.feed(html or "")
-    b.close()
-    return b.root
+    def first(self, pred) -> _Node | None:
+        return next((n for n in self.nodes if pred(n)), None)
 
+    def text(self, n: _Node, sep: str = "") -> str:
+        return sep.join(self.pieces[n.t0:n.t1])
 
-def _is(tag=None, cls=None, attr=None):
-    def pred(n):
-        if tag and n.tag != tag:
-            return False
-        if cls and not set(cls) <= n.classes:
-            return False
-        if attr and attr not in n.attrs:
-            return False
-        return True
-    return pred
+    def under(self, nodes: list[_Node], pred) -> list[_Node]:
+        """Those of ``nodes`` (in order) that have an ancestor for which ``pred`` holds."""
+        out, k, end = [], 0, 0
+        over = self.all(pred)
+        for n in nodes:
+            while k < len(over) and over[k].at < n.at:
+                end = max(end, over[k].end)
+                k += 1
+            if n.at < end:
+                out.append(n)
+        return out
+
+
+def _inside(nodes: list[_Node], box: _Node, most: int | None = None) -> list[_Node]:
+    """The first ``most`` of ``nodes`` (in order) that are descendants of ``box``."""
+    begin = bisect_right(nodes, box.at, key=lambda n: n.at)
+    end = bisect_left(nodes, box.end, begin, key=lambda n: n.at)
+    return nodes[begin:end if most is None else min(end, begin + most)]
+
+
+def _first_inside(nodes: list[_Node], box: _Node) -> _Node | None:
+    return next(iter(_inside(nodes, box, 1)), None)
 
 
 # -- per-page extraction (raw arrays only) ----------------------------------
 
-def _cards(root):
-    box = root.find(_is(cls=LISTING_CLASSES))
+def _links(page):
+    return page.all(lambda n: n.tag == "a" and "href" in n.attrs)
+
+
+def _cards(page, links):
+    box = page.first(lambda n: LISTING_CLASSES <= n.classes)
     if box is None:
         return []
+    labels = page.all(lambda n: n.tag == "div" and "logo_box_text" in n.classes)
     out = []
-    for card in box.find_all(_is(cls={"filter_target"})):
-        a = card.find(_is("a", attr="href"))
-        if a is None:
+    for card in _inside(page.all(lambda n: "filter_target" in n.classes), box):
+        a, label = _first_inside(links, card), _first_inside(labels, card)
+        if a is None or label is None:
             continue
-        label = card.find(_is("div", cls={"logo_box_text"}))
-        name = None
-        if label is not None:
-            own = label.own_text()
-            if own:
-                name = own.strip()
-            else:
-                t = label.text(" ")
-                name = t.replace(NO_NAME_SUFFIX, "").strip() if t else None
+        if label.own:
+            name = label.own.strip()
+        else:
+            name = page.text(label, " ").replace(NO_NAME_SUFFIX, "").strip()
         if name:
             out.append({"name": name, "href": a.attrs["href"]})
     return out
 
 
-def _logo(root):
-    img = root.find(lambda n: n.tag == "img" and "logo_float" in n.classes and "src" in n.attrs)
+def _logo(page):
+    img = page.first(lambda n: n.tag == "img" and "logo_float" in n.classes and "src" in n.attrs)
     return img.attrs["src"] if img is not None and img.attrs["src"] else None
 
 
-def _menu(root):
+def _menu(page, links):
+    headings = page.under(page.all(lambda n: n.tag == "h2"), lambda a: a.tag == "a" and MENU_HEADING_CLASSES <= a.classes)
+    listed = page.under(links, lambda u: u.tag == "ul" and MENU_LIST_CLASSES <= u.classes)
     out = []
-    for block in root.find_all(_is("div", cls={"category"})):
-        heading = block.find(lambda n: n.tag == "h2" and n.has_ancestor(
-            lambda a: a.tag == "a" and MENU_HEADING_CLASSES <= a.classes))
-        category = heading.text("") if heading is not None else "Uncategorized"
-        for a in block.find_all(lambda n: n.tag == "a" and "href" in n.attrs and n.has_ancestor(
-                lambda u: u.tag == "ul" and MENU_LIST_CLASSES <= u.classes)):
-            own = a.own_text()
-            name = own.strip() if own else a.text(" ")
-            out.append({"category": category, "name": name, "href": a.attrs["href"]})
+    for block in page.all(lambda n: n.tag == "div" and "category" in n.classes):
+        heading = _first_inside(headings, block)
+        category = page.text(heading) if heading is not None else "Uncategorized"
+        for a in _inside(listed, block):
+            out.append({"category": category, "name": a.own.strip() if a.own else page.text(a, " "), "href": a.attrs["href"]})
     return out
 
 
-def _image(root):
-    img = root.find(lambda n: n.tag == "img" and n.attrs.get("src", "").startswith(ITEM_PHOTO_PREFIX))
-    if img is not None and img.attrs.get("src"):
-        return img.attrs["src"]
-    for n in root.find_all(lambda n: n.tag == "img" and n.has_ancestor(
-            lambda d: d.tag == "div" and bool(CONTENT_IMAGE_DIVS & d.classes))):
+def _image(page):
+    images = page.all(lambda n: n.tag == "img")
+    for n in images:
+        if n.attrs.get("src", "").startswith(ITEM_PHOTO_PREFIX):
+            return n.attrs["src"]
+    for n in page.under(images, lambda d: d.tag == "div" and bool(CONTENT_IMAGE_DIVS & d.classes)):
         src = n.attrs.get("src", "")
         if src and not any(x in src for x in EXCLUDED_IMAGE_PARTS):
             return src
     return None
 
 
-def _description(root):
-    meta = root.find(lambda n: n.tag == "meta" and n.attrs.get("name") == "description")
+def _description(page):
+    meta = page.first(lambda n: n.tag == "meta" and n.attrs.get("name") == "description")
     if meta is not None and meta.attrs.get("content"):
         content = meta.attrs["content"]
         if "nutrition" not in content.lower()[:30]:
             return content
-    el = root.find(lambda n: bool(DESCRIPTION_CLASSES & n.classes) or (
-        n.tag == "p" and n.has_ancestor(lambda a: "item_info" in a.classes)))
-    return el.text(" ") if el is not None else None
+    named = page.first(lambda n: bool(DESCRIPTION_CLASSES & n.classes))
+    info = page.under(page.all(lambda n: n.tag == "p"), lambda a: "item_info" in a.classes)[:1]
+    el = min([n for n in (named, *info) if n is not None], key=lambda n: n.at, default=None)
+    return page.text(el, " ") if el is not None else None
 
 
-def _nutrition(root):
+def _nutrition(page):
     table = None
     for attr, value in NUTRITION_TABLES:
-        table = root.find(lambda n: n.tag == "table" and (
+        table = page.first(lambda n: n.tag == "table" and (
             value in n.classes if attr == "class" else n.attrs.get("id") == value))
         if table is not None:
             break
     if table is None:
         return []
+    heads, cells = page.all(lambda n: n.tag == "th"), page.all(lambda n: n.tag == "td")
     out = []
-    for row in table.find_all(_is("tr")):
-        th = row.find(_is("th"))
-        tds = row.find_all(_is("td"))
+    for row in _inside(page.all(lambda n: n.tag == "tr"), table):
+        th, tds = _first_inside(heads, row), _inside(cells, row, 2)
         key = value = None
         if th is not None and tds:
-            key, value = th.text(" "), tds[0].text(" ")
-        elif len(tds) >= 2:
-            key, value = tds[0].text(" "), tds[1].text(" ")
+            key, value = page.text(th, " "), page.text(tds[0], " ")
+        elif len(tds) == 2:
+            key, value = page.text(tds[0], " "), page.text(tds[1], " ")
         if key and not key.lower().startswith(NUTRITION_SKIP_PREFIXES):
             if value and value.strip() not in NUTRITION_BLANK_VALUES:
                 out.append({"key": key, "value": value.strip()})
     return out
 
 
-def _allergens(root):
-    sec = root.find(lambda n: n.attrs.get("id") == "allergens")
+def _allergens(page):
+    sec = page.first(lambda n: n.attrs.get("id") == "allergens")
     if sec is None:
         return None, None
+    strongs, dots = page.all(lambda n: n.tag == "strong"), page.all(lambda n: "dot" in n.classes)
     cols = []
-    for col in sec.find_all(lambda n: "col-12" in n.classes):
-        strong = col.find(_is("strong"))
-        if strong is None:
-            continue
-        dots = [t for t in (d.text("") for d in col.find_all(lambda n: "dot" in n.classes)) if t]
-        cols.append({"header": strong.text("").lower(), "dots": dots})
-    paras = [p.text(" ") for p in sec.find_all(_is("p"))]
-    return cols, paras
+    for col in _inside(page.all(lambda n: "col-12" in n.classes), sec):
+        strong = _first_inside(strongs, col)
+        if strong is not None:
+            cols.append({"header": page.text(strong).lower(), "dots": [t for t in (page.text(d) for d in _inside(dots, col)) if t]})
+    return cols, [page.text(p, " ") for p in _inside(page.all(lambda n: n.tag == "p"), sec)]
 
 
-def _title(root):
-    h1 = root.find(_is("h1"))
-    if h1 is not None:
-        return h1.text(" ")
-    t = root.find(_is("title"))
-    return t.text(" ") if t is not None else ""
+def _title(page):
+    el = page.first(lambda n: n.tag == "h1") or page.first(lambda n: n.tag == "title")
+    return page.text(el, " ") if el is not None else ""
 
 
-def _options(root):
-    menu = root.find(_is("div", cls={"dropdown-menu"}))
-    if menu is None:
-        return []
-    return [{"title": a.text(" "), "href": a.attrs["href"]} for a in menu.find_all(_is("a", attr="href"))]
+def _options(page, links):
+    menu = page.first(lambda n: n.tag == "div" and "dropdown-menu" in n.classes)
+    return [] if menu is None else [{"title": page.text(a, " "), "href": a.attrs["href"]} for a in _inside(links, menu)]
 
 
-def _ingredients(root):
-    el = root.find(lambda n: n.attrs.get("id") == "ingredients2")
-    return (el.text(" ") or "") if el is not None else ""
+def _ingredients(page):
+    el = page.first(lambda n: n.attrs.get("id") == "ingredients2")
+    return page.text(el, " ") if el is not None else ""
 
 
 def parse_page(url: str, html: str, page_id: int | None = None) -> dict:
     """All raw fields of one page."""
-    root = _dom(html)
-    cols, paras = _allergens(root)
+    page = _Page(html)
+    links = _links(page)
+    cols, paras = _allergens(page)
     return {
-        "page_id": page_id, "url": url, "title": _title(root),
-        "links": [{"href": a.attrs["href"], "text": a.text(" ")} for a in root.find_all(_is("a", attr="href"))],
-        "cards": _cards(root), "logo": _logo(root), "menu": _menu(root), "image_src": _image(root),
-        "description": _description(root), "nutrition": _nutrition(root), "allergen_cols": cols,
-        "allergen_paras": paras, "options": _options(root), "ingredients": _ingredients(root),
+        "page_id": page_id, "url": url, "title": _title(page),
+        "links": [{"href": a.attrs["href"], "text": page.text(a, " ")} for a in links],
+        "cards": _cards(page, links), "logo": _logo(page), "menu": _menu(page, links), "image_src": _image(page),
+        "description": _description(page), "nutrition": _nutrition(page), "allergen_cols": cols,
+        "allergen_paras": paras, "options": _options(page, links), "ingredients": _ingredients(page),
     }
 
 
@@ -309,10 +310,9 @@ def _parse_batches(batches):
     from pyspark.sql.pandas.types import to_arrow_schema
     schema = to_arrow_schema(PARSED_SCHEMA)
     for b in batches:
-        d = b.to_pydict()
-        ids = d.get("page_id") or [None] * len(d["url"])
         rows = []
-        for pid, u, h in zip(ids, d["url"], d["html"]):
+        for pid, u, h in zip(b.column("page_id"), b.column("url"), b.column("html"), strict=True):  # one page in Python at a time
+            pid, u, h = pid.as_py(), u.as_py(), h.as_py()
             try:
                 rows.append(parse_page(u, h, pid) | {"error": None})
             except Exception as e:  # noqa: BLE001 - a page that fails is reported, the job goes on

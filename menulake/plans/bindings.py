@@ -27,8 +27,8 @@ LOOKUP_HIT_MAX = 20        # brands numbered up to this are in the lookup
 LOOKUP_REPEAT_MAX = 3      # these appear twice; the later entry must win
 
 
-# The table whose rows carry per-row text work; html and document texts are never moved.
-ROW_HEAVY = {"lineitem"}
+# The tables whose rows carry per-row text work; they are dealt out only where they are small.
+ROW_HEAVY = {"lineitem", "pages"}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -64,15 +64,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def spread(df):
-    """Spread the rows of a scan that is one single split over the session's cores.
+    """Spread the rows of a small scan over the session's cores.
 
-    A small table stored as one row group gives one task however many cores
-    there are. A scan of two splits or more passes through unchanged, so what is
-    moved is one split at most.
+    A small table in few files, or in one row group, gives one busy task however
+    many cores there are; the number of splits doesn't tell, as a row group is read
+    by one of them. So a scan of fewer bytes than one split for each core is dealt
+    out anew, only the columns that are read. A larger one passes through unchanged.
     """
+    spark = df.sparkSession
     try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        one = df.rdd.getNumPartitions() == 1
-    except Exception:  # noqa: BLE001 - no RDD view on a Connect session: leave as is
+        want = spark.sparkContext.defaultParallelism
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    except Exception:  # noqa: BLE001 - no such view on a Connect session: leave as is
         return df
-    return df.repartition(want) if one else df
+    return df.repartition(want) if want > 1 and size < want * split else df

@@ -187,3 +187,22 @@ def test_deep_pages(spark):
 def test_repeated_nutrient_rows_last_wins(spark):
     df = spark.createDataFrame([([("Total Fat", "1 g"), ("Salt", "2"), ("total fat", "3 g")],), ([],)], "p array<struct<key:string,value:string>>")
     assert [dict(r[0]) for r in df.select(H.nutrition_map("p")).collect()] == [{"salt": "2", "total_fat": "3 g"}, {}]
+
+
+def test_unclosed_tags_take_linear_time_and_memory():
+    import time
+    from menulake.operators.extract import parse_page
+    for tag in ("<p>x", "<a href=q>x", "<div class=category><a href=q>x", "<tr><td>a<td>b", "<div><p>a</q>", "<div class=filter_target>"):
+        began = time.process_time()
+        row = parse_page("u", tag * 50_000)
+        assert time.process_time() - began < 20          # minutes and gigabytes where an element's text is built anew
+        assert sum(len(x["text"]) for x in row["links"]) <= 64 * 50_000
+        assert len(row["links"]) == (50_000 if "href" in tag else 0)
+
+
+def test_nested_elements_hold_the_text_inside_them():
+    from menulake.operators.extract import parse_page
+    row = parse_page("u", "<h1> A <b>b</b><script>no</script> c</h1><a href=1>x<a href=2>y</a> z</a></q><div id=ingredients2>salt<br/>oil</div>")
+    assert row["title"] == "A b c" and row["ingredients"] == "salt oil"
+    assert row["links"] == [{"href": "1", "text": "x y z"}, {"href": "2", "text": "y"}]
+    assert parse_page("u", None)["links"] == [] and parse_page("u", "")["title"] == ""
