@@ -235,7 +235,9 @@ def resolve(texts: list[str], near: float = NEAR) -> list[tuple[int, int]]:
     """Links that hold the components of a group together, found over all windows of its texts.
 
     The group's windows are listed with the texts that hold them; a text's lists,
-    summed up, give what it has in common with each other text.
+    summed up, give what it has in common with each other text. The texts that
+    share most with others come first, so a class is soon one and the texts left
+    are those outside the largest.
     """
     parts = [windows(texts[k:k + STEP]) for k in range(0, len(texts), STEP)]
     doc = np.concatenate([np.zeros(0, np.int64), *(p[0] + k * STEP for k, p in enumerate(parts))])
@@ -243,24 +245,31 @@ def resolve(texts: list[str], near: float = NEAR) -> list[tuple[int, int]]:
     at = np.searchsorted(doc, np.arange(len(texts) + 1))
     size = np.bincount(doc, n, len(texts))
     _, name, held = np.unique(w, return_inverse=True, return_counts=True)
+    if not len(w):
+        return []
     by = np.argsort(name, kind="stable")
     listed, counts, begin = doc[by], n[by], np.cumsum(held) - held
-    root, out = list(range(len(texts))), []
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        return i
-
-    for i in range(len(texts)):
+    # a text that shares too few windows with all others together is near none of them
+    shared = np.bincount(doc, np.where(held[name] > 1, n, 0), len(texts))
+    left = (size > 0) & (shared >= _needed(size, np.maximum(near * size, size[size > 0].min()), near) - 1e-9)
+    central = np.bincount(doc, held[name] * n, len(texts))
+    label, out = np.arange(len(texts)), []
+    while left.any():
+        # texts of one class need no look at each other: all but the largest are compared with all others
+        of = np.bincount(label[left], minlength=len(texts))
+        most = int(of.argmax())
+        if of[most] == left.sum() > 1:
+            break
+        i = int(np.where(left & ((label != most) | (of[most] == 1)), central, -1).argmax())
+        left[i] = False
         own = name[at[i]:at[i + 1]]
         many = held[own]
         places = np.repeat(begin[own] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        common = np.bincount(listed[places], np.minimum(counts[places], np.repeat(n[at[i]:at[i + 1]], many)), len(texts))[:i]
-        for j in np.flatnonzero((common > 0) & (common >= near * (size[i] + size[:i] - common) - 1e-9)).tolist():
-            if top(i) != top(j):
-                root[top(i)] = top(j)
-                out.append((i, j))
+        common = np.bincount(listed[places], np.minimum(counts[places], np.repeat(n[at[i]:at[i + 1]], many)), len(texts))
+        linked = np.flatnonzero((common > 0) & (common >= near * (size[i] + size - common) - 1e-9))
+        others, first = np.unique(label[linked], return_index=True)
+        out += [(i, int(j)) for o, j in zip(others, linked[first], strict=True) if o != label[i]]
+        label[np.isin(label, others)] = label[i]
     return out
 
 
