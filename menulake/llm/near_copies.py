@@ -53,7 +53,7 @@ from menulake.llm.components import components
 WINDOW, NEAR = 5, 0.8
 BANDS, ROWS = 28, 5
 #: Groups up to so many texts, of so many windows together, are resolved in one task; larger ones go by rounds.
-GROUP, ROOM = 1_024, 1_000_000
+GROUP, ROOM = 4_096, 1_000_000
 #: So many windows at most are put last for being frequent in the large groups.
 FREQUENT = 65_536
 #: Texts and characters to a step of signing.
