@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from menulake.functions._util import col_of
@@ -18,3 +18,15 @@ def stable_id(*parts) -> Column:
         t = col_of(p).cast("string")
         kept.append(F.when(t != "", t))
     return F.substring(F.sha2(F.concat_ws("|", *kept), 256), 1, 32)
+
+
+def kept_id(df: DataFrame, name: str, *parts) -> Column:
+    """D-01: the id that a row of ``df`` already has in column ``name``, else the stable id of ``parts``.
+
+    An empty or null id is none; without such a column every id is made.
+    """
+    made = stable_id(*parts)
+    if name not in df.columns:
+        return made
+    own = df[name].cast("string")
+    return F.coalesce(F.when(own != "", own), made)

@@ -56,12 +56,28 @@ def parse_unit(c) -> Column:
     return F.nullif(F.lower(F.regexp_extract(col_of(c), UNIT_PATTERN, 1)), F.lit(""))
 
 
+def _without_dots(path: Column, joined: bool) -> Column:
+    """A path (from its first ``/``) with ``.`` and ``..`` resolved; a joined one loses empty segments."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    segments = F.concat(F.array(F.lit("")), F.filter(F.slice(parts, 1, F.size(parts) - 1), lambda s: s != ""), F.array(last)) if joined else parts
+    up = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    text = F.array_join(F.when(last.isin(".", ".."), F.concat(up, F.array(F.lit("")))).otherwise(up), "/")
+    out = F.when(text.startswith("/"), text).otherwise(F.concat(F.lit("/"), text))
+    # most links have nothing to resolve, and never come here
+    return F.when(path.rlike(r"/\.{1,2}(/|$)|//"), out).otherwise(path)
+
+
 def resolve_url(href, base) -> Column:
     """H-11: absolute link for ``href`` seen on a page whose base is ``base``.
 
     ``base`` is a site or page url (text or Column). Absolute links pass,
     ``//host`` takes the base scheme, ``/path`` takes the base origin, an empty
-    link is the base itself, anything else replaces the last path segment.
+    link is the base itself, ``?query`` and ``#part`` stay on the base's page,
+    anything else replaces the last path segment. Dot segments are resolved.
     """
     h = col_of(href)
     b = F.lit(base) if isinstance(base, str) else base
@@ -69,13 +85,16 @@ def resolve_url(href, base) -> Column:
     origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
     path = F.regexp_replace(F.substring(b, F.length(origin) + 1, F.length(b)), r"[?#].*$", "")
     folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    own, rest = F.regexp_extract(h, r"^([^?#]*)", 1), F.regexp_extract(h, r"^[^?#]*((?s:.*))$", 1)
     return (
         F.when(h.isNull(), F.lit(None).cast("string"))
         .when(h == "", b)
         .when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
-        .otherwise(F.concat(origin, folder, h))
+        .when(h.startswith("?"), F.concat(origin, path, h))
+        .when(h.startswith("#"), F.concat(F.regexp_replace(b, r"#.*$", ""), h))
+        .when(h.startswith("/"), F.concat(origin, _without_dots(own, False), rest))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, own), True), rest))
     )
 
 

@@ -2,6 +2,8 @@
 
 Ids are recomputed from their parts on every row (D-01), so the three tables
 are built independently from their own raw frame, with no join between them.
+Ids that a raw frame already has are kept: its own in ``_id``, those of the
+brand and the item in ``restaurant_brand_id`` and ``menu_item_id``.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from menulake.functions.ids import stable_id
+from menulake.functions.ids import kept_id
 from menulake.functions.nutrition import (
     DEFAULT_CATEGORY, DEFAULT_ITEM_NAME, default_size_label, serving_struct, typed_nutrition,
 )
@@ -34,7 +36,7 @@ def _stamp(run_ts: str):
 def to_brands(raw_brands: DataFrame, run_ts: str) -> DataFrame:
     """N-01: one brand row per raw brand, id from the name."""
     return raw_brands.select(
-        stable_id("name").alias("_id"),
+        kept_id(raw_brands, "_id", "name").alias("_id"),
         F.col("name").alias("brand_name"),
         F.nullif(F.col("restaurant_logo"), F.lit("")).alias("brand_image_url"),
         F.col("url").alias("source_url"),
@@ -54,10 +56,10 @@ def _item_name():
 
 def to_menu_items(raw_items: DataFrame) -> DataFrame:
     """N-02: one item row per raw item, active, defaults applied (F-13)."""
-    bid = stable_id("brand_name")
+    bid = kept_id(raw_items, "restaurant_brand_id", "brand_name")
     name = _item_name()
     return raw_items.select(
-        stable_id(bid, name, F.col("url")).alias("_id"),
+        kept_id(raw_items, "_id", bid, name, F.col("url")).alias("_id"),
         bid.alias("restaurant_brand_id"),
         name.alias("name"),
         F.col("description"),
@@ -79,15 +81,13 @@ def to_variations(raw_servings: DataFrame, run_ts: str) -> DataFrame:
     row; the serving image wins over no image; ingredients that aren't text are null.
     """
     # a source that has the item's ids passes them down, one hash an item instead of two a serving
-    have = set(raw_servings.columns)
-    bid = F.col("restaurant_brand_id") if "restaurant_brand_id" in have else stable_id("brand_name")
-    iid = (F.col("menu_item_id") if "menu_item_id" in have
-           else stable_id(bid, F.coalesce(F.col("item_name"), F.lit(DEFAULT_ITEM_NAME)), F.col("item_url")))
+    bid = kept_id(raw_servings, "restaurant_brand_id", "brand_name")
+    iid = kept_id(raw_servings, "menu_item_id", bid, F.coalesce(F.col("item_name"), F.lit(DEFAULT_ITEM_NAME)), F.col("item_url"))
     label = default_size_label(F.col("size_label"))
     nutrition = F.coalesce(F.col("nutrition"), F.create_map().cast("map<string,string>"))
     allergens = F.coalesce(F.col("allergens").cast(ALLERGENS_TYPE), empty_allergens())
     return raw_servings.select(
-        stable_id(iid, label).alias("_id"),
+        kept_id(raw_servings, "_id", iid, label).alias("_id"),
         iid.alias("menu_item_id"),
         bid.alias("restaurant_brand_id"),
         label.alias("label"),

@@ -20,11 +20,12 @@ from menulake.functions.text import (
 from menulake.operators import quality, select, stats
 from menulake.operators.enrich import brand_requests, item_requests
 from menulake.operators.joins import merge_partials, merge_resume, skip_done
+from menulake.operators.normalize import to_menu_items
 from menulake.operators.upsert import upsert
 from menulake.plans import bindings as B
 from menulake.plans import domain
 from menulake.plans.reports import brand_protein_report
-from menulake.sources.io import first_page_keys, latest_per_key, read_pages
+from menulake.sources.io import first_page_keys, latest_per_key, read_pages, write_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,15 @@ def q_to_menu_items(spark, sf):
         "_id", "restaurant_brand_id", "name", "category", "source_url", "is_active", "item_pos")
 
 
+def q_kept_ids(spark, sf):
+    """D-01 where a third of the items has an id, a third an empty one and a third none."""
+    raw = B.raw_items(B.read(spark, sf, "part"))
+    own = F.concat(F.lit("item-"), F.col("item_pos").cast("string"))
+    third = F.col("item_pos") % 3
+    raw = raw.withColumn("_id", F.when(third == 0, own).when(third == 1, F.lit("")))
+    return to_menu_items(raw).select("_id", "restaurant_brand_id", "item_pos")
+
+
 def q_to_variations(spark, sf):
     v = domain.variations(spark, sf)
     return v.select("_id", "menu_item_id", "restaurant_brand_id", "label",
@@ -113,6 +123,16 @@ def q_ratio_distribution(spark, sf):
     return stats.ratio_distribution(domain.scored_variations(spark, sf))
 
 
+def q_written_report(spark, sf):
+    """The run report as written next to the enriched tables, read back."""
+    root = _stream_root(spark)
+    report = stats.ratio_report(domain.scored_variations(spark, sf))
+    write_stats(report, root, "r1")
+    written = spark.read.schema(report.schema).json(f"{root}/stats/run_ts=r1")
+    return written.select("total_items", "processed", "skipped", "no_nutrition_data", "errors",
+                          "ratio_stats.*", "ratio_distribution.*")
+
+
 def serving_arrays(li: DataFrame) -> DataFrame:
     """Two nested servings per lineitem row (bounded by construction, no grouping).
 
@@ -602,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "brand_protein_report": brand_protein_report,
     "to_brands": q_to_brands,
     "to_menu_items": q_to_menu_items,
+    "kept_ids": q_kept_ids,
     "to_variations": q_to_variations,
     "nutrient_text": q_nutrient_text,
     "snake_keys": q_snake_keys,
@@ -609,6 +630,7 @@ QUERIES: dict[str, Query] = {
     "variation_ratios": q_variation_ratios,
     "ratio_counts": q_ratio_counts,
     "ratio_distribution": q_ratio_distribution,
+    "written_report": q_written_report,
     "enrich_servings": q_enrich_servings,
     "first_variation": q_first_variation,
     "first_image": q_first_image,

@@ -203,6 +203,11 @@ SELECT _id, restaurant_brand_id, name, category, source_url, true AS is_active,
   CAST(p_partkey AS BIGINT) AS item_pos
 FROM it""")
 
+ORACLES["kept_ids"] = with_ctes(CTE_ITEMS, body="""
+SELECT CASE WHEN p_partkey % 3 = 0 THEN 'item-' || CAST(p_partkey AS VARCHAR) ELSE _id END AS _id,
+  restaurant_brand_id, CAST(p_partkey AS BIGINT) AS item_pos
+FROM it""")
+
 ORACLES["to_variations"] = with_ctes(CTE_VARIATIONS, body="""
 SELECT _id, menu_item_id, restaurant_brand_id, label, serving_text, calories, protein_g, carbs_g,
   fat_g, CAST(NULL AS DOUBLE) AS saturated_fat_g, CAST(NULL AS DOUBLE) AS trans_fat_g,
@@ -251,6 +256,17 @@ SELECT round_even(min(golden_ratio), 3) AS min, round_even(max(golden_ratio), 3)
   round_even(percentile_disc(0.5) WITHIN GROUP (ORDER BY golden_ratio DESC), 3) AS median
 FROM vs""")
 
+ORACLES["written_report"] = with_ctes(CTE_VARIATIONS, body="""
+SELECT CAST(count(*) AS BIGINT) AS total_items, CAST(count(*) AS BIGINT) AS processed,
+  CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS no_nutrition_data, CAST(0 AS BIGINT) AS errors,
+  CAST(count_if(golden_ratio_category = 'Excellent') AS BIGINT) AS excellent,
+  CAST(count_if(golden_ratio_category = 'Good') AS BIGINT) AS good,
+  CAST(count_if(golden_ratio_category = 'Poor') AS BIGINT) AS poor,
+  round_even(min(golden_ratio), 3) AS min, round_even(max(golden_ratio), 3) AS max,
+  round_even(sum(CAST(round(golden_ratio * 1000) AS BIGINT)) / count(golden_ratio) / 1000, 3) AS average,
+  round_even(percentile_disc(0.5) WITHIN GROUP (ORDER BY golden_ratio DESC), 3) AS median
+FROM vs""")
+
 _NUT = {
     "cal": "CAST(CAST(l_quantity * 18 AS BIGINT) AS VARCHAR)",
     "cal_big": "format('{:,}', CAST(l_quantity * 180 AS BIGINT))",

@@ -161,6 +161,19 @@ def test_resolve_url_forms(spark):
                    "https://s.org/dir/page"]
 
 
+def test_links_are_joined_as_by_the_url_rules(spark):
+    from itertools import product
+    from urllib.parse import urljoin
+    from menulake.functions.text import resolve_url
+    bases = ["https://s.org", "https://s.org/", "https://s.org/dir/page", "https://s.org/a/b/c/?q=/x/../y#f/..", "http://s.org/a//b"]
+    links = ["../x", "../../../x/./y", "..", ".", "./", "../", "a/../b?u=/../v", "/a/./b/../c", "/..", "/../x", "x/..", "...", ".x/..y",
+             "?q=1", "#part", "a//b", "/a//b", "b#../c", "//cdn.x/a/../b", "http://z/q/../r", "", "/", "mailto:a@b.c", "a/b/"]
+    rows = list(product(links, bases))
+    df = spark.createDataFrame(rows, "h string, b string")
+    got = [r[0] for r in df.select(resolve_url(F.col("h"), F.col("b"))).collect()]
+    assert list(zip(rows, got)) == [(row, urljoin(row[1], row[0])) for row in rows]
+
+
 def test_brands_of_one_name_keep_their_own_facts(spark):
     parsed = H.parse_pages(_pages(spark, [("/shake", ITEM_TD), ("/soda", SIZES), ("/soda/small", SMALL), ("/soda/large", LARGE)]))
     items = spark.createDataFrame(

@@ -53,6 +53,25 @@ def test_upper_median_even_count(spark):
     assert stats.ratio_distribution(df).first()["median"] == 0.3
 
 
+def test_upper_median_is_that_of_the_sorted_ratios(spark):
+    import random
+    r = random.Random(3)
+    for n in (1, 2, 7, 200, 999):
+        ratios = [round(r.choice((1, 1, 40, -3, 90_000)) * r.choice((r.random(), 0.25)), 3) for _ in range(n)]
+        rows = [(x, "processed", r.choice(("Good", "Poor", None))) for x in ratios]
+        rows += [(None, "processed", None), (5.0, "skipped", "Good"), (None, "no_data", None), (9.0, None, None)]
+        df = spark.createDataFrame(rows, "golden_ratio double, ratio_status string, golden_ratio_category string")
+        want = sorted(ratios)[n // 2]
+        assert stats.ratio_distribution(df).first()["median"] == want
+        report = stats.ratio_report(df).first()
+        assert (report["total_items"], report["processed"], report["skipped"]) == (n + 4, n + 1, 1)
+        assert report["ratio_distribution"]["median"] == want
+        assert tuple(report["ratio_distribution"]) == tuple(stats.ratio_distribution(df).first())
+    assert tuple(stats.ratio_distribution(df.limit(0)).first()) == (None,) * 4
+    empty = stats.ratio_report(df.limit(0)).first()
+    assert (empty["total_items"], empty["processed"], empty["ratio_distribution"]) == (0, 0, None)
+
+
 def test_ratio_rounding_ties(spark):
     df = spark.createDataFrame([(2.0, 64.0), (40.0, 400.0), (5.0, 0.0)], "p double, cal double")
     got = [(r[0], r[1]) for r in df.select(golden_ratio("p", "cal").alias("r"))
@@ -272,3 +291,22 @@ def test_fetch_stats_empty_log_and_stats_written_only_with_ratios(spark, scratch
                                    "ratio_status string, golden_ratio double, golden_ratio_category string")
     assert write_stats(stats.ratio_report(scored), scratch, "r2") is True
     assert spark.read.json(os.path.join(scratch, "stats")).first()["ratio_stats"]["good"] == 1
+
+
+def test_ids_already_present_are_kept(spark):
+    from menulake.functions.ids import kept_id, stable_id
+    df = spark.createDataFrame([("x", "a"), ("", "a"), (None, "a")], "_id string, name string")
+    want = df.select(stable_id("name")).first()[0]
+    assert [r[0] for r in df.select(kept_id(df, "_id", "name")).collect()] == ["x", want, want]
+    assert [r[0] for r in df.drop("_id").select(kept_id(df.drop("_id"), "_id", "name")).collect()] == [want] * 3
+
+
+def test_steps_are_counted_while_they_are_written(spark, scratch):
+    rows = [("mapped",)] * 3 + [("no_id",)] * 2
+    df, seen = stats.observe_steps(spark.createDataFrame(rows, "image_status string"), "image_status")
+    df.write.parquet(os.path.join(scratch, "step"))
+    want = stats.step_counts(spark.read.parquet(os.path.join(scratch, "step")), "image", "image_status").collect()
+    assert sorted(stats.observed_steps(seen, "image"), key=str) == sorted((r.asDict() for r in want), key=str)
+    df, seen = stats.observe_steps(df.limit(0), "image_status")
+    df.write.parquet(os.path.join(scratch, "none"))
+    assert stats.observed_steps(seen, "image") == []
