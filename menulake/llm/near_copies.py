@@ -24,7 +24,9 @@ another text y of the group. As h is no larger than y, such a pair shares
 windows that h lacks: |x & y| <= min(|x & h|, |y & h|) + |x-h & y-h|, so at
 least 4/9 (|x| + |h|) - |x & h| of them. By the prefix principle x and y then
 share one of the first |x-h| - needed + 1 windows, in any fixed order, that each
-has beyond h. The order puts the windows that are frequent in the large groups
+has beyond h. Nor is a window of y of use where fewer than the needed windows of y
+are left from there on, for any x of the window's group that isn't near h: so the texts
+near h, which need few, leave most groups again. The order puts the windows that are frequent in the large groups
 last: what many texts share (a licence, a menu) gathers no texts again, and most
 first windows belong to one text, so the groups of a round are small. These
 windows (and the size class, as sizes differ by a fifth at most) make the groups
@@ -172,15 +174,16 @@ def counted(text: str) -> Counted:
     return w, n
 
 
-def compare(tx: str, th: str, near: float = NEAR, frequent: Counted | None = None) -> tuple[bool, np.ndarray]:
+def compare(tx: str, th: str, near: float = NEAR, frequent: Counted | None = None) -> tuple[bool, np.ndarray, np.ndarray, int]:
     """``beyond`` of two texts."""
     return beyond(counted(tx), counted(th), near, frequent)
 
 
-def beyond(x: Counted, h: Counted, near: float = NEAR, frequent: Counted | None = None) -> tuple[bool, np.ndarray]:
+def beyond(x: Counted, h: Counted, near: float = NEAR, frequent: Counted | None = None) -> tuple[bool, np.ndarray, np.ndarray, int]:
     """Whether two texts are near copies, and x's windows beyond h that a partner of x must share one of.
 
-    ``frequent`` windows (in order of their hashes, with their frequencies) come last.
+    Then how many windows beyond h are left from each of these on, and how many a partner
+    must share. A partner is no smaller than h, nor than 0.8 of x. ``frequent`` windows (in order of their hashes, with their frequencies) come last.
     """
     (wx, nx), (wh, nh) = x, h
     _, i, j = np.intersect1d(wx, wh, assume_unique=True, return_indices=True)
@@ -190,14 +193,14 @@ def beyond(x: Counted, h: Counted, near: float = NEAR, frequent: Counted | None
     linked = both >= near * (size + hub - both) - 1e-9
     rest = nx.copy()
     rest[i] -= common
-    need = max(1, math.ceil(_needed(size, hub, near) - both - 1e-9))
+    need = max(1, math.ceil(_needed(size, max(near * size, hub), near) - both - 1e-9))
     at = np.flatnonzero(rest)
     if frequent is not None and len(frequent[0]):
         place = np.minimum(np.searchsorted(frequent[0], wx[at]), len(frequent[0]) - 1)
         at = at[np.lexsort((wx[at], np.where(frequent[0][place] == wx[at], frequent[1][place], 0)))]
     # the prefix counts repeats: it ends once the windows left are fewer than those needed
     left = rest[at].sum() - (np.cumsum(rest[at]) - rest[at])
-    return linked, wx[at[left >= need]]
+    return linked, wx[at[left >= need]], left[left >= need], need
 
 
 def _compare(near: float, frequent: Counted):
@@ -209,7 +212,7 @@ def _compare(near: float, frequent: Counted):
                 if name != hub:  # rows come by hub
                     hub, h = name, counted(th)
                 got.append(beyond(counted(x), h, near, frequent))
-            yield pd.DataFrame({"node": b["node"], "size": b["size"], "hub": b["hub"], "linked": [g[0] for g in got], "beyond": [g[1].astype(np.int64) for g in got]})
+            yield pd.DataFrame({"node": b["node"], "size": b["size"], "hub": b["hub"], "linked": [g[0] for g in got], "beyond": [g[1].astype(np.int64) for g in got], "left": [g[2] for g in got], "need": [g[3] for g in got]})
     return run
 
 
@@ -332,16 +335,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = large.join(hubs, "key").where("node != hub").select("node", "size", "hub").distinct()
         pairs = pairs.join(text, "node").join(text.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub")
         pairs = pairs.select("node", "size", "hub", "text", "hub_text")
-        done = t.cut(pairs.sortWithinPartitions("hub").mapInPandas(_compare(near, frequent), "node binary, size long, hub binary, linked boolean, beyond array<long>"), "compared")
+        done = t.cut(pairs.sortWithinPartitions("hub").mapInPandas(_compare(near, frequent), "node binary, size long, hub binary, linked boolean, beyond array<long>, left array<long>, need long"), "compared")
         was, edges = edges, t.cut(edges.union(done.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "links")
         t.drop(was, members)
         # the next round's groups: texts with a window in common that the hub lacks, of like sizes, not all of them near the hub
         step = F.floor(F.log("size") / F.log(F.lit(1 / near)))
-        keyed = done.select("hub", "node", "size", "linked", F.explode("beyond").alias("window"))
-        keyed = keyed.select(F.explode(F.array(step, step + 1)).alias("class"), "hub", "window", "node", "size", "linked")
-        keyed = keyed.select(F.xxhash64("hub", "window", "class").alias("key"), "node", "size", "linked")
-        open_ = t.cut(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("linked").alias("all_linked")).where("n > 1 AND NOT all_linked").select("key"), "open")
-        members = t.cut(keyed.join(open_, "key").select("key", "node", "size").distinct(), "members")
+        keyed = done.select("hub", "node", "size", "linked", "need", F.explode(F.arrays_zip("beyond", "left")).alias("at"))
+        keyed = keyed.select(F.explode(F.array(step, step + 1)).alias("class"), "hub", "at.beyond", "at.left", "node", "size", "linked", "need")
+        keyed = keyed.select(F.xxhash64("hub", "beyond", "class").alias("key"), "node", "size", "linked", "left", "need")
+        open_ = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("linked").alias("all_linked"), F.min(F.when(~F.col("linked"), F.col("need"))).alias("wanted"))
+        open_ = t.cut(open_.where("n > 1 AND NOT all_linked").select("key", "wanted"), "open")
+        members = t.cut(keyed.join(open_, "key").where("left >= wanted").select("key", "node", "size").distinct(), "members")
         t.drop(hubs, done, open_)
     roots = components(t, edges)
 

@@ -245,3 +245,27 @@ def test_a_group_is_resolved_as_by_all_pairs():
                 root[:] = [min(a, b) if x in (a, b) else x for x in root]
         assert got == want
     assert resolve([]) == [] and resolve(["", "a"]) == []
+
+
+def test_a_window_of_a_pair_has_enough_left_on_both_sides():
+    from menulake.llm.near_copies import beyond, counted
+    r = random.Random(5)
+    met = 0
+    for _ in range(600):
+        base = [f"w{r.randrange(50)}" for _ in range(r.randrange(12, 60))]
+
+        def edited(words, changes):
+            t = list(words)
+            for _ in range(changes):
+                t[r.randrange(len(t))] = f"w{r.randrange(80)}"
+            return t[:len(t) - r.randrange(3)]
+        x = edited(base, r.randrange(3))
+        y, h = edited(x, r.randrange(3)), edited(base, r.randrange(4))
+        x, y, h = sorted((counted(" ".join(t)) for t in (x, y, h)), key=lambda c: c[1].sum(), reverse=True)
+        (lx, wx, left_x, need_x), (ly, wy, left_y, need_y) = beyond(x, h), beyond(y, h)
+        if beyond(x, y)[0] and not (lx and ly):
+            # the group's wanted number is that of its unlinked texts, at most
+            wanted = min(n for n, near in ((need_x, lx), (need_y, ly)) if not near)
+            assert set(wx[left_x >= wanted].tolist()) & set(wy[left_y >= wanted].tolist())
+            met += 1
+    assert met > 20
