@@ -491,13 +491,22 @@ def _stream_root(spark) -> str:
     return f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
 
 
+def table_files(sf: str, table: str) -> str:
+    """The files of a driver table as a stream's source: of one file or of a folder of them.
+
+    A stream takes a single file only by a pattern, and matches a name pattern with
+    the files inside a folder, not with the folder.
+    """
+    return f"{sf}/{table}.parque[t]"
+
+
 def q_stream_page_titles(spark, sf):
     """T-01: stored pages streamed once through the extraction pass."""
     from menulake.operators.extract import page_titles, parse_pages
     from menulake.streaming.ingest import stream_ingest
     root = _stream_root(spark)
-    stream_ingest(spark, sf, f"{root}/out", f"{root}/ckpt",
-                  transform=lambda b: page_titles(parse_pages(b)), glob="pages.parquet")
+    stream_ingest(spark, table_files(sf, "pages"), f"{root}/out", f"{root}/ckpt",
+                  transform=lambda b: page_titles(parse_pages(b)))
     return spark.read.parquet(f"{root}/out").select("url", "title")
 
 
@@ -507,7 +516,7 @@ def q_stream_upsert_orders(spark, sf):
     root = _stream_root(spark)
     base, _ = upsert_inputs(spark, sf)
     schema = B.read(spark, sf, "orders").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf))
+    stream = spark.readStream.schema(schema).parquet(table_files(sf, "orders"))
     stream_upsert(spark, stream, f"{root}/out", f"{root}/ckpt", "_id", "o_totalprice", base=base, prepare=fresh_orders)
     return latest_stream_snapshot(spark, f"{root}/out").select(
         "_id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")

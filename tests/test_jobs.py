@@ -199,3 +199,13 @@ def test_ingredients_that_are_no_text_are_null(spark, scratch):
     _, _, servings = read_keyed(spark, scratch)
     got = [r["ingredients"] for r in to_variations(servings, "t").orderBy("item_pos").collect()]
     assert got[:4] == ["salt", None, None, ""] and got[4] in ("", None)
+
+
+def test_streams_read_a_table_that_is_a_folder(spark, scratch):
+    from menulake.plans.catalog import QUERIES
+    from tests.conftest import SF_SMALL
+    for name, table in (("stream_page_titles", "pages"), ("stream_upsert_orders", "orders")):
+        sf = os.path.join(scratch, name)
+        spark.read.parquet(f"{SF_SMALL}/{table}.parquet").repartition(3).write.parquet(f"{sf}/{table}.parquet")
+        got, want = (sorted(map(str, QUERIES[name](spark, folder).collect())) for folder in (sf, SF_SMALL))
+        assert got and got == want
