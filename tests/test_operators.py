@@ -310,3 +310,19 @@ def test_steps_are_counted_while_they_are_written(spark, scratch):
     df, seen = stats.observe_steps(df.limit(0), "image_status")
     df.write.parquet(os.path.join(scratch, "none"))
     assert stats.observed_steps(seen, "image") == []
+
+
+def test_variation_stages_read_each_expression_once(spark):
+    from menulake.operators.normalize import to_variations
+    from menulake.operators.score import score_variations
+    raw = spark.createDataFrame(
+        [("B", "I", "u", "S", {"calories": "10", "protein": "2g", "fat": "none", "total_fat": "1,000 g"}, "", 0, 0), ("B", None, "u", None, None, "i", 1, 0)],
+        "brand_name string, item_name string, item_url string, size_label string, nutrition map<string,string>, image_url string, item_pos int, serving_pos int"
+    ).selectExpr("*", "cast(null as struct<contains:array<string>,does_not_contain:array<string>,unknown:array<string>,allergy_information:string>) allergens", "'' ingredients")
+    scored = score_variations(to_variations(raw, "t"))
+    a, b = scored.orderBy("item_pos").collect()
+    assert (a["nutrition"]["fat_g"], a["golden_ratio"], a["golden_ratio_category"]) == (1000.0, 2.0, "Excellent")
+    assert b["nutrition"]["calories"] is None and b["nutrition"] is not None and (b["label"], b["golden_ratio"]) == ("1 serving", 0.0)
+    # ids hash once a level, and a ratio parses its two numbers alone
+    plan = scored.select("_id", "menu_item_id", "golden_ratio", "golden_ratio_category")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2(") == 3 and plan.count("regexp_extract(") == 2
