@@ -142,3 +142,28 @@ def test_buckets_grow_with_the_rows(spark, scratch, monkeypatch):
     _merge(spark, scratch, "r2", _rows(spark, range(15, 100), 1))
     grown, counts = _merge(spark, scratch, "r3", _rows(spark, range(99, 101), 3))
     assert grown["buckets"] == 10 and counts["matched"] == 1 and len(_read(spark, scratch)) == 101
+
+
+def test_a_merge_shuffles_each_side_once(spark, scratch, monkeypatch):
+    plans, write = [], lake._write_buckets
+
+    def seen(df, folder):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, folder)
+
+    monkeypatch.setattr(lake, "_write_buckets", seen)  # an exchange for the base and one for the fresh rows
+    _merge(spark, scratch, "r1", _rows(spark, range(100), 1), buckets=4)
+    entry, counts = _merge(spark, scratch, "r2", _rows(spark, range(50, 150), 2))
+    assert counts == {"inserted": 50, "matched": 50, "modified": 50, "errors": 0}
+    assert [p.count("Exchange ") for p in plans] == [2, 2] and "max_by" not in plans[1]
+    assert {f[0] for f in entry["files"]} == set(range(4)) and sum(f[3] for f in entry["files"]) == 150
+
+
+def test_hot_keys_are_thinned_before_they_are_dealt(spark, scratch, monkeypatch):
+    fresh = spark.createDataFrame([("hot", n, f"v{n}") for n in range(400)] + [(None, n, "null") for n in range(300)] + [(f"k{n}", n, "x") for n in range(50)], SCHEMA)
+    monkeypatch.setattr(lake, "HOT", 100)
+    thin = lake._thinned(fresh, "_id", "a")
+    assert sorted((tuple(r) for r in thin.where("_id IS NULL OR _id = 'hot'").collect()), key=repr) == [("hot", 399, "v399"), (None, 299, "null")]
+    _merge(spark, scratch, "r1", fresh)
+    got = _read(spark, scratch)
+    assert len(got) == 52 and ("hot", 399, "v399") in got and (None, 299, "null") in got
