@@ -58,6 +58,8 @@ BANDS, ROWS = 28, 5
 GROUP, ROOM = 4_096, 1_000_000
 #: So many windows at most are put last for being frequent in the large groups.
 FREQUENT = 65_536
+#: Bits of the map that keeps most unwanted texts out of a shuffle, and of one of its rows (Spark's bitmaps).
+BITS, ROW_BITS = 1 << 25, 1 << 15
 #: Texts and characters to a step of signing.
 STEP, CHARS = 1_000, 4_000_000
 _WORD = re.compile(r"\w+")
@@ -283,6 +285,19 @@ def _resolve(near: float):
     return run
 
 
+def _likely(d: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``d`` whose doc_id has the bit of one of ``wanted``: all that are wanted, and few others.
+
+    The map is of 4 MB at most, so it is sent to every task whatever the size of the
+    tables. Rows with the bit of another id only cost a shuffle.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
+    map_ = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / ROW_BITS).alias("_row")).agg(F.bitmap_construct_agg(F.col("bit") % ROW_BITS).alias("_map"))
+    row, at = F.floor(bit / ROW_BITS), (bit % ROW_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring("_map", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return d.withColumn("_row", row).join(F.broadcast(map_), "_row").where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_row", "_map")
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: float = NEAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, class_id, kept`` for each row of ``docs``; the class is named by its least doc_id.
 
@@ -308,7 +323,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = t.cut(nodes.select("node", "size").join(groups, "node"), "groups")
     wanted = t.cut(sizes.select("node").distinct().join(names, "node").select("node", F.col("name").alias("doc_id")), "wanted")
     same = [F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), F.col("d.node") == F.col("w.node")]
-    text = d.alias("d").join(wanted.alias("w"), same, "left_semi").dropDuplicates(["node"]).select("node", "text")
+    # an inner join, as Spark would move a semi join below the filter; a node has one wanted id
+    text = _likely(d, wanted).alias("d").join(wanted.alias("w"), same).select("d.node", "text").dropDuplicates(["node"])
     text = t.cut(text, "texts")
 
     # small groups in one task each, large ones against their smallest text

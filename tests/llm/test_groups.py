@@ -269,3 +269,29 @@ def test_a_window_of_a_pair_has_enough_left_on_both_sides():
             assert set(wx[left_x >= wanted].tolist()) & set(wy[left_y >= wanted].tolist())
             met += 1
     assert met > 20
+
+
+def test_nodes_with_many_common_neighbours_leave_few_edges(spark, monkeypatch):
+    from menulake.llm import components as module
+    from menulake.llm.common import Tables
+    left, rounds = [], module._rounds
+
+    def counted(t, edges):
+        left.append(edges.distinct().count())
+        return rounds(t, edges)
+
+    monkeypatch.setattr(module, "_rounds", counted)
+    # 500 texts, each with 28 of 40 firsts, and a chain beside them
+    edges = [(1000 + x, (x + 3 * b) % 40) for x in range(500) for b in range(28)] + [(k, k + 1) for k in range(5000, 5060)] + [(9000, 9000)]
+    got = {r.node: r.root for r in module.components(Tables(spark, "test"), spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: 0 if n < 2000 else 5000 if n < 9000 else n for e in edges for n in e}
+    assert left[0] < 1_000
+
+
+def test_only_texts_that_may_be_wanted_are_shuffled(spark):
+    from menulake.llm.near_copies import _likely
+    d = spark.range(5_000).selectExpr("IF(id = 3, NULL, id) AS doc_id", "concat('t', id) AS text")
+    wanted = d.where("doc_id % 10 = 0 OR doc_id IS NULL").select("doc_id")
+    got = {r.doc_id for r in _likely(d, wanted).collect()}
+    assert {r.doc_id for r in wanted.collect()} <= got and len(got) < 600
+    assert _likely(d, wanted).columns == d.columns and not _likely(d, wanted.limit(0)).count()
