@@ -85,7 +85,7 @@ _known = _Hashes()
 
 def windows(texts: list[str], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, window hash, count) of each distinct window, in order of text and hash."""
-    if len(_known) > 500_000:
+    if len(_known) > 200_000:
         _known.clear()
     words = [_WORD.findall(t.lower()) for t in texts]
     n = np.array([len(w) for w in words], np.int64)

@@ -21,6 +21,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,10 @@ from menulake.llm.common import Tables, columns, text_of
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 STEP = 128
-#: Words kept a Python worker; the store starts anew beyond it, which changes no result.
-MAX_WORDS = 1_000_000
+#: Words and parts of words kept a Python worker, about 200 bytes each; beyond it the store is thinned, which changes no result.
+MAX_WORDS = 400_000
+#: So many of them, the ones met first, outlive a task: other steps' tasks run in the same workers.
+IDLE_WORDS = 50_000
 _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("tokens", "<i8")])
 
 # ---------------------------------------------------------------- tokens
@@ -59,36 +62,43 @@ class _Words(dict):
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = iter(range(256, 512))
         self.bytes = [chr(b) if b in keep else chr(next(other)) for b in range(256)]
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.parts: dict[str, list[int]] = {}
-        self.flat, self.sizes = array("i"), array("i")
+        self.parts: dict[str, int] = {}
+        self.flat, self.sizes, self.begins = array("i"), array("i"), array("i")
         self[""] = self.add([])
         self.end = self.add([END_ID])
 
+    def thin(self, most: int) -> None:
+        """Keeps the words and parts that were met first, as the frequent ones are; numbers are given in that order."""
+        most = max(self.end + 1, most)
+        if most >= len(self.sizes):
+            return
+        kept = {w: n for w, n in self.items() if n < most}
+        self.clear()
+        self.update(kept)
+        self.parts = {p: n for p, n in self.parts.items() if n < most}
+        self.flat, self.sizes, self.begins = self.flat[:self.begins[most]], self.sizes[:most], self.begins[:most]
+
     def add(self, ids: list[int]) -> int:
+        self.begins.append(len(self.flat))
         self.flat.extend(ids)
         self.sizes.append(len(ids))
         return len(self.sizes) - 1
 
+    def number(self, part: str) -> int:
+        n = self.parts.get(part)
+        if n is None:
+            n = self.parts[part] = self.add([t.id for t in self.part(part if part.isascii() else "".join([self.bytes[b] for b in part.encode()]))])
+        return n
+
     def __missing__(self, word: str) -> int:
         if word.isascii() and word.isalpha():  # one part, of letters that stand for themselves
-            p = word.lower()
-            ids = self.parts.get(p)
-            if ids is None:
-                ids = self.parts[p] = [t.id for t in self.part(p)]
+            n = self.number(word if word.islower() else word.lower())
         elif _PLAIN.match(word) and "<|" not in word:
-            ids = []
-            for p in _PARTS.findall(word.lower()):
-                got = self.parts.get(p)
-                if got is None:
-                    got = self.parts[p] = [t.id for t in self.part(p if p.isascii() else "".join([self.bytes[b] for b in p.encode()]))]
-                ids += got
+            many = [self.number(p) for p in _PARTS.findall(word.lower())]
+            n = many[0] if len(many) == 1 else self.add([i for k in many for i in self.flat[self.begins[k]:self.begins[k] + self.sizes[k]]])
         else:
-            ids = self.whole.encode(word, add_special_tokens=False).ids
-        n = self[word] = self.add(ids)
+            n = self.add(self.whole.encode(word, add_special_tokens=False).ids)
+        self[word] = n
         return n
 
 
@@ -98,8 +108,8 @@ _words: dict[str | None, _Words] = {}
 def _looked_up(texts: pa.Array, path: str | None) -> tuple[_Words, np.ndarray, np.ndarray, np.ndarray]:
     """The word store; the numbers of the distinct words; for each word its place among those; words of each text."""
     words = _words.get(path) or _words.setdefault(path, _Words(path))
-    if len(words) > MAX_WORDS:
-        words.reset()
+    if len(words) + len(words.parts) > MAX_WORDS:
+        words.thin(len(words.sizes) // 2)
     split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
     coded = split.flatten().dictionary_encode()
     distinct = coded.dictionary.to_pylist()
@@ -110,8 +120,7 @@ def _looked_up(texts: pa.Array, path: str | None) -> tuple[_Words, np.ndarray, n
 def _tokens(texts: pa.Array, path: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, each with the end id, and the number of each."""
     words, numbers, places, n = _looked_up(texts, path)
-    flat, sizes = np.array(words.flat, np.int32), np.array(words.sizes, np.int32)
-    begins = np.cumsum(sizes, dtype=np.int32) - sizes
+    flat, sizes, begins = (np.array(x, np.int32) for x in (words.flat, words.sizes, words.begins))
     numbers = np.append(numbers, words.end).astype(np.int32)
     # the end id is one more word of each text
     last = np.cumsum(n + 1) - 1
@@ -132,7 +141,7 @@ def _tokens(texts: pa.Array, path: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out) if out else np.zeros(0, np.int32), many
 
 
-def _some(batches: Iterator[pa.RecordBatch], most: int = 8_000_000) -> Iterator[tuple[list, pa.Array]]:
+def _some(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[tuple[list, pa.Array]]:
     """Ids and texts of a few MB at a time."""
     for b in batches:
         ids, texts = b.column(0), b.column(1)
@@ -178,6 +187,10 @@ def _blocks(path: str | None, block_tokens: int):
                     block, first, held, docs, n = block + 1, first + n, [], [], 0
         if held:
             yield row()
+            held = []
+        for words in _words.values():
+            words.thin(IDLE_WORDS)
+        pa.default_memory_pool().release_unused()
     return run
 
 

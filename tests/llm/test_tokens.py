@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -120,3 +121,14 @@ def test_one_id_alone():
     lengths = tf.code_lengths(np.array([0, 0, 9]))
     payload, checkpoints, bits = tf._pack(np.full(9, 2), lengths, tf.code_words(lengths))
     assert bits == 9 and (tf.Decoder(lengths).decode(payload, checkpoints, 9, bits) == 2).all()
+
+
+def test_word_store_stays_bounded(words, monkeypatch):
+    # parts count as well as words, and thinning changes no ids
+    monkeypatch.setattr(tf, "MAX_WORDS", 1000)
+    monkeypatch.setattr(tf, "_words", {})
+    for k in range(12):
+        texts = [" ".join(f"Word{'abcdefghijklmnop'[i % 16]}{'qrstuvwxyz'[i // 16]}{'abcdefghijkl'[k]}, the İ" for i in range(100)), "the end"]
+        ids, many = tf._tokens(pa.array(texts), None)
+        assert [own.tolist() for own in np.split(ids, np.cumsum(many)[:-1])] == [[*words.encode(t, add_special_tokens=False).ids, tf.END_ID] for t in texts]
+        assert len(tf._words[None]) + len(tf._words[None].parts) <= 1000 + 250
