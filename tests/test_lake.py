@@ -167,3 +167,29 @@ def test_hot_keys_are_thinned_before_they_are_dealt(spark, scratch, monkeypatch)
     _merge(spark, scratch, "r1", fresh)
     got = _read(spark, scratch)
     assert len(got) == 52 and ("hot", 399, "v399") in got and (None, 299, "null") in got
+
+
+def test_a_write_leaves_no_shuffle_files_and_packs_its_files(spark, scratch):
+    import time
+
+    import pyarrow.parquet as pq
+
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+    setting, before = spark.conf.get(lake.CLEANUP), shuffled()
+    rows = spark.range(100_000).selectExpr("sha2(string(id), 256) AS _id", "int(id) AS a", "sha2(string(-id), 256) AS b")
+    folder = os.path.join(scratch, "b")
+    lake._write_buckets(lake._by_key(rows, "_id", 4), folder)
+    entry = lake.write_table(lake._by_key(rows, "_id", 4), scratch, "w", "r1")
+    time.sleep(2)  # removal is asked for, not waited for
+    assert shuffled() - before < 1_000_000      # 13 MB of ids are dealt in each write
+    assert spark.conf.get(lake.CLEANUP) == setting
+    for d in (folder, os.path.join(scratch, entry["folder"])):
+        files = [os.path.join(d, f) for f in os.listdir(d) if f.endswith(".parquet")]
+        assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+        assert spark.read.parquet(d).count() == 100_000
+    with pytest.raises(Exception, match="gone"):
+        lake._write_buckets(rows.selectExpr("_id", "raise_error('gone') AS a"), folder)
+    assert spark.conf.get(lake.CLEANUP) == setting
