@@ -76,22 +76,30 @@ def _int_text(c: Column) -> Column:
     return c.cast("long").cast("string")
 
 
-def nutrition_text() -> Column:
-    """Scraped-style nutrition map for one lineitem row."""
+def nutrition_parts() -> dict[str, Column]:
+    """Scraped-style nutrition texts of one lineitem row, in their order on the page."""
     carbs = F.round(F.col("l_tax") * 1000)
-    return F.create_map(
-        F.lit("serving_size"), F.concat(_int_text(F.col("l_quantity") * 10), F.lit(" g")),
-        F.lit("calories"), _int_text(F.col("l_quantity") * 18),
-        F.lit("protein"), F.concat(_int_text(F.round(F.col("l_discount") * 600)), F.lit("g")),
-        F.lit("total_carbohydrates"),
-        F.when(carbs == 0, F.lit("<1g")).otherwise(F.concat(_int_text(carbs), F.lit("g"))),
-        F.lit("total_fat"), F.concat(_int_text(F.col("l_partkey") % 45), F.lit("g")),
+    return {
+        "serving_size": F.concat(_int_text(F.col("l_quantity") * 10), F.lit(" g")),
+        "calories": _int_text(F.col("l_quantity") * 18),
+        "protein": F.concat(_int_text(F.round(F.col("l_discount") * 600)), F.lit("g")),
+        "total_carbohydrates": F.when(carbs == 0, F.lit("<1g")).otherwise(F.concat(_int_text(carbs), F.lit("g"))),
+        "total_fat": F.concat(_int_text(F.col("l_partkey") % 45), F.lit("g")),
         # open orders also state fat under the alternate key (null elsewhere)
-        F.lit("fat"), F.when(F.col("l_linestatus") == "O",
-                             F.concat(_int_text(F.col("l_partkey") % 45 + 2), F.lit(" g"))),
-        F.lit("sodium"), F.concat(F.format_number((F.col("l_orderkey") * 7) % 1500, 0), F.lit(" mg")),
-        F.lit("sugars"), F.concat(_int_text((F.col("l_suppkey") * 3) % 40), F.lit("g")),
-    )
+        "fat": F.when(F.col("l_linestatus") == "O",
+                      F.concat(_int_text(F.col("l_partkey") % 45 + 2), F.lit(" g"))),
+        "sodium": F.concat(F.format_number((F.col("l_orderkey") * 7) % 1500, 0), F.lit(" mg")),
+        "sugars": F.concat(_int_text((F.col("l_suppkey") * 3) % 40), F.lit("g")),
+    }
+
+
+def text_map(parts: dict[str, Column]) -> Column:
+    return F.create_map(*[x for k, v in parts.items() for x in (F.lit(k), v)])
+
+
+def nutrition_text() -> Column:
+    """Scraped-style nutrition map for one lineitem row."""
+    return text_map(nutrition_parts())
 
 
 def serving_order() -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from menulake.functions.ids import stable_id
-from menulake.functions.nutrition import enrich_servings, macro_shares, profile_tags
+from menulake.functions.nutrition import enrich_serving_rows, macro_shares, profile_tags
 from menulake.functions.text import (
     amount_or_zero, check_url, parse_amount, parse_unit, snake_case,
 )
@@ -136,28 +136,23 @@ def serving_arrays(li: DataFrame) -> DataFrame:
     The second serving states its kcal with a thousands separator and names its
     sugar ``sugar``; the first serving of line 1 already carries a ratio of 0.0.
     """
-    n = B.nutrition_text()
-    big = F.map_filter(F.map_concat(
-        F.map_filter(n, lambda k, v: ~k.isin("calories", "sugars")),
-        F.create_map(F.lit("calories"), F.format_number(F.col("l_quantity") * 180, 0),
-                     F.lit("sugar"), n["sugars"])), lambda k, v: v.isNotNull())
-    first = F.struct(F.lit("Regular").alias("size_label"), n.alias("nutrition"),
+    # both maps are made of the same texts, each a column of its own
+    li = li.withColumns({f"_{k}": v for k, v in B.nutrition_parts().items()})
+    n = {k: F.col(f"_{k}") for k in B.nutrition_parts()}
+    big = B.text_map({k: v for k, v in n.items() if k not in ("calories", "sugars")}
+                     | {"calories": F.format_number(F.col("l_quantity") * 180, 0), "sugar": n["sugars"]})
+    first = F.struct(F.lit("Regular").alias("size_label"), B.text_map(n).alias("nutrition"),
                      F.when(F.col("l_linenumber") == 1, F.lit(0.0)).alias("golden_ratio"))
-    second = F.struct(F.lit("Family").alias("size_label"), big.alias("nutrition"),
+    second = F.struct(F.lit("Family").alias("size_label"), F.map_filter(big, lambda k, v: v.isNotNull()).alias("nutrition"),
                       F.lit(None).cast("double").alias("golden_ratio"))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", F.array(first, second).alias("servings"))
 
 
 def q_enrich_servings(spark, sf):
-    arr = serving_arrays(B.read(spark, sf, "lineitem"))
-    etype = arr.schema["servings"].dataType.elementType
-    e = arr.select("l_orderkey", "l_linenumber", "l_partkey",
-                   F.posexplode(enrich_servings("servings", element_type=etype)).alias("pos", "s"))
-    return e.select("l_orderkey", "l_linenumber", "l_partkey", "pos",
-                    F.col("s.size_label").alias("size_label"),
-                    _tags_text(F.col("s.macronutrient_profile")).alias("tags"),
-                    F.col("s.golden_ratio").alias("golden_ratio"),
-                    F.col("s.golden_ratio_category").alias("golden_ratio_category"))
+    e = enrich_serving_rows(serving_arrays(B.read(spark, sf, "lineitem")), "servings")
+    return e.select("l_orderkey", "l_linenumber", "l_partkey", "pos", "size_label",
+                    _tags_text(F.col("macronutrient_profile")).alias("tags"),
+                    "golden_ratio", "golden_ratio_category")
 
 
 # -- first-of-group (D-04, D-05) and item steps (J-02, J-03) -------------------

@@ -77,3 +77,34 @@ def test_profile_tags_edges(spark):
     assert got[0] == []
     assert "High Protein" in got[1] and "Low Sodium" in got[1]
     assert "High Sodium" in got[2]
+
+
+def test_servings_by_rows_are_those_of_the_array(spark):
+    from menulake.functions import enrich_serving_rows, enrich_servings
+
+    n, none = "map('calories', '1,200', 'protein', '40g', 'total_carbohydrates', '<1g', 'total_fat', '3', 'sodium', 'x', 'sugar', '9g')", "CAST(NULL AS map<string,string>)"
+    zero = "map('calories', '0', 'protein', '0')"
+
+    def serving(label, nutrition, ratio="CAST(NULL AS double)", cls="CAST(NULL AS string)"):
+        return f"named_struct('size_label', {label}, 'nutrition', {nutrition}, 'golden_ratio', {ratio}, 'golden_ratio_category', {cls})"
+
+    odd = [serving("'a'", n), serving("'b'", n, "0.0D", "'Odd'"), "NULL", serving("NULL", none), serving("'c'", none, "2.0D"), serving("'d'", zero), serving("'e'", "map()")]
+    whole = spark.sql(f"SELECT 1 AS id, array({', '.join(odd)}) AS servings")
+    empty = whole.selectExpr("2 AS id", "slice(servings, 1, 0) AS servings")
+    df = whole.unionByName(empty).unionByName(whole.selectExpr("3 AS id", "if(id = 1, NULL, servings) AS servings"))
+    cols = ("size_label", "golden_ratio", "golden_ratio_category", "macronutrient_profile")
+    etype = df.schema["servings"].dataType.elementType
+    for force in (False, True):
+        nested = df.select("id", F.posexplode(enrich_servings("servings", force, etype)).alias("pos", "s")).select("id", "pos", *[F.col("s")[c] for c in cols])
+        rows = enrich_serving_rows(df, "servings", force).select("id", "pos", *cols)
+        assert sorted(map(tuple, rows.collect()), key=repr) == sorted(map(tuple, nested.collect()), key=repr)
+        assert rows.count() == len(odd)
+
+
+def test_the_servings_query_makes_an_array_once_and_explodes_it_bare(spark):
+    from menulake.plans.catalog import q_enrich_servings
+
+    from conftest import SF_SMALL
+    plan = q_enrich_servings(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode(servings" in plan and "transform(" not in plan
+    assert plan.count("Family") == 1
