@@ -102,19 +102,41 @@ def nutrition_text() -> Column:
     return text_map(nutrition_parts())
 
 
+SERVING_COLUMNS = ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
+                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
 def serving_order() -> Column:
     """Total order of lineitem rows within one part (all columns)."""
-    return F.struct(*[F.col(c) for c in (
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")])
+    return F.struct(*[F.col(c) for c in SERVING_COLUMNS])
+
+
+def item_ids(part: DataFrame) -> DataFrame:
+    """The ids of each part's item and brand, hashed once an item, with the fields its servings bear."""
+    bid = stable_id("p_brand")
+    return part.select("p_partkey", "p_brand", "p_name", "p_size", bid.alias("restaurant_brand_id"),
+                       stable_id(bid, F.col("p_name"), item_url(F.col("p_partkey"))).alias("menu_item_id"))
 
 
 def raw_servings(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """One raw serving per lineitem row, with its item's fields copied down."""
-    bid = stable_id("p_brand")
-    p = part.select("p_partkey", "p_brand", "p_name", "p_size", bid.alias("restaurant_brand_id"),
-                    stable_id(bid, F.col("p_name"), item_url(F.col("p_partkey"))).alias("menu_item_id"))
-    j = lineitem.join(p, lineitem["l_partkey"] == p["p_partkey"], "inner")
+    p = item_ids(part)
+    return _servings(lineitem.join(p, lineitem["l_partkey"] == p["p_partkey"], "inner"))
+
+
+def own_servings(lineitem: DataFrame) -> DataFrame:
+    """``raw_servings`` that have not met their item: its ids and name are null, its ingredients empty; ``item_pos`` tells it.
+
+    Rows of one item come together, so that what is summed up by item is one row of few
+    behind the task. They are dealt by a hash of the item and not by the item itself: Spark
+    may then split a hot one over tasks. Only the columns of a serving travel.
+    """
+    none = F.lit(None).cast("string")
+    rows = lineitem.select("l_partkey", *SERVING_COLUMNS, F.hash("l_partkey").alias("_cell")).hint("rebalance", "_cell")
+    return _servings(rows.drop("_cell").withColumns({c: none for c in ("restaurant_brand_id", "menu_item_id", "p_brand", "p_name")} | {"p_size": F.lit(None).cast("int")}))
+
+
+def _servings(j: DataFrame) -> DataFrame:
     lin = F.col("l_linenumber")
     image = (F.when(lin % 3 == 0, F.lit(None).cast("string"))
               .when(lin % 3 == 1, F.lit(""))

@@ -45,6 +45,11 @@ def variations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_variations(B.raw_servings(li, part), B.RUN_TS)
 
 
+def own_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variations of all servings by ``item_pos``, before they meet their items; no ids are made of them."""
+    return to_variations(B.own_servings(B.read(spark, sf_dir, "lineitem")), B.RUN_TS)
+
+
 def variation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Servings per brand: counted by part key before the join, so one row a part and task is shuffled."""
     part = B.read(spark, sf_dir, "part").select("p_partkey", stable_id("p_brand").alias("restaurant_brand_id"))

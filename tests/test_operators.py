@@ -326,3 +326,37 @@ def test_variation_stages_read_each_expression_once(spark):
     # ids hash once a level, and a ratio parses its two numbers alone
     plan = scored.select("_id", "menu_item_id", "golden_ratio", "golden_ratio_category")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sha2(") == 3 and plan.count("regexp_extract(") == 2
+
+
+def test_the_report_sums_servings_up_before_they_meet_their_items(spark, scratch):
+    from menulake.operators.joins import profile_items
+    from menulake.plans import domain
+    from menulake.plans.reports import brand_protein_report
+
+    sf = "/root/testdata/sf0.001"
+    li, part = spark.read.parquet(f"{sf}/lineitem.parquet"), spark.read.parquet(f"{sf}/part.parquet")
+    twice = part.where("p_partkey % 5 = 0")         # a key's rows with another name, and once more as they are
+    part = part.unionByName(twice.withColumn("p_name", F.concat("p_name", F.lit(" b")))).unionByName(twice.where("p_partkey % 10 = 0"))
+    odd = li.limit(500)
+    li = (li.unionByName(odd.withColumn("l_partkey", F.lit(None).cast("long"))).unionByName(odd.withColumn("l_partkey", F.lit(10**9).cast("long")))
+          .unionByName(li.withColumn("l_partkey", F.lit(5).cast("long"))).where("l_partkey IS NULL OR l_partkey % 7 <> 3"))      # unknown parts, a hot one, parts with no serving
+    part.write.parquet(f"{scratch}/part.parquet")
+    li.write.parquet(f"{scratch}/lineitem.parquet")
+
+    items, scored = domain.menu_items(spark, scratch), domain.scored_variations(spark, scratch)
+    cat = F.col("golden_ratio_category")
+    per_item = scored.groupBy("menu_item_id").agg(
+        F.count(F.lit(1)).alias("variations"), *[F.count_if(cat == c).alias(c.lower()) for c in ("Excellent", "Good", "Poor")],
+        F.sum(F.round(F.col("golden_ratio") * 1000).cast("long")).alias("milli"),
+        F.min_by("nutrition", F.struct("item_pos", "serving_pos")).alias("nutrition"))
+    prof = profile_items(items.join(per_item, items["_id"] == per_item["menu_item_id"], "left").drop("menu_item_id"), None)
+    want = prof.groupBy("brand_name").agg(
+        F.count(F.lit(1)).alias("items"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("variations", "excellent", "good", "poor")],
+        F.sum("milli") / F.sum("variations") / 1000,
+        *[F.count_if(F.array_contains("macronutrient_profile", t)) for t in ("High Protein", "Low Carb", "Keto Friendly", "Balanced")])
+    report = brand_protein_report(spark, scratch)
+    got = report.drop("restaurant_category", "restaurant_cultural_cuisine", "category_source")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert sum(r["variations"] for r in want.collect()) > li.count() / 2
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1 and "SortAggregate(key=[item_pos" in plan
