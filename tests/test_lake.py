@@ -193,3 +193,37 @@ def test_a_write_leaves_no_shuffle_files_and_packs_its_files(spark, scratch):
     with pytest.raises(Exception, match="gone"):
         lake._write_buckets(rows.selectExpr("_id", "raise_error('gone') AS a"), folder)
     assert spark.conf.get(lake.CLEANUP) == setting
+
+
+def test_a_large_merge_goes_by_turns_and_holds_the_shuffle_of_one(spark, scratch, monkeypatch):
+    turns, write = [], lake._write_buckets
+
+    def seen(df, folder, mode="overwrite"):
+        turns.append((mode, {r[0] for r in df.select(lake.bucket_of("_id", 32).alias("b")).distinct().collect()}))
+        write(df, folder, mode)
+
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 4)
+    monkeypatch.setattr(lake, "_write_buckets", seen)
+    first, counts = _merge(spark, scratch, "r1", _rows(spark, range(1000), 1), buckets=32)
+    assert counts == {"inserted": 1000, "matched": 0, "modified": 0, "errors": 0}
+    # eight turns of four buckets each, no bucket in two of them
+    assert [m for m, _ in turns] == ["overwrite"] + ["append"] * 7
+    assert [len(b) for _, b in turns] == [4] * 8 and set().union(*(b for _, b in turns)) == set(range(32))
+    assert {f[0] for f in first["files"]} == set(range(32)) and len(first["files"]) == 32
+    monkeypatch.setattr(lake, "HOT", 100)
+    fresh = _rows(spark, range(500, 1200), 2, None).unionByName(spark.createDataFrame([("hot", n, "v") for n in range(200)] + [(None, 7, "null")], SCHEMA))
+    for _ in range(2):      # a replay gives the same
+        second, counts = _merge(spark, scratch, "r2", fresh)
+        assert counts == {"inserted": 202, "matched": 500, "modified": 500, "errors": 0}
+        want = upsert(_rows(spark, range(1000), 1), fresh, "_id", "a").table
+        assert _read(spark, scratch) == sorted((tuple(r) for r in want.collect()), key=repr)
+        assert sum(f[3] for f in second["files"]) == 1202
+    # a few touched buckets are one turn
+    del turns[:]
+    _merge(spark, scratch, "r3", _rows(spark, [5], 3))
+    assert [(m, len(b)) for m, b in turns] == [("overwrite", 1)]
+    # buckets that grow in number are dealt anew by turns too
+    monkeypatch.setattr(lake, "ROWS", 9)
+    grown, counts = _merge(spark, scratch, "r4", _rows(spark, range(1199, 1201), 4))
+    assert grown["buckets"] == 134 and [m for m, _ in turns[1:]] == ["overwrite"] + ["append"] * 7
+    assert counts["inserted"] == 1 and counts["matched"] == 1 and len(_read(spark, scratch)) == 1203
