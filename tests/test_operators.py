@@ -360,3 +360,18 @@ def test_the_report_sums_servings_up_before_they_meet_their_items(spark, scratch
     assert sum(r["variations"] for r in want.collect()) > li.count() / 2
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1 and "SortAggregate(key=[item_pos" in plan
+
+
+def test_valid_rows_are_told_without_a_lambda(spark):
+    from menulake.operators.quality import split_valid, with_errors
+    rows = spark.createDataFrame([("a", "i", "n"), ("", "i", "n"), (None, " ", "n"), ("b", "\t", None), ("c", "i", ""), (" ", None, "n")],
+                                 "_id string, restaurant_brand_id string, name string").repartition(2)
+    split = split_valid(rows, "menu_items")
+    plan = split.valid._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array" not in plan
+    checked = with_errors(rows, "menu_items").collect()
+    assert sorted(tuple(r) for r in split.valid.collect()) == sorted(tuple(r)[:3] for r in checked if not r["errors"]) == [("a", "i", "n")]
+    assert sorted(map(str, ((*r["data"], r["errors"]) for r in split.invalid.collect()))) == sorted(str((*tuple(r)[:3], r["errors"])) for r in checked if r["errors"])
+    # a required column that is missing, or isn't text, makes every row invalid
+    for df in (rows.drop("name"), rows.withColumn("name", rows["name"].cast("binary"))):
+        assert split_valid(df, "menu_items").valid.count() == 0 and split_valid(df, "menu_items").invalid.count() == 6
