@@ -209,3 +209,52 @@ def test_streams_read_a_table_that_is_a_folder(spark, scratch):
         spark.read.parquet(f"{SF_SMALL}/{table}.parquet").repartition(3).write.parquet(f"{sf}/{table}.parquet")
         got, want = (sorted(map(str, QUERIES[name](spark, folder).collect())) for folder in (sf, SF_SMALL))
         assert got and got == want
+
+
+def _raw_lake(spark, root, run):
+    from menulake.plans import bindings as B, domain
+    from menulake.plans.jobs import EnrichInputs
+    from menulake.sources.io import write_snapshot
+    from tests.conftest import SF_SMALL
+    part = B.read(spark, SF_SMALL, "part")
+    write_snapshot({"brands": domain.brands(spark, SF_SMALL), "menu_items": domain.menu_items(spark, SF_SMALL).drop("brand_name"),
+                    "variations": domain.variations(spark, SF_SMALL)}, f"{root}/raw", run)
+    return EnrichInputs(B.category_lookup(part), B.brand_answers(part), B.item_answers(part), "lookup_pos")
+
+
+def _written(root, column):
+    """The folders under a lake whose files hold a column."""
+    import pyarrow.parquet as pq
+    return sorted({os.path.relpath(d, root) for d, _, fs in os.walk(root) for f in fs
+                   if f.endswith(".parquet") and column in pq.ParquetFile(os.path.join(d, f)).schema_arrow.names})
+
+
+def test_enriched_tables_are_written_once(spark, scratch, monkeypatch):
+    from menulake.plans import jobs
+    from menulake.sources.io import latest_snapshot
+    root = os.path.join(scratch, "lake")
+    inputs = _raw_lake(spark, root, "r1")
+    steps = jobs.enrich(spark, root, "r1", inputs)
+    assert all(s.ok for s in steps)
+    # servings (the largest table) are in the raw and in the enriched snapshot, and nowhere else
+    assert _written(root, "serving_pos") == ["enriched/variations/run_ts=r1", "raw/variations/run_ts=r1"]
+    got = {c: latest_snapshot(spark, f"{root}/enriched", c).drop("run_ts") for c in jobs.COLLECTIONS}
+    assert not set(jobs.STATUS_COLUMNS) & {c for df in got.values() for c in df.columns}
+    assert got["variations"].where("golden_ratio IS NULL").count() < got["variations"].count() == latest_snapshot(spark, f"{root}/raw", "variations").count()
+    assert got["menu_items"].where("menu_item_image_url IS NOT NULL AND macronutrient_profile IS NOT NULL AND description IS NOT NULL").count() > 0
+    want = {c: sorted(map(str, df.collect())) for c, df in got.items()}
+    # written again, and without its last steps: the last good tables are the snapshot
+    jobs.enrich(spark, root, "r1", inputs)
+    assert {c: sorted(map(str, latest_snapshot(spark, f"{root}/enriched", c).drop("run_ts").collect())) for c in want} == want
+
+    def broken(*_):
+        raise ValueError("broken")
+
+    monkeypatch.setattr(jobs, "attach_images", broken)
+    monkeypatch.setattr(jobs, "score_variations", broken)
+    steps = jobs.enrich(spark, root, "r1", inputs)
+    assert [s.name for s in steps if not s.ok] == ["ratio", "image"]
+    items, rows = (latest_snapshot(spark, f"{root}/enriched", c).drop("run_ts") for c in ("menu_items", "variations"))
+    assert items.where("macronutrient_profile IS NOT NULL").count() > 0 and "menu_item_image_url" not in items.columns
+    assert rows.count() == len(want["variations"]) and rows.where("golden_ratio IS NOT NULL").count() == 0
+    assert not set(jobs.STATUS_COLUMNS) & {*items.columns, *rows.columns}
